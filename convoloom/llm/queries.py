@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, pii, quality_rules, secret_scan, sharding, token_counts
+from . import decontamination, pii, quality_rules, secret_scan, sentencepieces, sharding, token_counts
 
 
 def tokenizer_file(name: str) -> str:
@@ -40,6 +40,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_spans(_table(spark, sf_dir, "documents"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.encode_pieces(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), 16)
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scans": op2_secret_scans,
     "op3_token_counts": op3_token_counts,
     "op4_pii": op4_pii,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_sharding": op7_sharding,
     "op9_decontamination": op9_decontamination,
 }
