@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, pii, quality_rules, secret_scan, sentencepieces, sharding, token_counts
+from . import decontamination, pii, quality_perplexity, quality_rules, secret_scan, sentencepieces, sharding, token_counts
 
 
 def tokenizer_file(name: str) -> str:
@@ -48,6 +48,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), 16)
 
 
+def op8_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_perplexity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.benchmark_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": op4_pii,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_sharding": op7_sharding,
+    "op8_quality_perplexity": op8_quality_perplexity,
     "op9_decontamination": op9_decontamination,
 }
 
