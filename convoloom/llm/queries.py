@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, pii, quality_perplexity, quality_rules, secret_scan, sentencepieces, sharding, token_counts
+from . import decontamination, lm_score, pii, quality_perplexity, quality_rules, secret_scan, sentencepieces, sharding, token_counts
 
 
 def tokenizer_file(name: str) -> str:
@@ -56,6 +56,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.benchmark_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_secret_scans": op2_secret_scans,
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_sharding": op7_sharding,
     "op8_quality_perplexity": op8_quality_perplexity,
     "op9_decontamination": op9_decontamination,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLES: dict[str, str] = {}
