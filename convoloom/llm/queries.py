@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, lm_score, pii, quality_perplexity, quality_rules, secret_scan, sentencepieces, sharding, token_counts
+from . import decontamination, jaccard_join, lm_score, pii, quality_perplexity, quality_rules, secret_scan, sentencepieces, sharding, token_counts
 
 
 def tokenizer_file(name: str) -> str:
@@ -40,6 +40,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_spans(_table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_classes(_table(spark, sf_dir, "documents"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode_pieces(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scans": op2_secret_scans,
     "op3_token_counts": op3_token_counts,
     "op4_pii": op4_pii,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_sharding": op7_sharding,
     "op8_quality_perplexity": op8_quality_perplexity,
