@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # What delimits JSON in a message. One nesting level for bare objects and lists.
 JSON_FENCE = r"(?s)```json\s*(.*?)\s*```"
@@ -134,7 +135,7 @@ def one_json(content: str | None) -> str | None:
     return first or text
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def balanced_json(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """``one_json`` over a column, in Arrow batches."""
     for s in batches:

@@ -9,6 +9,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SIZE_UNITS = {"B": 1, "KB": 1024, "MB": 1024**2, "GB": 1024**3}
 
@@ -44,7 +45,7 @@ def checkpoint_tools(checkpoints: Column) -> Column:
     return F.transform(F.filter(checkpoints, lambda c: c.contains("(")), lambda c: F.trim(F.substring_index(c, "(", 1)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def text_similarity(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """Ratcliff-Obershelp ratio of the lower-cased texts; 0 if one is empty or null."""
     for a, b in batches:

@@ -66,7 +66,7 @@ def group_edges(nodes: DataFrame, existing: DataFrame, id_col: str, group_col: s
     rows = rows.join(sizes, group_col).withColumn("__line", F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.col("__lines")))
     line = Window.partitionBy(group_col, "__line").orderBy(F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col)).cast("binary")), id_col)
     nexts = F.array(*[F.lead(id_col, i).over(line) for i in range(1, partners + 1)])
-    pairs = rows.select(F.col(id_col).alias("a"), F.explode(nexts).alias("b")).filter(F.col("b").isNotNull() & (F.col("a") != F.col("b")))
+    pairs = rows.select(F.col(id_col).alias("a"), nexts.alias("__b")).select("a", F.explode("__b").alias("b")).filter(F.col("b").isNotNull() & (F.col("a") != F.col("b")))
     pairs = pairs.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
     return pairs.join(existing.select("src", "dst"), ["src", "dst"], "left_anti").select("src", "dst", F.lit(weight).alias("weight"), F.lit(edge_type).alias("edge_type"))
 

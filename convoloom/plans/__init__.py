@@ -1 +1,6 @@
 """Composed plans and the registered queries with their SQL counterparts."""
+
+from . import conversation_queries, vector_queries
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "conversation_queries", "vector_queries"]
