@@ -69,7 +69,7 @@ def fill(template: str, **values: Column) -> Column:
 
 def name_use_pairs(df: DataFrame, name_col: str, uses_col: str) -> DataFrame:
     """P10: ``name+use`` for every use."""
-    return df.select(F.concat_ws("+", F.col(name_col), F.explode(uses_col)).alias("pair"))
+    return df.select(F.col(name_col).alias("n"), F.explode(uses_col).alias("u")).select(F.concat_ws("+", "n", "u").alias("pair"))
 
 
 def draw_persona(key: Column, seed: int = 7) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # The enumerations.
 DIFFICULTIES = ("simple", "medium", "complex")
 TASK_TYPES = ("single_turn", "multi_turn")
@@ -14,24 +12,21 @@ FINISH_MARK = "finish conversation"
 PARAMETER_TYPES = ("string", "integer", "float", "boolean", "array", "object")
 
 
-def _s(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
+# Schemas are DDL text: readers and from_json take it, and it needs no session.
 PARAMETER = "struct<name:string,type:string,description:string,required:boolean,default:string,enum:array<string>>"
-SCENARIO = _s("id string, name string, description string, domain string, context string, target_users array<string>, metadata struct<generated_at:string>")
-TOOL = _s(
+SCENARIO = "id string, name string, description string, domain string, context string, target_users array<string>, metadata struct<generated_at:string>"
+TOOL = (
     f"id string, name string, description string, return_type string, scenario_ids array<string>, parameters array<{PARAMETER}>, examples array<string>, "
     "metadata struct<generated_at:string,scenario_name:string,domain:string,embedding:array<double>,embedding_model:string,embedding_updated_at:string>"
 )
-EVALUATION = _s("id string, name string, overall_score double, suggestions array<string>, recommendation string, error string")
-AGENT = _s("id string, system_prompt string, tools array<string>, created_at timestamp")
+EVALUATION = "id string, name string, overall_score double, suggestions array<string>, recommendation string, error string"
+AGENT = "id string, system_prompt string, tools array<string>, created_at timestamp"
 RUBRIC = "struct<success_criteria:array<string>,tool_usage_expectations:array<string>,checkpoints:array<string>>"
-TASK = _s(f"id string, agent_id string, title string, description string, difficulty string, task_type string, expected_tools array<string>, rubric {RUBRIC}, metadata map<string,string>, created_at timestamp")
-TRAJECTORY = _s(
+TASK = f"id string, agent_id string, title string, description string, difficulty string, task_type string, expected_tools array<string>, rubric {RUBRIC}, metadata map<string,string>, created_at timestamp"
+TRAJECTORY = (
     "trajectory_id string, task_id string, agent_id string, messages array<struct<role:string,content:string,recipient:string>>, score double, "
     "metadata struct<quality_tags:array<string>,is_high_quality:boolean>"
 )
-COMBINATION = _s("id string, scenario_id string, tool_ids array<string>, generation_method string, start_tool string, tool_count int")
-TRAINING_ROW = _s("conversations array<struct<from:string,value:string>>, tools string")
-TURN = _s("conv_id string, turn long, speaker string, recipient string, message string")
+COMBINATION = "id string, scenario_id string, tool_ids array<string>, generation_method string, start_tool string, tool_count int"
+TRAINING_ROW = "conversations array<struct<from:string,value:string>>, tools string"
+TURN = "conv_id string, turn long, speaker string, recipient string, message string"

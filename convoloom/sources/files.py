@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """A JSON array (or object) in one file, or files, as rows."""
     reader = spark.read.option("multiLine", True)
     return (reader.schema(schema) if schema is not None else reader).json(path)
@@ -45,7 +45,7 @@ def latest_by_name(spark: SparkSession, folder: str, globs: list[str]) -> str |
     return None
 
 
-def read_folder(spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.json") -> tuple[DataFrame, DataFrame]:
+def read_folder(spark: SparkSession, folder: str, schema: T.StructType | str, glob: str = "*.json") -> tuple[DataFrame, DataFrame]:
     """One object a file with its file name as ``_source_file``; and the files that hold no object, as rejects."""
     files = spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True).select(F.col("_metadata.file_name").alias("_source_file"), "value")
     kind = F.schema_of_variant(F.try_parse_json("value"))
@@ -53,7 +53,7 @@ def read_folder(spark: SparkSession, folder: str, schema: T.StructType, glob: st
     return good, files.filter(~F.coalesce(kind.startswith("OBJECT"), F.lit(False))).select("_source_file", "value")
 
 
-def read_keyed(spark: SparkSession, path: str, schema: T.StructType, key: str = "id", wrapper: str | None = None) -> DataFrame:
+def read_keyed(spark: SparkSession, path: str, schema: T.StructType | str, key: str = "id", wrapper: str | None = None) -> DataFrame:
     """A list of records, an object of records by id, or either under ``wrapper``; the last record of an id wins."""
     v = F.try_parse_json("value")
     inner = F.coalesce(F.try_variant_get(v, f"$.{wrapper}", "variant"), v) if wrapper else v
