@@ -90,9 +90,9 @@ def _balanced(text: str, at: int) -> tuple[str | None, int]:
         elif c == "{":
             start = i if start < 0 else start
             depth += 1
-        elif c == "}":
+        elif c == "}" and start >= 0:
             depth -= 1
-            if depth == 0 and start >= 0:
+            if depth == 0:
                 if _loads(text[start : i + 1]) is not _BAD:
                     return text[start : i + 1], i + 1
                 depth, start = 0, -1
@@ -122,10 +122,10 @@ def one_json(content: str | None) -> str | None:
     if rest.strip() and _loads(rest.strip()) is not _BAD:
         return rest.strip()
     first, at = None, 0
-    while "{" in rest[at:]:
+    while (at := rest.find("{", at)) >= 0:
         found, end = _balanced(rest, at)
         if found is None:
-            at = rest.index("{", at) + 1  # a brace that never closes hides nothing behind it
+            at += 1  # a brace that never closes hides nothing behind it
             continue
         parsed = _loads(found)
         if isinstance(parsed, dict) and "name" in parsed:

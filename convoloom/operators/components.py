@@ -21,9 +21,10 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     number of rounds that grows with the logarithm of the diameter. Self-edges keep lone nodes; null ends are left out; an empty
     table gives no rows. The edges of every round are cut off through the checkpoint folder; the driver sees only counts.
     """
-    ends = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).filter(F.col("u").isNotNull() & F.col("v").isNotNull())
+    ends = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).filter(F.col("a").isNotNull() & F.col("b").isNotNull())
+    ends = materialize(ends.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     nodes = ends.select("u").union(ends.select("v")).distinct()
-    state = materialize(ends.filter(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    state = ends.filter(F.col("u") != F.col("v"))
     mark = None
     for _ in range(max_rounds):
         both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
