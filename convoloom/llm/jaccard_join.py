@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..session import materialize
+from .memory import tidy
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Children a node has on average, depth of the tree, and the recall that the number of runs is set for.
@@ -28,7 +29,7 @@ SMALL = 64
 #: Bytes of a sketch, and how many have to agree: a pair at the least similarity falls below with probability under 1e-6.
 SKETCH, AGREE = 48, 24
 #: Texts of a block when a large bucket or cluster is compared block by block.
-BUCKET_BLOCK, CLUSTER_BLOCK = 8192, 512
+BUCKET_BLOCK, CLUSTER_BLOCK = 8192, 1024
 #: Rows up to which a list is broadcast; beyond, it is joined by a shuffle.
 MOST_BROADCAST = 1_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -112,7 +113,7 @@ def _features(rows: DataFrame) -> DataFrame:
                 for rid, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
                     if rid in seen:
                         continue
-                    if len(seen) > 500_000:
+                    if len(seen) > 100_000:
                         seen.clear()
                     seen.add(rid)
                     s = shingle_set(text.as_py())
@@ -133,6 +134,7 @@ def _features(rows: DataFrame) -> DataFrame:
                 for k in range(DEPTH):
                     columns += [lists(nodes[k], pa.int64()), lists(parents[k], pa.int32())]
                 yield pa.RecordBatch.from_arrays(columns, names=["rid", "n", "sketch", *(x for k in levels for x in (f"p{k}", f"q{k}"))])
+        tidy()
 
     return rows.mapInArrow(run, "rid long, n int, sketch binary, " + ", ".join(f"p{k} array<long>, q{k} array<int>" for k in levels))
 
@@ -212,6 +214,7 @@ def _compare_small(rows: DataFrame) -> DataFrame:
                 yield edges(t.slice(0, cut))
         if rest is not None and rest.num_rows:
             yield edges(rest)
+        tidy()
 
     return rows.repartition("path").sortWithinPartitions("path", "rid").mapInArrow(run, "src long, dst long")
 
@@ -227,7 +230,6 @@ def _compare_blocks(rows: DataFrame) -> DataFrame:
             rid, n, probe = t.column(3).to_numpy(), t.column(4).to_numpy(), t.column(6).to_numpy(zero_copy_only=False)
             marks = _sketches(t.column(5))
             members, probes = np.flatnonzero(~probe), np.flatnonzero(probe)
-            m, k = marks[members].view(np.uint64), None
             for at in range(0, len(probes), 64):
                 p = probes[at : at + 64]
                 same = np.zeros((len(p), len(members)), np.uint8)
@@ -253,43 +255,54 @@ def _compare_blocks(rows: DataFrame) -> DataFrame:
         if rest is not None and rest.num_rows:
             for g in groups(rest, True)[0]:
                 yield from edges(g)
+        tidy()
 
     return rows.repartition("path", "mb", "pb").sortWithinPartitions("path", "mb", "pb").mapInArrow(run, "src long, dst long")
 
 
 def _candidate_edges(feat: DataFrame) -> DataFrame:
-    """Edges (src, dst) whose components hold every pair that met in a bucket of some run and passes the filter."""
+    """Edges (src, dst) whose components hold every pair that met in a bucket of some run and passes the filter.
+
+    A bucket of up to SMALL texts is compared outright. Of a larger one, texts that look like its first text hang on it; if at
+    most half are left, those are compared with all members here, block by block, which settles groups of near copies at one
+    look each. Other large buckets are split by a further token, and what no token splits is compared in blocks too.
+    """
     edges: list[DataFrame] = []
-    big: DataFrame | None = None
+    sparse: DataFrame | None = None
     for level in range(1, DEPTH + 1):
-        if level == 1:
+        if sparse is None:
             rows = feat.select("rid", "n", "sketch", F.explode("p1").alias("path"))
         else:
-            hot = materialize(rows.join(big, "path", "left_semi").select("rid").distinct())
-            some = _checked_join(feat, hot, "rid")
+            some = _checked_join(feat, materialize(waiting.select("rid").distinct()), "rid")
             rows = some.select("rid", "n", "sketch", F.explode(F.arrays_zip(F.col(f"p{level}").alias("path"), F.col(f"q{level}").alias("q"))).alias("z"), f"p{level - 1}")
             rows = rows.select("rid", "n", "sketch", F.col("z.path").alias("path"), F.element_at(f"p{level - 1}", F.col("z.q") + 1).alias("above"))
-            rows = rows.join(big.withColumnRenamed("path", "above"), "above", "left_semi").drop("above")
-        sizes = rows.groupBy("path").agg(F.count("*").alias("c"))
-        big = materialize(sizes.filter(F.col("c") > SMALL).select("path"))
-        none = big.isEmpty()
-        small = rows if none else rows.join(big, "path", "left_anti")
-        edges.append(_compare_small(small.select("path", "rid", "n", "sketch")))
-        if none:
+            rows = _checked_join(rows, sparse.withColumnRenamed("path", "above"), "above").drop("above")
+        big = materialize(rows.groupBy("path").agg(F.count("*").alias("c")).filter(F.col("c") > SMALL).select("path"))
+        if big.isEmpty():
+            edges.append(_compare_small(rows.select("path", "rid", "n", "sketch")))
+            break
+        few = big.count() <= MOST_BROADCAST
+        big = F.broadcast(big) if few else big
+        edges.append(_compare_small(rows.join(big, "path", "left_anti").select("path", "rid", "n", "sketch")))
+        placed = _beside_first(rows.join(big, "path", "left_semi"), few)
+        settled, waiting = placed, None
+        if level < DEPTH:
+            waiting = materialize(placed.filter(F.col("left") > F.greatest(F.lit(SMALL), F.col("c") / 2)))
+            settled = placed.filter(F.col("left") <= F.greatest(F.lit(SMALL), F.col("c") / 2))
+            sparse = materialize(waiting.select("path").distinct())
+        edges += _settle(settled)
+        if waiting is None or waiting.isEmpty():
             break
-    else:
-        edges += _large_buckets(rows.join(big, "path", "left_semi").select("path", "rid", "n", "sketch"))
     out = edges[0]
     for e in edges[1:]:
         out = out.unionByName(e)
     return out
 
 
-def _large_buckets(rows: DataFrame) -> list[DataFrame]:
-    """Edges inside buckets that no token splits further. Texts like a bucket's first text hang on it; only the others are
-    compared with all members, block by block, so a bucket of near copies takes one look at each."""
-    rows = materialize(rows.distinct())
-    stats = rows.groupBy("path").agg(F.count("*").alias("c"), F.min(F.struct("rid", "n", "sketch")).alias("first"))
+def _beside_first(rows: DataFrame, few: bool) -> DataFrame:
+    """The distinct members of large buckets with the bucket's size ``c``, its first text ``root``, whether a member looks like
+    it (``near``), and how many do not (``left``). ``few``: there are few enough buckets to broadcast a row for each."""
+    sent = F.broadcast if few else lambda df: df
 
     @F.pandas_udf("boolean")
     def like(n1, s1, n2, s2):
@@ -298,16 +311,22 @@ def _large_buckets(rows: DataFrame) -> list[DataFrame]:
         join = lambda s: np.frombuffer(b"".join(s), np.uint8).reshape(-1, SKETCH)
         return pd.Series(_alike(n1.to_numpy(), join(s1), n2.to_numpy(), join(s2)))
 
-    placed = rows.join(stats, "path").withColumns({"blocks": F.ceil(F.col("c") / BUCKET_BLOCK).cast("int"), "near": like("n", "sketch", "first.n", "first.sketch")})
-    placed = materialize(placed.select("path", "rid", "n", "sketch", "blocks", "near", F.col("first.rid").alias("root")))
+    rows = materialize(rows.select("path", "rid", "n", "sketch").distinct())
+    first = rows.groupBy("path").agg(F.count("*").alias("c"), F.min(F.struct("rid", "n", "sketch")).alias("first"))
+    near = rows.join(sent(first), "path").select("path", "rid", "n", "sketch", "c", F.col("first.rid").alias("root"), like("n", "sketch", "first.n", "first.sketch").alias("near"))
+    near = materialize(near)
+    left = near.groupBy("path").agg(F.count_if(~F.col("near")).alias("left"))
+    return near.join(sent(left), "path")
+
+
+def _settle(placed: DataFrame) -> list[DataFrame]:
+    """Edges inside large buckets: stars of the near, and the others against all members in blocks."""
     stars = placed.filter(F.col("near") & (F.col("rid") != F.col("root"))).select(F.col("rid").alias("src"), F.col("root").alias("dst"))
-    others = placed.filter(~F.col("near"))
-    counts = others.groupBy("path").agg(F.ceil(F.count("*") / BUCKET_BLOCK).cast("int").alias("pblocks"))
+    open_ = placed.filter(F.col("left") > 0).withColumns({"blocks": F.ceil(F.col("c") / BUCKET_BLOCK).cast("int"), "pblocks": F.ceil(F.col("left") / BUCKET_BLOCK).cast("int")})
     block = lambda n: F.pmod(F.xxhash64("rid"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    full = placed.join(counts, "path")
-    members = full.select("path", block(F.col("blocks")).alias("mb"), every(F.col("pblocks")).alias("pb"), "rid", "n", "sketch", F.lit(False).alias("probe"))
-    probes = full.filter(~F.col("near")).select("path", every(F.col("blocks")).alias("mb"), block(F.col("pblocks")).alias("pb"), "rid", "n", "sketch", F.lit(True).alias("probe"))
+    members = open_.select("path", block(F.col("blocks")).alias("mb"), every(F.col("pblocks")).alias("pb"), "rid", "n", "sketch", F.lit(False).alias("probe"))
+    probes = open_.filter(~F.col("near")).select("path", every(F.col("blocks")).alias("mb"), block(F.col("pblocks")).alias("pb"), "rid", "n", "sketch", F.lit(True).alias("probe"))
     return [stars, _compare_blocks(members.unionByName(probes))]
 
 
@@ -390,6 +409,7 @@ def _exact(sets: DataFrame) -> DataFrame:
         if rest is not None and rest.num_rows:
             for g in groups(rest, True)[0]:
                 yield count(g)
+        tidy()
 
     return sets.repartition("cluster", "bi", "bj").sortWithinPartitions("cluster", "bi", "bj").mapInArrow(run, "key string, root string, links long")
 
@@ -405,13 +425,14 @@ def _member_sets(docs: DataFrame, clusters: DataFrame) -> DataFrame:
             cluster, key, sets = [], [], []
             for c, k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 if k not in seen:
-                    if len(seen) > 300_000:
+                    if len(seen) > 100_000:
                         seen.clear()
                     seen.add(k)
                     cluster.append(c)
                     key.append(k)
                     sets.append(shingle_set(t.as_py()).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(cluster, pa.int64()), pa.array(key, pa.string()), pa.array(sets, pa.binary())], names=["cluster", "key", "s"])
+        tidy()
 
     return near.select("cluster", "key", "text").mapInArrow(run, "cluster long, key string, s binary").groupBy("cluster", "key").agg(F.first("s").alias("s"))
 
@@ -458,18 +479,18 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that stand for their class: one for each."""
-    key = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    """The rows of ``docs``, with all their columns, that stand for their class: one for each.
+
+    It is the class's row with the least id, of several texts under that id the one with the least md5; rows without an id come
+    last, and of rows equal in id and text any one stays. Other columns keep their names and values."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("id"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("key"))
     classes = _classes(docs, id_col, text_col)
-    repeats = docs.select(F.col(id_col).alias("id"), key.alias("key")).groupBy("id", "key").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    unique = rows.groupBy("id", "key").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
     # What goes: texts that do not stand for their class, and rows of the text that does under another id.
-    kept = classes.filter(F.col("key") == F.col("class_key"))
-    gone = classes.filter(F.col("key") != F.col("class_key")).select(F.col("key").alias("__key"))
-    several = kept.filter("n_copies > 1").select(F.col("key").alias("__key"), F.col("class_id").alias("__id"))
-    out = docs.withColumn("__key", key)
-    out = _checked_join(out, gone, "__key", "left_anti")
+    gone = classes.filter(F.col("key") != F.col("class_key")).select("key")
+    several = classes.filter((F.col("key") == F.col("class_key")) & (F.col("n_copies") > 1)).select("key", "class_id", F.lit(True).alias("many"))
     several = F.broadcast(several) if several.count() <= MOST_BROADCAST else several
-    out = out.join(several.withColumn("__many", F.lit(True)), "__key", "left").filter(F.col("__many").isNull() | F.col(id_col).eqNullSafe(F.col("__id")))
-    if not repeats:
-        out = out.dropDuplicates(["__key"])
-    return out.select(*docs.columns)
+    out = _checked_join(rows, gone, "key", "left_anti").join(several, "key", "left").filter(F.col("many").isNull() | F.col("id").eqNullSafe(F.col("class_id")))
+    if not unique:
+        out = out.dropDuplicates(["key"])
+    return out.select("row.*")
