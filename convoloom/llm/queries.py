@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, jaccard_join, lm_score, pii, quality_perplexity, quality_rules, secret_scan, sentencepieces, sharding, token_counts
+from . import decontamination, jaccard_join, lm_score, oracles, pii, quality_perplexity, quality_rules, secret_scan, sentencepieces, sharding, token_counts
 
 
 def tokenizer_file(name: str) -> str:
@@ -77,4 +77,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lm_scoring": op10_lm_scoring,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_jaccard_join": oracles.JACCARD, "op7_sharding": oracles.SHARDING}
