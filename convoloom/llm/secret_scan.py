@@ -24,8 +24,8 @@ WINDOW = 20
 #: Candidates that are known to be harmless, and what stands before a published digest.
 ALLOWED = re.compile(r"example|sample|dummy|placeholder|changeme|x{6,}|0{8,}|(?:0123456789)|abcdefghij|^[0-9-]+$|^[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}$", re.IGNORECASE)
 ALLOWED_BEFORE = re.compile(r"(?:sha(?:1|256|384|512)|md5|integrity|checksum|commit|etag)[\"']?\s*[:=-]?\s*[\"']?(?:sha\d+-)?$", re.IGNORECASE)
-#: c * log2(c) for every count a window can hold.
-WEIGHT = [0.0, *[c * log2(c) for c in range(1, WINDOW + 1)]]
+#: c * log2(c) for every count a window can hold, and one more for the step between two.
+WEIGHT = [0.0, *[c * log2(c) for c in range(1, WINDOW + 2)]]
 REDACTED = "[SECRET]"
 
 
