@@ -14,14 +14,17 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memory import tidy
+
 MARK = "▁"
 UNIGRAM = 1
-#: Distinct words and piece pairs a worker remembers before it starts anew.
-REMEMBERED = 500_000
+#: Distinct words, and twice as many piece pairs, that a worker remembers before it starts anew.
+REMEMBERED = 200_000
 UNKNOWN_PENALTY = 10.0
 
 
@@ -86,8 +89,13 @@ class PieceCoder:
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("pieces that go on behind a word's end are not supported")
         self.least = min(self.score) - UNKNOWN_PENALTY
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        #: Ids of pieces and, from the vocabulary's size on, of characters without one.
+        self.local, self.names = dict(self.ids), {i: p for p, i in self.ids.items()}
+        self.words: dict[str, bytes] = {}
+        self.pairs: dict[int, bool] = {}
+        self.surface = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self.size_of = np.array([len(b) for b in self.bytes_of], np.int64)
+        self.start_of = np.cumsum(self.size_of) - self.size_of
         self.odd = re.compile(f"{MARK}|^ | $|  ")
         self.unit = re.compile(f"{MARK}+[^{MARK}]*")
 
@@ -117,70 +125,88 @@ class PieceCoder:
             offer(a, after[a])
         return [p for p in parts if p is not None]
 
-    def _stable(self, a: str, b: str) -> bool:
-        """Whether merging the joined pieces gives just these two; remembered."""
-        known = self.pairs[a, b] = self.merged(a + b) == [a, b] if a else self.merged(b) == [b]
+    def _stable(self, left: int, right: int) -> bool:
+        """Whether merging the joined pieces gives just these two, or the right one alone if there is none before; remembered."""
+        a, b = self.names.get(left, ""), self.names[right]
+        known = self.pairs[left << 32 | right] = self.merged(a + b) == [a, b] if a else self.merged(b) == [b]
         return known
 
-    def _forward(self, words: list[str]) -> Iterator[list[str]]:
-        """The pieces of each of the sorted words; states of the shared prefix stay on the stack."""
-        last: list[str] = [""]
+    def _unknown(self, c: str) -> int:
+        i = self.local[c] = len(self.score) + len(self.local)
+        self.names[i] = c
+        return i
+
+    def _forward(self, words: list[str]) -> Iterator[list[int]]:
+        """The pieces, as local ids, of each of the sorted words; states of the shared prefix stay on the stack."""
+        nothing = (1 << 31) - 1
+        last: list[int] = [nothing]
+        size: list[int] = [0]
         best: list[float] = [0.0]
-        previous, ids, pairs = "", self.ids, self.pairs
+        previous, pairs, local = "", self.pairs, self.local
         lengths = [*[n for n in (2, 3, 4, 1) if n <= self.longest], *range(5, self.longest + 1)]
         for w in words:
-            n = min(len(previous), len(w))
             common = 0
-            while common < n and previous[common] == w[common]:
+            for x, y in zip(previous, w, strict=False):
+                if x != y:
+                    break
                 common += 1
-            del last[common + 1 :]
+            del last[common + 1 :], size[common + 1 :]
             if self.kind == UNIGRAM:
                 del best[common + 1 :]
             for end in range(common + 1, len(w) + 1):
                 if self.kind == UNIGRAM:
-                    top, own = best[end - 1] + self.least, w[end - 1]
+                    top, n, own = best[end - 1] + self.least, 1, local.get(w[end - 1])
+                    own = self._unknown(w[end - 1]) if own is None else own
                     for start in range(max(0, end - self.longest), end):
                         i = self.ids.get(w[start:end])
                         if i is not None and best[start] + self.score[i] > top:
-                            top, own = best[start] + self.score[i], w[start:end]
+                            top, n, own = best[start] + self.score[i], end - start, i
                     best.append(top)
                     last.append(own)
+                    size.append(n)
                     continue
                 for n in lengths:  # only one piece fits, so the commonest lengths are tried first
                     if n > end:
                         continue
-                    piece = w[end - n : end]
-                    if piece in ids or n == 1:
-                        key = (last[end - n], piece)
-                        known = pairs.get(key)
-                        if known is None:
-                            known = self._stable(*key)
-                        if known:
-                            last.append(piece)
-                            break
+                    i = local.get(w[end - n : end])
+                    if i is None:
+                        if n > 1:
+                            continue
+                        i = self._unknown(w[end - 1])
+                    key = last[end - n] << 32 | i
+                    known = pairs.get(key)
+                    if known is None:
+                        known = self._stable(last[end - n], i)
+                    if known:
+                        last.append(i)
+                        size.append(n)
+                        break
                 else:
                     raise AssertionError("no piece ends here")
             previous = w
             out, at = [], len(w)
             while at:
                 out.append(last[at])
-                at -= len(last[at])
-            yield out[::-1]
-
-    def _ids_of(self, pieces: list[str]) -> tuple[int, ...]:
+                at -= size[at]
+            out.reverse()
+            yield out
+
+    def _packed(self, pieces: list[int]) -> bytes:
+        """The library's ids as 32-bit integers; a character without a piece gives those of its bytes."""
+        if max(pieces) < len(self.score):
+            return np.array(pieces, np.int32).tobytes()
         out: list[int] = []
         for p in pieces:
-            i = self.ids.get(p)
-            if i is not None:
-                out.append(i)
+            if p < len(self.score):
+                out.append(p)
             elif self.fallback:
-                out += [self.byte_id[b] for b in p.encode("utf-8", "surrogatepass")]
+                out += [self.byte_id[b] for b in self.names[p].encode("utf-8", "surrogatepass")]
             elif not out or out[-1] != self.unknown:
                 out.append(self.unknown)
-        return tuple(out)
+        return np.array(out, np.int32).tobytes()
 
-    def encode_batch(self, texts: Iterable[str | None]) -> list[list[int]]:
-        """Ids of each text; the mark of the first word is put before the text as the library does."""
+    def pack(self, texts: Iterable[str | None]) -> list[bytes]:
+        """Ids of each text as 32-bit integers; the mark of the first word is put before the text as the library does."""
         cut: list[list[str]] = []
         for t in texts:
             if not t:
@@ -191,23 +217,24 @@ class PieceCoder:
                 cut.append(t.split(" "))
         if len(self.words) > REMEMBERED:
             self.words.clear()
-        if len(self.pairs) > 4 * REMEMBERED:
+        if len(self.pairs) > 2 * REMEMBERED:
             self.pairs.clear()
         new = sorted({u for units in cut for u in units} - self.words.keys())
         for u, pieces in zip(new, self._forward([MARK + u for u in new]), strict=True):
-            self.words[u] = self._ids_of(pieces)
+            self.words[u] = self._packed(pieces)
         get = self.words.__getitem__
-        out = []
-        for units in cut:
-            ids: list[int] = []
-            for own in map(get, units):
-                ids += own
-            out.append(ids)
-        return out
-
-    def decode(self, ids: Iterable[int]) -> str:
+        return [b"".join(map(get, units)) for units in cut]
+
+    def encode_batch(self, texts: Iterable[str | None]) -> list[list[int]]:
+        """Ids of each text."""
+        return [np.frombuffer(b, np.int32).tolist() for b in self.pack(texts)]
+
+    def decode(self, ids: Iterable[int] | np.ndarray) -> str:
         """The text of the ids, without the space that stands for the first mark."""
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
+        at = np.asarray(ids if isinstance(ids, np.ndarray) else list(ids), np.int64)
+        n = self.size_of[at]
+        place = np.repeat(self.start_of[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return self.surface[place].tobytes().decode("utf-8", "replace").removeprefix(" ")
 
 
 @lru_cache(maxsize=2)
@@ -231,22 +258,22 @@ def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
             for at in range(0, batch.num_rows, rows_a_block):
                 part = batch.slice(at, rows_a_block)
                 texts = [t or "" for t in part.column(1).to_pylist()]
-                ids = c.encode_batch(texts)
+                packed = c.pack(texts)
+                ids = [np.frombuffer(b, np.int32) for b in packed]
                 sizes = [len(x) for x in ids]
-                flat = np.fromiter((i for x in ids for i in x), np.int32, sum(sizes))
-                offsets = np.zeros(len(ids) + 1, np.int32)
-                np.cumsum(sizes, out=offsets[1:])
+                offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+                values = pa.array(np.frombuffer(b"".join(packed), np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array([c.decode(x) == t for x, t in zip(ids, texts, strict=True)])],
+                    [part.column(0), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), values), pa.array([c.decode(x) == t for x, t in zip(ids, texts, strict=True)], pa.bool_())],
                     names=["doc_id", "n_pieces", "ids", "round_trip"],
                 )
+        tidy()
 
     return rows.mapInArrow(run, f"doc_id {kind}, n_pieces long, ids array<int>, round_trip boolean")
 
 
 def decode_pieces(encoded: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """One row per input row: doc_id and the text of its ids; null ids give null text."""
-    import pandas as pd
 
     @F.pandas_udf("string")
     def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
