@@ -124,7 +124,11 @@ def parse_llm_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns(spark, sf_dir).select("conv_id", "turn", json_text.parse_llm_json(F.col("message")).isNotNull().alias("parsed"))
 
 
-@query()
+@query(
+    WITH + """SELECT conv_id, turn, CASE WHEN role <> 'assistant' THEN trim(message) WHEN (conv_id * 7 + turn) % 16 = 1 THEN '{"name":"search","arguments":{"q":1}}'
+    WHEN (conv_id * 7 + turn) % 16 = 2 THEN '{"name":"lookup","arguments":{"id":2}}' WHEN (conv_id * 7 + turn) % 16 = 3 THEN '{"name":"fetch","arguments":{}}'
+    WHEN (conv_id * 7 + turn) % 16 = 8 THEN '[{"name":"a","arguments":{}},{"name":"b","arguments":{"x":1}}]' ELSE trim(message) END AS value FROM t"""
+)
 def balanced_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X5."""
     return turns(spark, sf_dir).select("conv_id", "turn", json_text.balanced_json("message").alias("value"))

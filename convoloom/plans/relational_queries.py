@@ -419,7 +419,9 @@ def simulated_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return provider.run_sessions(tasks)
 
 
-@query()
+@query(
+    """SELECT c_custkey, CASE WHEN c_custkey % 50 <> 0 THEN 'answer ' || substr(md5(c_name), 1, 12) END AS content, CASE WHEN c_custkey % 50 = 0 THEN 'provider failed' END AS error FROM customer"""
+)
 def provider_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1, M2, M4-M8 with the stub: keyed answers with errors kept."""
     from ..operators import provider
@@ -428,7 +430,7 @@ def provider_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return provider.complete(c, "c_custkey", "prompt")
 
 
-@query()
+@query("SELECT p_partkey, 256 AS width, CAST(NULL AS VARCHAR) AS error FROM part")
 def provider_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3, M9 with the stub."""
     from ..operators import provider
@@ -436,7 +438,7 @@ def provider_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return provider.embed(table(spark, sf_dir, "part"), "p_partkey", "p_name", 256).select("p_partkey", F.size("embedding").alias("width"), "error")
 
 
-@query()
+@query("SELECT p_partkey, CAST(p_size AS BIGINT) * 2 AS double, CAST(NULL AS VARCHAR) AS error FROM part")
 def chunked_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U2."""
     from ..operators import provider

@@ -133,7 +133,10 @@ def random_walk_combos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.dedup_combinations(record, "tool_ids", "walk").select("id", "scenario_id", F.array_join("tool_ids", ",").alias("tool_ids"), "generation_method", "tool_count")
 
 
-@query()
+@query(
+    f"""WITH {GRAPH}, n AS (SELECT vec_id AS a, unnest([lead(vec_id, 1) OVER w, lead(vec_id, 2) OVER w, lead(vec_id, 3) OVER w]) AS b FROM embeddings WINDOW w AS (PARTITION BY label ORDER BY md5('7:' || vec_id), vec_id))
+  SELECT DISTINCT least(a, b) AS src, greatest(a, b) AS dst, 0.6::DOUBLE AS weight, 'category' AS edge_type FROM n WHERE b IS NOT NULL AND NOT EXISTS (SELECT 1 FROM g WHERE g.src = least(a, b) AND g.dst = greatest(a, b))"""
+)
 def category_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J13."""
     return graph.group_edges(_nodes(spark, sf_dir), _edges(spark, sf_dir), "id", "label", 0.6, "category")

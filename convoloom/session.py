@@ -18,6 +18,8 @@ def build_session(app: str = "convoloom", master: str | None = None, **conf: str
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # Checkpoints go once nothing refers to them.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     } | {k.replace("__", "."): v for k, v in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)
