@@ -164,7 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, seed:
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     n = known.count()
     part = min(1.0, max_labelled / max(n, 1))
-    chosen = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_000)) < int(part * 1_000_000))
+    chosen = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 40)) < int(part * (1 << 40)))
 
     @F.pandas_udf("array<double>")
     def features(texts: pd.Series) -> pd.Series:
