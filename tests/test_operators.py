@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from convoloom.config import Params
-from convoloom.operators import conversation, filters, graph, joins, provider, records, sampling, similarity, stats, training
+from convoloom.operators import conversation, filters, generation, graph, joins, provider, records, sampling, similarity, stats, training
 from convoloom.operators.components import connected_components
 
 
@@ -294,3 +294,23 @@ def test_sessions_end(spark):
     assert provider.execute_call('{"name":"zz"}', {"a": []}, Params(), "k")["error_type"] == "tool_not_found"
     assert provider.execute_call('{"name":"a","arguments":{}}', {"a": [("q", "string", True)]}, Params(), "k")["error_type"] == "parameter_error"
     assert provider.execute_call("nope", {}, Params(), "k")["error_type"] == "invalid_call"
+
+
+def test_generation(spark):
+    s = generation.generate_scenarios(spark, ["law", "care"], 7, batch=2)
+    got = s.collect()
+    assert len(got) == 6 and {r.domain for r in got} == {"law", "care"} and len({r.id for r in got}) == 6
+    assert generation.generate_scenarios(spark, [], 7).count() == 0 and generation.generate_scenarios(spark, ["law FAIL", "x"], 4).count() == 2
+    tools = generation.generate_tools(s, 3)
+    assert tools.count() == 18 and all(r.parameters[0].required for r in tools.collect())
+    named = tools.withColumn("id", F.when(F.col("id") == tools.first().id, "FAIL").otherwise(F.col("id")))
+    e = {r.id: r for r in generation.evaluate_tools(named).collect()}
+    assert e["FAIL"].failed and e["FAIL"].overall_score == 3.0 and sum(r.failed for r in e.values()) == 1
+    assert sorted(r.name for r in generation.refine_tools(named).collect()) == sorted(r.name for r in named.collect())
+    req = frame(spark, [(str(i), "simple", ["search"]) for i in range(40)], "key string, difficulty string, tools array<string>")
+    t = generation.generate_tasks(req).collect()
+    assert 20 <= len(t) < 40 and all(r.expected_tools == ["search"] and r.difficulty == "simple" for r in t)
+    p = frame(spark, [(i, "t", "r") for i in range(40)] + [(None, "t", "r")], "conv_id long, turns string, tool_results string")
+    j = generation.judge(p, "conv_id").collect()
+    assert len(j) == 41 and all(r.passed == (r.score is not None and r.score >= 4) and r.is_high_quality == (r.score is not None and r.score >= 4.5) for r in j)
+    assert any(r.score is None for r in j if r.conv_id is not None)
