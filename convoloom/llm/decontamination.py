@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memory import bounded
+
 #: Share of an item's length that may be edited, and the bytes of items that are looked for in one pass over the documents.
 EDIT_RATE, BLOCK_BYTES = 0.08, 4_000_000
 MATCH = "array<struct<item:long,edits:int,start:int,end:int>>"
@@ -132,7 +134,7 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE
     an item with a null id is listed with a null id; empty tables give no rows; other columns are not looked at. Items go
     through the documents in blocks of a fixed number of bytes, so what is sent to the workers stays bounded.
     """
-    found = None
+    docs, found = bounded(docs), None
     for block in _blocks(items):
         part = docs.select(F.col(id_col).alias("doc_id"), F.explode(_matches(block, rate)(F.col(text_col))).alias("m")).select("doc_id", "m.*")
         found = part if found is None else found.unionByName(part)
@@ -147,5 +149,5 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE
 def drop_contaminated(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, in which no item is found."""
     for block in _blocks(items):
-        docs = docs.filter(F.size(_matches(block, rate)(F.coalesce(F.col(text_col), F.lit("")))) == 0)
+        docs = bounded(docs).filter(F.size(_matches(block, rate)(F.coalesce(F.col(text_col), F.lit("")))) == 0)
     return docs

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..session import materialize
-from .memory import tidy
+from .memory import bounded, tidy
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Children a node has on average, depth of the tree, and the recall that the number of runs is set for.
@@ -440,7 +440,7 @@ def _member_sets(docs: DataFrame, clusters: DataFrame) -> DataFrame:
 def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(key, least_id, class_id, class_key, n_links, n_copies) of every distinct text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).withColumns({"rid": F.xxhash64("text"), "key": F.md5(F.col("text").cast("binary"))})
+    rows = bounded(docs).select(F.col(id_col).cast("long").alias("id"), text.alias("text")).withColumns({"rid": F.xxhash64("text"), "key": F.md5(F.col("text").cast("binary"))})
     feat = materialize(_features(rows.select("rid", "text")))
     clusters = materialize(connected_components(_candidate_edges(feat)).select(F.col("id").alias("rid"), F.col("component").alias("cluster")))
     sets = materialize(_member_sets(rows, clusters))

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memory import bounded
+
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
 #: Features of the model, with the direction in which quality may change (0: free).
@@ -170,7 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, seed:
     def features(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: text_stats(t)[1])
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", features("text").alias("x"))
+    rows = bounded(docs).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", features("text").alias("x"))
     got = rows.groupBy("doc_id").agg(F.min(F.struct("x", "quality")).alias("r")).select("doc_id", "r.*").orderBy("doc_id").toPandas()
     x = np.array(got["x"].tolist(), float).reshape(-1, len(FEATURES))
     return fit_forest(x, got["quality"].to_numpy(float), list(FEATURES.values()))
@@ -193,7 +195,7 @@ def apply_rules(docs: DataFrame, forest: Forest, least: float = 0.5, id_col: str
             out["quality"] = 1 / (1 + np.exp(-forest.score(x)))
             yield out[columns]
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), judge(F.col(text_col)).alias("s")).select("doc_id", "s.*")
+    rows = bounded(docs).select(F.col(id_col).alias("doc_id"), judge(F.col(text_col)).alias("s")).select("doc_id", "s.*")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return rows.select("doc_id", *STATS, failed.alias("base_failed"), (~failed & (F.col("quality") >= least)).alias("kept"), "quality")
 

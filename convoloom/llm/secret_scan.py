@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memory import bounded
+
 #: Rules of the contract (fixed values); spans at one place are listed in this order.
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -110,7 +112,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 rows.append((*n, hashlib.sha256(listed(base).encode()).hexdigest(), listed(spans)))
             yield pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "n_entropy", "base_sha256", "spans"])
 
-    found = docs.select(F.col(id_col).alias("doc_id"), scan(F.col(text_col)).alias("s"))
+    found = bounded(docs).select(F.col(id_col).alias("doc_id"), scan(F.col(text_col)).alias("s"))
     return found.select("doc_id", "s.*")
 
 
@@ -139,4 +141,4 @@ def redact_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
         for texts in batches:
             yield texts.map(redact, na_action="ignore")
 
-    return docs.withColumn(text_col, clean(F.col(text_col)))
+    return bounded(docs).withColumn(text_col, clean(F.col(text_col)))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .memory import tidy
+from .memory import bounded, tidy
 
 MARK = "▁"
 UNIGRAM = 1
@@ -249,7 +249,7 @@ def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     rows stay; an empty table gives no rows; other columns are not looked at. One pass without a shuffle; memory is a block of
     rows and bounded tables of known words.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
+    rows = bounded(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

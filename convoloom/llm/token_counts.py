@@ -12,6 +12,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memory import bounded
+
 #: The pre-token pattern of the byte-level vocabulary (a fixed value).
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Distinct pieces a worker remembers before it starts anew, and symbols merged in one array.
@@ -180,5 +182,5 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 1024, id_col: st
                 out += m.count(texts.iloc[i : i + 1000])
             yield pd.Series(out, dtype="int64")
 
-    t = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    t = bounded(docs).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     return t.select("doc_id", F.octet_length("t").cast("long").alias("n_bytes"), tokens("t").alias("n_tokens")).withColumn("over_limit", F.col("n_tokens") > limit)
