@@ -28,6 +28,8 @@ HEAD_SHARE, LONGEST_HEAD_WORD = 1e-6, 64
 WORDS_A_FLUSH, TOKENS_A_BLOCK, TOKENS_A_CHUNK = 400_000, 100_000, 1_000_000
 SMOOTH = 0.1
 SUM_PARTS = 8
+#: Tokens that one example stands for at most.
+MOST_WEIGHT = 8
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -121,8 +123,20 @@ def windows(ids: list[np.ndarray], v: int) -> tuple[np.ndarray, np.ndarray, np.n
     return s[at - 2], s[at - 1], s[at], n
 
 
-def descend(model: Model, noise: np.ndarray, two: np.ndarray, one: np.ndarray, token: np.ndarray, rng: np.random.Generator, state: dict[str, list[np.ndarray]], rate: float = 0.005) -> None:
-    """Noise-contrastive steps over the given examples; the noise words of a batch are shared, so scores are matrix products."""
+def examples(two: np.ndarray, one: np.ndarray, token: np.ndarray, v: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(two back, one back, token, weight): every distinct window, with weights that sum to its count. A window that is seen
+    more than MOST_WEIGHT times is given several times, so no example outweighs a batch."""
+    key, c = np.unique((two.astype(np.int64) * (v + 3) + one) * (v + 3) + token, return_counts=True)
+    times = -(-c // MOST_WEIGHT)
+    key, weight = np.repeat(key, times), np.repeat(c / times, times).astype(np.float32)
+    return key // (v + 3) ** 2, key // (v + 3) % (v + 3), key % (v + 3), weight
+
+
+def descend(model: Model, noise: np.ndarray, two: np.ndarray, one: np.ndarray, token: np.ndarray, rng: np.random.Generator, state: dict[str, list[np.ndarray]], rate: float = 0.005, weight: np.ndarray | None = None) -> None:
+    """Noise-contrastive steps over the given examples; the noise words of a batch are shared, so scores are matrix products.
+
+    ``weight`` says how many tokens an example stands for; the gradients are divided by its mean over all examples."""
+    weight = np.ones(len(token), np.float32) if weight is None else weight / weight.mean()
     shift = np.log(NOISE * noise).astype(np.float32)
     grown = np.cumsum(noise)
 
@@ -142,8 +156,9 @@ def descend(model: Model, noise: np.ndarray, two: np.ndarray, one: np.ndarray, t
         h = vb @ model.near + va @ model.far
         good = (h * model.outputs[w]).sum(axis=1) + model.bias[w] - shift[w]
         bad = h @ model.outputs[k].T + model.bias[k] - shift[k]
-        dg = 1 / (1 + np.exp(np.clip(good, -30, 30)))
-        db = -1 / (1 + np.exp(np.clip(-bad, -30, 30)))
+        share = weight[at : at + BATCH]
+        dg = share / (1 + np.exp(np.clip(good, -30, 30)))
+        db = -share[:, None] / (1 + np.exp(np.clip(-bad, -30, 30)))
         dh = dg[:, None] * model.outputs[w] + db @ model.outputs[k]
         n = len(w)
         rows = len(model.outputs)
@@ -161,8 +176,8 @@ def descend(model: Model, noise: np.ndarray, two: np.ndarray, one: np.ndarray, t
 def train(texts: DataFrame, vocabulary: list[bytes], unigram: np.ndarray, rounds: int = 2) -> Model:
     """Every round each task goes over the examples of its own texts and the results are averaged by tokens seen.
 
-    The distinct windows of a chunk are drawn as often as there are, in proportion to their counts, so the work follows the
-    number of different windows and all training text takes part. Only model-sized rows reach the driver, SUM_PARTS at most.
+    Every window of a chunk takes part with its count as the weight of its gradient, so the work follows the number of
+    different windows, plus one example for MOST_WEIGHT repeats. Only model-sized rows reach the driver, SUM_PARTS at most.
     """
     model = start_model(unigram)
     index = {w: i for i, w in enumerate(vocabulary)}
@@ -180,10 +195,9 @@ def train(texts: DataFrame, vocabulary: list[bytes], unigram: np.ndarray, rounds
 
             def step() -> None:
                 a, b, w, _ = windows(waiting, v)
-                key, c = np.unique((a.astype(np.int64) * (v + 3) + b) * (v + 3) + w, return_counts=True)
-                key = key[np.searchsorted(np.cumsum(c), rng.random(len(key)) * c.sum(), side="right").clip(0, len(key) - 1)]
-                rng.shuffle(key)
-                descend(own, noise, key // (v + 3) ** 2, key // (v + 3) % (v + 3), key % (v + 3), rng, state)
+                a, b, w, share = examples(a, b, w, v)
+                order = rng.permutation(len(w))
+                descend(own, noise, a[order], b[order], w[order], rng, state, weight=share[order])
 
             get = index.get
             for batch in batches:

@@ -72,3 +72,29 @@ def test_learns_order():
 def test_held_out_beats_base(spark):
     got = L.score_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).filter("held_out").collect()
     assert sum(r.score for r in got) > 0.9 * sum(r.base_score for r in got)
+
+
+def test_every_window_is_trained_on():
+    """One window makes up nearly all of a text; the rare ones take part too, each with its full count."""
+    rng = np.random.default_rng(2)
+    ids = [np.zeros(5000, np.int32), *(rng.integers(0, 50, 20).astype(np.int32) for _ in range(40))]
+    a, b, w, _ = L.windows(ids, 50)
+    got = Counter()
+    for x, y, z, n in zip(*(p.tolist() for p in L.examples(a, b, w, 50)), strict=True):
+        assert 0 < n <= L.MOST_WEIGHT
+        got[x, y, z] += n
+    want = Counter(zip(a.tolist(), b.tolist(), w.tolist(), strict=True))
+    assert got.keys() == want.keys() and all(math.isclose(got[k], n, rel_tol=1e-4) for k, n in want.items())
+
+
+def test_weights_scale_gradients():
+    """Examples with weights move the model as their repeats do."""
+    unigram = np.array([0.4, 0.3, 0.2, 0.1])
+    moved = []
+    for a, weight in (([0, 0, 0, 1], None), ([0, 1], np.array([3.0, 1.0], np.float32))):
+        m = L.start_model(unigram)
+        state = {"m1": [np.zeros_like(p) for p in m.parts()], "m2": [np.zeros_like(p) for p in m.parts()], "t": [np.zeros(1)]}
+        x = np.array(a)
+        L.descend(m, unigram, x, 1 - x, x, np.random.default_rng(3), state, weight=weight)
+        moved.append(state["m1"])
+    assert all(np.allclose(p, q, atol=1e-6) for p, q in zip(*moved, strict=True))
