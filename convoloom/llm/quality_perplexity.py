@@ -1,8 +1,9 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text, cut at quantiles of each language.
 
-The model's units are characters in ``SYMBOLS`` classes, so its table has SYMBOLS ** ORDER entries whatever the corpus: counts
-are summed over n-gram shards in a shuffle, and the finished table, of that fixed size, meets the documents map-side. A shuffle
-of every document's n-grams against the count shards gives the same sums at several times the input in shuffle files.
+A character's probability is that of its class after the three classes before, times its own within the class after the two
+characters before. Classes are SYMBOLS in number, so their table has SYMBOLS ** ORDER entries whatever the corpus and meets the
+documents map-side. Real characters are counted over n-gram shards in a shuffle and stay sharded; the distinct n-grams of the
+documents join them, and what they get goes back map-side up to a bound, and by a join with every document's n-grams beyond it.
 """
 
 from __future__ import annotations
@@ -28,6 +29,10 @@ PRIOR_CHARS = 200
 #: The cut: this many times the spread between the median and the 95 % quantile above the latter.
 SPREADS = 3.0
 MOST_LANGUAGES_BROADCAST = 10_000
+#: Distinct n-grams of real characters that are sent to the workers, and those held in a task before they are handed on.
+MOST_GRAMS_BROADCAST, GRAMS_A_FLUSH = 2_000_000, 1_000_000
+#: Bits of a code point in an n-gram of three real characters.
+BITS = 21
 
 
 @lru_cache(maxsize=1)
@@ -60,13 +65,32 @@ def symbol_table() -> np.ndarray:
     return table
 
 
+@lru_cache(maxsize=1)
+def class_sizes() -> np.ndarray:
+    """Code points in each class. Within a class of one there is nothing to tell apart."""
+    return np.bincount(symbol_table(), minlength=SYMBOLS)
+
+
+def codes(texts: list[str]) -> np.ndarray:
+    """Code points of the joined texts, with an end after each and padding before."""
+    pad = "\0" * (ORDER - 1)
+    joined = pad + (pad + "\0").join(t.replace("\0", "\1") for t in texts) + "\0"
+    return np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def char_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places, as in ``grams``, whose class has several characters; the three real characters that end there; the class."""
+    u = codes(texts)
+    kind = symbol_table()[u[ORDER - 1 :]]
+    at = np.flatnonzero(class_sizes()[kind] > 1)
+    part = [u[at + ORDER - 1 - j].astype(np.int64) << (BITS * j) for j in range(3)]
+    return at, part[0] | part[1] | part[2], kind[at]
+
+
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The n-gram that ends at each place of the joined texts, and each text's first place and number of places (its
     characters and one end)."""
-    texts = [t.replace("\0", "\1") for t in texts]
-    pad = "\0" * (ORDER - 1)
-    joined = pad + (pad + "\0").join(texts) + "\0"
-    s = symbol_table()[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.int32)
+    s = symbol_table()[codes(texts)].astype(np.int32)
     key = s[: len(s) - ORDER + 1]
     for j in range(1, ORDER):
         key = key * SYMBOLS + s[j : len(s) - ORDER + 1 + j]
@@ -89,12 +113,35 @@ def _blocks(texts: list[str]) -> Iterator[list[str]]:
 
 
 def count_grams(texts: DataFrame) -> DataFrame:
-    """(gram, n) of all texts: one dense count a task, summed by gram."""
+    """(gram, n) of all texts, in classes."""
+    return count_all(texts).filter("kind < 0").select("gram", "n")
+
+
+def count_all(texts: DataFrame, classes: bool = True) -> DataFrame:
+    """(gram, kind, n) of all texts. Kind -1: n-grams of classes, one dense count a task; others: three real characters, of which
+    the last is of class ``kind``, each task's distinct ones. Both are summed by gram."""
+    names = ["gram", "kind", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SYMBOLS**ORDER, np.int64)
+        def real() -> Iterator[pa.RecordBatch]:
+            last = own[0] & ((1 << BITS) - 1)
+            kind = symbol_table()[last].astype(np.int32)
+            for at in range(0, len(last), 100_000):
+                s = slice(at, at + 100_000)
+                yield pa.RecordBatch.from_arrays([pa.array(own[0][s]), pa.array(kind[s]), pa.array(own[1][s])], names=names)
+
+        total = np.zeros(SYMBOLS**ORDER if classes else 0, np.int64)
+        own = (np.zeros(0, np.int64), np.zeros(0, np.int64))
         for batch in batches:
             for block in _blocks([t for t in batch.column(0).to_pylist() if t]):
+                key, c = np.unique(char_grams(block)[1], return_counts=True)
+                key, back = np.unique(np.concatenate((own[0], key)), return_inverse=True)
+                own = (key, np.bincount(back, np.concatenate((own[1], c)), len(key)).astype(np.int64))
+                if len(key) > GRAMS_A_FLUSH:
+                    yield from real()
+                    own = (own[0][:0], own[1][:0])
+                if not classes:
+                    continue
                 key, first, n = grams(block)
                 inside = np.zeros(len(key) + 1, np.int32)
                 np.add.at(inside, first, 1)
@@ -104,11 +151,47 @@ def count_grams(texts: DataFrame) -> DataFrame:
         ids = np.flatnonzero(total)
         for at in range(0, len(ids), 100_000):
             part = ids[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.full(len(part), -1, np.int32)), pa.array(total[part])], names=names)
+        yield from real()
         del total
         tidy()
 
-    return texts.mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(run, "gram long, kind int, n long").groupBy("gram", "kind").agg(F.sum("n").alias("n"))
+
+
+def char_logs(counts: DataFrame, needed: DataFrame) -> DataFrame:
+    """(gram, logp): natural log-probability, within its class, of the last character of every needed (gram, kind).
+
+    Interpolated modified Kneser-Ney over three, two and one real characters, then uniform over the class. One-character tables
+    hold a row for each code point at most and are broadcast; the others join by gram and by context.
+    """
+    level = counts.select("gram", "kind", "n")
+    levels = [level]
+    for k in (2, 1):
+        level = level.groupBy((F.col("gram").bitwiseAND((1 << (BITS * k)) - 1)).alias("gram"), "kind").agg(F.count("*").alias("n"))
+        levels.append(level)
+    sizes = class_sizes()
+    p = F.lit(1.0) / F.element_at(F.array(*[F.lit(float(max(x, 1))) for x in sizes]), F.col("kind") + 1)
+    out = needed.select("gram", "kind").withColumn("p", p)
+    for k, level in zip((1, 2, 3), reversed(levels), strict=True):
+        level = materialize(level)
+        few = level.agg(*[F.sum((F.col("n") == i).cast("long")).alias(f"n{i}") for i in (1, 2, 3, 4)]).first()
+        n1, n2, n3, n4 = (float(x or 0) for x in few)
+        y = n1 / (n1 + 2 * n2) if n1 else 0.0
+        d = [float(np.clip(i - (i + 1) * y * b / a, 0, i)) if a else 0.0 for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+        cut = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
+        level = level.select(F.col("gram").alias("own"), "kind", F.col("n"), cut.alias("cut"))
+        context = level.groupBy(F.shiftright("own", BITS).alias("before"), "kind").agg(F.sum("n").alias("total"), F.sum("cut").alias("spare"))
+        level = level.select("own", "kind", (F.col("n") - F.col("cut")).alias("rest"))
+        if k == 1:
+            level, context = F.broadcast(level), F.broadcast(context)
+        own = F.col("gram").bitwiseAND((1 << (BITS * k)) - 1)
+        out = out.withColumns({"own": own, "before": F.shiftright(own, BITS)}).join(level, ["own", "kind"], "left").join(context, ["before", "kind"], "left")
+        # As in the table of classes: with no discount at all a little mass still goes to the lower order.
+        mass = F.when(F.col("spare") > 0, F.col("spare")).otherwise(0.5)
+        p = F.when(F.col("total").isNull(), F.col("p")).otherwise((F.coalesce("rest", F.lit(0.0)) + mass * F.col("p")) / (F.col("total") - F.col("spare") + mass))
+        out = out.select("gram", "kind", p.alias("p"))
+    return out.select("gram", F.log(F.greatest("p", F.lit(1e-30))).alias("logp"))
 
 
 def kneser_ney(count: np.ndarray) -> np.ndarray:
@@ -138,19 +221,21 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(good.alias("good")).filter("good").select("doc_id")
 
 
-def train(docs: DataFrame, labels: DataFrame) -> np.ndarray:
-    """The model of all trusted text. Without any the table is uniform.
+def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, DataFrame]:
+    """The model of all trusted text: the table of classes, and (gram, logp) of the real characters of all documents. Without
+    any trusted text both are uniform.
 
     Text meets labels in a merge join whatever the labels' size, so the shuffle stays in proportion to the input."""
     trusted = bounded(docs).select("doc_id", "text").filter(F.col("text").isNotNull()).join(trusted_ids(labels).hint("merge"), "doc_id", "left_semi")
-    got = count_grams(trusted.select("text")).toPandas()
+    counts = materialize(count_all(trusted.select("text")))
+    got = counts.filter("kind < 0").toPandas()
     count = np.zeros(SYMBOLS**ORDER, np.int64)
     count[got["gram"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
-    return kneser_ney(count)
+    return kneser_ney(count), materialize(char_logs(counts.filter("kind >= 0"), count_all(docs.select("text"), classes=False)))
 
 
-def score(table: np.ndarray, text: Column) -> Column:
-    """Struct of the text's places and its log-probability (natural)."""
+def score(table: np.ndarray, text: Column, keys: np.ndarray, logs: np.ndarray) -> Column:
+    """Struct of the text's places and its log-probability (natural), with that of real characters as far as in ``keys``."""
 
     @F.pandas_udf("places long, logp double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -158,7 +243,12 @@ def score(table: np.ndarray, text: Column) -> Column:
             places, logp = [], []
             for block in _blocks(["" if t is None else t for t in series]):
                 key, first, n = grams(block)
-                total = np.concatenate(([0.0], np.cumsum(table[key], dtype=np.float64)))
+                own = table[key].astype(np.float64)
+                if len(keys):
+                    at, real, _ = char_grams(block)
+                    real, back = np.unique(real, return_inverse=True)
+                    own[at] += logs[np.searchsorted(keys, real).clip(0, len(keys) - 1)][back]
+                total = np.concatenate(([0.0], np.cumsum(own)))
                 places.append(n)
                 logp.append(total[first + n] - total[first])
             yield pd.DataFrame({"places": np.concatenate(places) if places else np.array([], np.int64), "logp": np.concatenate(logp) if logp else np.array([], float)})
@@ -167,6 +257,32 @@ def score(table: np.ndarray, text: Column) -> Column:
     return run(text)
 
 
+def real_grams(text: Column) -> Column:
+    """A text's distinct n-grams of real characters and their counts."""
+
+    @F.pandas_udf("array<struct<gram long, n long>>")
+    def run(texts: pd.Series) -> pd.Series:
+        count = lambda t: zip(*(x.tolist() for x in np.unique(char_grams([t])[1], return_counts=True)), strict=True)
+        return pd.Series([[{"gram": g, "n": n} for g, n in count(t)] if t else [] for t in texts], dtype=object)
+
+    return run(text)
+
+
+def scored_rows(docs: DataFrame, columns: list[Column], model: tuple[np.ndarray, DataFrame]) -> DataFrame:
+    """``columns`` of every row, with the places and the log-probability of its text."""
+    table, real = model
+    if real.count() <= MOST_GRAMS_BROADCAST:
+        got = real.toPandas().sort_values("gram")
+        s = score(table, F.col("text"), got["gram"].to_numpy(np.int64), got["logp"].to_numpy(np.float64))
+        return docs.select(*columns, s.alias("s")).select("*", "s.*").drop("s")
+    none = np.zeros(0, np.int64)
+    rows = materialize(docs.select(*columns, score(table, F.col("text"), none, none).alias("s"), real_grams(F.col("text")).alias("grams")))
+    rows = rows.withColumn("at", F.monotonically_increasing_id())
+    sums = rows.select("at", F.inline("grams")).join(real.withColumnRenamed("logp", "log"), "gram").groupBy("at").agg(F.sum(F.col("n") * F.col("log")).alias("more"))
+    whole = rows.join(sums, "at", "left").withColumns({"places": F.col("s.places"), "logp": F.col("s.logp") + F.coalesce("more", F.lit(0.0))})
+    return whole.drop("at", "grams", "more", "s")
+
+
 def limits(scored: DataFrame, labels: DataFrame) -> tuple[DataFrame, tuple[float, float]]:
     """(language, mean, limit) from all trusted rows, and the same two over all languages for those without trusted text.
 
@@ -197,18 +313,16 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ``perplexity`` is per character, with PRIOR_CHARS characters of the language's average mixed in; a row is kept up to its
     language's threshold. Null text counts as empty, which is average and kept; null or untrusted languages take the threshold
     over all languages; without trusted text all is kept. Repeated rows stay; an empty table gives no rows; other columns are
-    not looked at. Two scans of the documents; labels meet ids and, once, text.
+    not looked at. Three scans of the documents; labels meet ids and, once, text.
     """
-    table = train(docs, labels)
-    scored = materialize(docs.select("doc_id", "lang", F.coalesce(F.col("lang"), F.lit("")).alias("language"), score(table, F.col("text")).alias("s")).select("doc_id", "lang", "language", "s.*"))
+    scored = materialize(scored_rows(docs, [F.col("doc_id"), F.col("lang"), F.coalesce(F.col("lang"), F.lit("")).alias("language")], train(docs, labels)))
     return _judged(scored, *limits(scored, labels)).select("doc_id", "lang", (F.col("places") - 1).alias("n_chars"), (F.col("logp") / F.lit(float(np.log(10)))).alias("log10_probability"), "perplexity", F.col("limit").alias("threshold"), "kept")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, with their columns, that ``classify`` keeps."""
     columns = docs.columns
-    table = train(docs, labels)
-    slim = docs.select("doc_id", F.coalesce(F.col("lang"), F.lit("")).alias("language"), score(table, F.col("text")).alias("s")).select("doc_id", "language", "s.*")
-    by, whole = limits(materialize(slim), labels)
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.coalesce(F.col("lang"), F.lit("")).alias("language"), score(table, F.col("text")).alias("s")).select("row", "language", "s.*")
+    model, language = train(docs, labels), F.coalesce(F.col("lang"), F.lit("")).alias("language")
+    by, whole = limits(materialize(scored_rows(docs, [F.col("doc_id"), language], model)), labels)
+    inner = scored_rows(docs, [F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), language], model)
     return _judged(inner, by, whole).filter("kept").select("row.*")

@@ -87,3 +87,45 @@ def test_held_out(spark):
     got = K.classify(docs, labels.filter("doc_id % 2 = 0")).join(labels.filter("doc_id % 2 = 1 and toxic = 0"), "doc_id").collect()
     clean, bad = [r.kept for r in got if r.quality == 1], [r.kept for r in got if r.quality == 0]
     assert sum(clean) / len(clean) >= 0.98 and sum(bad) / len(bad) <= 0.2
+
+
+def test_other_scripts_are_told_apart(spark, monkeypatch):
+    """A scramble of letters with the same word lengths scores below the text in any script, map-side and joined alike."""
+    rng = np.random.default_rng(4)
+    words = {"ru": "простой рассказ о том как море было синим и небо тоже".split(), "el": "μια απλη ιστορια για τη θαλασσα και τον ουρανο".split(), "zh": "這是 一個 簡單 的故事 關於 大海 和 天空".split()}
+    line = lambda lang: " ".join(rng.choice(words[lang], 30))
+    docs, labels = [], []
+    for lang in words:
+        for i in range(30):
+            docs.append((len(docs), line(lang), lang))
+            labels.append((len(labels), 1, 0))
+    pairs = []
+    for lang in words:
+        good = line(lang)
+        letters = list(rng.permutation([c for c in good if c != " "]))
+        pairs.append((good, "".join(c if c == " " else letters.pop() for c in good)))
+        docs += [(1000 + len(docs) + k, t, lang) for k, t in enumerate(pairs[-1])]
+    frame, marks = edge_docs(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    found = []
+    for most in (K.MOST_GRAMS_BROADCAST, 0):
+        monkeypatch.setattr(K, "MOST_GRAMS_BROADCAST", most)
+        got = sorted((r.doc_id, r.log10_probability, r.kept) for r in K.classify(frame, marks).collect())
+        assert len(got) == len(docs) and K.keep_good(frame, marks).count() == sum(r[2] for r in got)
+        found.append(got)
+    tested = found[0][90:]
+    for a, b in zip(tested[::2], tested[1::2], strict=True):
+        assert a[2] and not b[2] and a[1] > b[1] + 20
+    assert np.allclose([r[1] for r in found[0]], [r[1] for r in found[1]])
+
+
+def test_real_characters_are_normalised(spark):
+    """Over the two line ends, after any context."""
+    texts = ["one\ntwo\n\rthree\r\nfour\n"] * 2 + ["a\nb"]
+    counts = K.count_all(spark.createDataFrame([(t,) for t in texts], "text string")).filter("kind >= 0")
+    needed = K.count_all(spark.createDataFrame([(f"{c}{e}",) for c in ("ne", "zz", "\n\r", "b") for e in "\n\r"], "text string"), classes=False).filter("kind = 30")
+    total = Counter()
+    for r in K.char_logs(counts, needed).collect():
+        total[r.gram >> K.BITS] += float(np.exp(r.logp))
+    assert len(total) >= 4
+    both = [x for c, x in total.items() if c in {(ord(p[-2]) << K.BITS | ord(p[-1])) for p in ("ne", "zz")}]
+    assert np.allclose(both, 1)
