@@ -23,8 +23,10 @@ ASSIGN_HINTS = ("passw", "secret", "token", "apikey", "api_key")
 #: Character classes: the alphabet of candidate strings, and the bits a window must reach.
 CLASSES = ((re.compile(r"[0-9A-Fa-f]{20,}"), 3.0), (re.compile(r"[A-Za-z0-9+/_=-]{20,}"), 3.8))
 WINDOW = 20
-#: Candidates that are known to be harmless, and what stands before a published digest.
-ALLOWED = re.compile(r"example|sample|dummy|placeholder|changeme|x{6,}|0{8,}|(?:0123456789)|abcdefghij|^[0-9-]+$|^[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}$", re.IGNORECASE)
+#: Whole candidates, parts between slashes and stretches that are known to be harmless, and what stands before a published digest.
+ALLOWED = re.compile(r"^[0-9-]+$|^[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}$", re.IGNORECASE)
+ALLOWED_PART = re.compile(r"example|sample|dummy|placeholder|changeme", re.IGNORECASE)
+FILLER = re.compile(r"x{6,}|0{8,}|0123456789|abcdefghij", re.IGNORECASE)
 ALLOWED_BEFORE = re.compile(r"(?:sha(?:1|256|384|512)|md5|integrity|checksum|commit|etag)[\"']?\s*[:=-]?\s*[\"']?(?:sha\d+-)?$", re.IGNORECASE)
 #: c * log2(c) for every count a window can hold, and one more for the step between two.
 WEIGHT = [0.0, *[c * log2(c) for c in range(1, WINDOW + 2)]]
@@ -63,6 +65,23 @@ def entropy_runs(s: str, least: float, window: int = WINDOW) -> list[tuple[int,
     return runs
 
 
+def open_stretches(s: str) -> list[tuple[int, int]]:
+    """What is left of a candidate without its harmless parts and fillers."""
+    shut = [m.span() for m in FILLER.finditer(s)]
+    if ALLOWED_PART.search(s):
+        at = 0
+        for part in s.split("/"):
+            if ALLOWED_PART.search(part):
+                shut.append((at, at + len(part)))
+            at += len(part) + 1
+    out, at = [], 0
+    for a, b in sorted(shut):
+        if a > at:
+            out.append((at, a))
+        at = max(at, b)
+    return [*out, (at, len(s))]
+
+
 def find_spans(text: str | None) -> list[tuple[int, int, int]]:
     """(start, rank of the kind, end) of all spans, in listed order."""
     if not text:
@@ -81,7 +100,8 @@ def find_spans(text: str | None) -> list[tuple[int, int, int]]:
             s = m[0]
             if s.isalpha() or s.isdigit() or ALLOWED.search(s) or ALLOWED_BEFORE.search(text[max(0, m.start() - 40) : m.start()]):
                 continue
-            more.update((m.start() + a, m.start() + b) for a, b in entropy_runs(s, least))
+            for at, end in open_stretches(s):
+                more.update((m.start() + at + a, m.start() + at + b) for a, b in entropy_runs(s[at:end], least))
     for a, b in sorted(more, key=lambda x: (x[0], -x[1])):
         if not any(x <= a and b <= y for x, _, y in base):
             base.append((a, 3, b))

@@ -68,3 +68,14 @@ def test_redaction(spark):
     assert out.columns == docs.columns
     got = {r.doc_id: r.text for r in out.collect()}
     assert got == {1: 'a [SECRET]" b', 2: None, 3: "clean"}
+
+
+def test_allow_list_drops_only_what_it_matches():
+    key = "dQw4w9WgXcQ7Kp2LzT5vB8nM1sR3"
+    for before, after in (("https://host.io/sample-app/", ""), ("a/", "/example/b"), ("xxxxxxxx", ""), ("", "00000000")):
+        t = before + key + after
+        covered = [(a, b) for a, k, b in S.find_spans(t) if k == 3]
+        assert any(a <= len(before) and len(before) + len(key) <= b for a, b in covered), t
+        assert S.redact(t) != t and "sR3" not in S.redact(t)
+    for t in (f"a/sample-{key}/b", f"a/{key[:14]}example{key[14:]}", "x" * 40):
+        assert not S.find_spans(t), t
