@@ -1,102 +1,51 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text, cut at quantiles of each language.
 
-A character's probability is that of its class after the three classes before, times its own within the class after the two
-characters before. Classes are SYMBOLS in number, so their table has SYMBOLS ** ORDER entries whatever the corpus and meets the
-documents map-side. Real characters are counted over n-gram shards in a shuffle and stay sharded; the distinct n-grams of the
-documents join them, and what they get goes back map-side up to a bound, and by a join with every document's n-grams beyond it.
+Tokens are UTF-16 units, so an n-gram of ORDER of them is one long and every script is told apart. Counts of the trusted text
+stay in tables that are sharded by n-gram. Documents are read in units of about UNIT_CHARS characters; the distinct n-grams of a
+unit are joined to the counts, and what they get meets the unit's texts, compressed, in a shuffle by unit. No table is sent to
+all workers but those with a row for each token at most.
 """
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
 from .memory import bounded, tidy
 
-ORDER, SYMBOLS = 4, 40
-#: Characters scored in one array operation.
-CHARS_A_BLOCK = 1_000_000
+ORDER, BITS = 4, 16
+#: Characters of a unit, and those handled in one array operation.
+UNIT_CHARS, CHARS_A_BLOCK = 8_000_000, 1_000_000
+#: Distinct n-grams held in a task before they are handed on, and rows of a batch that leaves a worker.
+GRAMS_A_FLUSH, ROWS_A_BATCH = 1_000_000, 100_000
 #: Characters of average text that are mixed into a document's mean, which steadies short ones.
 PRIOR_CHARS = 200
-#: The cut: this many times the spread between the median and the 95 % quantile above the latter.
-SPREADS = 3.0
-MOST_LANGUAGES_BROADCAST = 10_000
-#: Distinct n-grams of real characters that are sent to the workers, and those held in a task before they are handed on.
-MOST_GRAMS_BROADCAST, GRAMS_A_FLUSH = 2_000_000, 1_000_000
-#: Bits of a code point in an n-gram of three real characters.
-BITS = 21
-
-
-@lru_cache(maxsize=1)
-def symbol_table() -> np.ndarray:
-    """The class of each code point. 0: outside the text; 1-26: a-z; 27: capital; 28: digit; 29: blank; 30: line end; 31: full stop;
-    32: comma; 33: other punctuation; 34: exclamation mark; 35: symbol; 36: small Latin letter with a mark; 37: other small
-    letter; 38: other letter; 39: rest."""
-    table = np.full(0x110000, 39, np.uint8)
-    for code in range(0x30000):
-        kind = unicodedata.category(chr(code))
-        if kind in ("Lu", "Lt"):
-            table[code] = 27
-        elif kind == "Ll":
-            table[code] = 36 if code < 0x250 else 37
-        elif kind[0] == "L":
-            table[code] = 38
-        elif kind[0] == "N":
-            table[code] = 28
-        elif kind[0] == "P":
-            table[code] = 33
-        elif kind[0] == "S":
-            table[code] = 35
-        elif kind == "Zs":
-            table[code] = 29
-    for i in range(26):
-        table[ord("a") + i] = 1 + i
-    for c, k in (("\t", 29), ("\n", 30), ("\r", 30), (".", 31), (",", 32), ("!", 34), ("\0", 0)):
-        table[ord(c)] = k
-    table[[ord(c) for c in "#*$%&|<>"]] = 35
-    return table
-
-
-@lru_cache(maxsize=1)
-def class_sizes() -> np.ndarray:
-    """Code points in each class. Within a class of one there is nothing to tell apart."""
-    return np.bincount(symbol_table(), minlength=SYMBOLS)
-
-
-def codes(texts: list[str]) -> np.ndarray:
-    """Code points of the joined texts, with an end after each and padding before."""
-    pad = "\0" * (ORDER - 1)
-    joined = pad + (pad + "\0").join(t.replace("\0", "\1") for t in texts) + "\0"
-    return np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-
-
-def char_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places, as in ``grams``, whose class has several characters; the three real characters that end there; the class."""
-    u = codes(texts)
-    kind = symbol_table()[u[ORDER - 1 :]]
-    at = np.flatnonzero(class_sizes()[kind] > 1)
-    part = [u[at + ORDER - 1 - j].astype(np.int64) << (BITS * j) for j in range(3)]
-    return at, part[0] | part[1] | part[2], kind[at]
+#: The cut: this quantile of each language's trusted rows that the model has not seen, one in HELD_OUT. Its distance from the
+#: median is drawn up to that of all languages with the weight of so many rows, for languages with few.
+QUANTILE, HELD_OUT, PRIOR_ROWS = 0.99, 3, 20
+#: Lists up to so many rows are broadcast; larger ones are joined by a shuffle, by language in SALTS parts.
+MOST_IDS_BROADCAST, MOST_LANGUAGES_BROADCAST, SALTS = 1_000_000, 10_000, 32
 
 
-def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The n-gram that ends at each place of the joined texts, and each text's first place and number of places (its
-    characters and one end)."""
-    s = symbol_table()[codes(texts)].astype(np.int32)
-    key = s[: len(s) - ORDER + 1]
-    for j in range(1, ORDER):
-        key = key * SYMBOLS + s[j : len(s) - ORDER + 1 + j]
-    n = np.array([len(t) + 1 for t in texts], np.int64)
-    first = np.concatenate(([0], np.cumsum(n + ORDER - 1)[:-1]))
-    return key, first, n
+def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-gram that ends at each token and at each text's end, and the number of these places of each text."""
+    pad = "\0" * (ORDER - 1)
+    coded = [t.replace("\0", "\1").encode("utf-16-le", "surrogatepass") for t in texts]
+    n = np.array([len(c) // 2 + 1 for c in coded], np.int64)
+    edge = (pad + "\0").encode("utf-16-le")
+    u = np.frombuffer(edge[2:] + edge.join(coded) + edge[:2], np.uint16).astype(np.uint64)
+    key = np.zeros(len(u) - ORDER + 1, np.uint64)
+    for j in range(ORDER):
+        key = key << np.uint64(BITS) | u[j : len(u) - ORDER + 1 + j]
+    first = np.cumsum(n + ORDER - 1) - n - (ORDER - 1)
+    at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    return key[at].view(np.int64), n
 
 
 def _blocks(texts: list[str]) -> Iterator[list[str]]:
@@ -104,7 +53,7 @@ def _blocks(texts: list[str]) -> Iterator[list[str]]:
     size = 0
     for t in texts:
         block.append(t)
-        size += len(t)
+        size += len(t) + 1
         if size >= CHARS_A_BLOCK:
             yield block
             block, size = [], 0
@@ -112,107 +61,77 @@ def _blocks(texts: list[str]) -> Iterator[list[str]]:
         yield block
 
 
-def count_grams(texts: DataFrame) -> DataFrame:
-    """(gram, n) of all texts, in classes."""
-    return count_all(texts).filter("kind < 0").select("gram", "n")
+def _texts(column: pa.Array) -> list[str]:
+    return [t or "" for t in column.to_pylist()]
 
 
-def count_all(texts: DataFrame, classes: bool = True) -> DataFrame:
-    """(gram, kind, n) of all texts. Kind -1: n-grams of classes, one dense count a task; others: three real characters, of which
-    the last is of class ``kind``, each task's distinct ones. Both are summed by gram."""
-    names = ["gram", "kind", "n"]
+def count_grams(texts: DataFrame) -> DataFrame:
+    """(gram, n) of all texts: each task's distinct ones, summed by gram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def real() -> Iterator[pa.RecordBatch]:
-            last = own[0] & ((1 << BITS) - 1)
-            kind = symbol_table()[last].astype(np.int32)
-            for at in range(0, len(last), 100_000):
-                s = slice(at, at + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(own[0][s]), pa.array(kind[s]), pa.array(own[1][s])], names=names)
-
-        total = np.zeros(SYMBOLS**ORDER if classes else 0, np.int64)
-        own = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        key, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(key), ROWS_A_BATCH):
+                part = slice(at, at + ROWS_A_BATCH)
+                yield pa.RecordBatch.from_arrays([pa.array(key[part]), pa.array(n[part])], names=["gram", "n"])
+
         for batch in batches:
-            for block in _blocks([t for t in batch.column(0).to_pylist() if t]):
-                key, c = np.unique(char_grams(block)[1], return_counts=True)
-                key, back = np.unique(np.concatenate((own[0], key)), return_inverse=True)
-                own = (key, np.bincount(back, np.concatenate((own[1], c)), len(key)).astype(np.int64))
+            for block in _blocks(_texts(batch.column(0))):
+                own, c = np.unique(grams(block)[0], return_counts=True)
+                key, back = np.unique(np.concatenate((key, own)), return_inverse=True)
+                n = np.bincount(back, np.concatenate((n, c)), len(key)).astype(np.int64)
                 if len(key) > GRAMS_A_FLUSH:
-                    yield from real()
-                    own = (own[0][:0], own[1][:0])
-                if not classes:
-                    continue
-                key, first, n = grams(block)
-                inside = np.zeros(len(key) + 1, np.int32)
-                np.add.at(inside, first, 1)
-                np.add.at(inside, first + n, -1)
-                ids, c = np.unique(key[np.cumsum(inside[:-1]) > 0], return_counts=True)
-                total[ids] += c
-        ids = np.flatnonzero(total)
-        for at in range(0, len(ids), 100_000):
-            part = ids[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.full(len(part), -1, np.int32)), pa.array(total[part])], names=names)
-        yield from real()
-        del total
+                    yield from flush()
+                    key, n = key[:0], n[:0]
+        yield from flush()
         tidy()
 
-    return texts.mapInArrow(run, "gram long, kind int, n long").groupBy("gram", "kind").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def _discounts(level: DataFrame) -> list[float]:
+    """The three discounts of modified Kneser-Ney from how many n-grams have a count of 1 to 4."""
+    few = level.agg(*[F.count_if(F.col("n") == i).alias(f"n{i}") for i in (1, 2, 3, 4)]).first()
+    n1, n2, n3, n4 = (float(x or 0) for x in few)
+    y = n1 / (n1 + 2 * n2) if n1 else 0.0
+    return [float(np.clip(i - (i + 1) * y * b / a, 0, i)) if a else 0.0 for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
 
 
-def char_logs(counts: DataFrame, needed: DataFrame) -> DataFrame:
-    """(gram, logp): natural log-probability, within its class, of the last character of every needed (gram, kind).
+def gram_logs(counts: DataFrame, needed: DataFrame) -> DataFrame:
+    """(gram, logp): natural log-probability of the last token of every needed gram.
 
-    Interpolated modified Kneser-Ney over three, two and one real characters, then uniform over the class. One-character tables
-    hold a row for each code point at most and are broadcast; the others join by gram and by context.
+    Each order's counts join the distinct needed n-grams of that order by n-gram and by context; the lowest falls back on equal
+    shares of all tokens. Tables of single tokens have 2 ** BITS rows at most and are broadcast.
     """
-    level = counts.select("gram", "kind", "n")
-    levels = [level]
-    for k in (2, 1):
-        level = level.groupBy((F.col("gram").bitwiseAND((1 << (BITS * k)) - 1)).alias("gram"), "kind").agg(F.count("*").alias("n"))
-        levels.append(level)
-    sizes = class_sizes()
-    p = F.lit(1.0) / F.element_at(F.array(*[F.lit(float(max(x, 1))) for x in sizes]), F.col("kind") + 1)
-    out = needed.select("gram", "kind").withColumn("p", p)
-    for k, level in zip((1, 2, 3), reversed(levels), strict=True):
-        level = materialize(level)
-        few = level.agg(*[F.sum((F.col("n") == i).cast("long")).alias(f"n{i}") for i in (1, 2, 3, 4)]).first()
-        n1, n2, n3, n4 = (float(x or 0) for x in few)
-        y = n1 / (n1 + 2 * n2) if n1 else 0.0
-        d = [float(np.clip(i - (i + 1) * y * b / a, 0, i)) if a else 0.0 for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+    tail = lambda k: F.col("gram") if k == ORDER else F.col("gram").bitwiseAND((1 << (BITS * k)) - 1)
+    levels = {ORDER: counts.select("gram", "n")}
+    wanted = {ORDER: needed.select("gram").distinct()}
+    for k in range(ORDER - 1, 0, -1):
+        levels[k] = materialize(levels[k + 1].groupBy(tail(k).alias("gram")).agg(F.count("*").alias("n")))
+        wanted[k] = wanted[k + 1].select(tail(k).alias("gram")).distinct()
+    lower = None
+    for k in range(1, ORDER + 1):
+        few = F.broadcast if k == 1 else lambda df: df
+        d = _discounts(levels[k])
         cut = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-        level = level.select(F.col("gram").alias("own"), "kind", F.col("n"), cut.alias("cut"))
-        context = level.groupBy(F.shiftright("own", BITS).alias("before"), "kind").agg(F.sum("n").alias("total"), F.sum("cut").alias("spare"))
-        level = level.select("own", "kind", (F.col("n") - F.col("cut")).alias("rest"))
-        if k == 1:
-            level, context = F.broadcast(level), F.broadcast(context)
-        own = F.col("gram").bitwiseAND((1 << (BITS * k)) - 1)
-        out = out.withColumns({"own": own, "before": F.shiftright(own, BITS)}).join(level, ["own", "kind"], "left").join(context, ["before", "kind"], "left")
-        # As in the table of classes: with no discount at all a little mass still goes to the lower order.
-        mass = F.when(F.col("spare") > 0, F.col("spare")).otherwise(0.5)
-        p = F.when(F.col("total").isNull(), F.col("p")).otherwise((F.coalesce("rest", F.lit(0.0)) + mass * F.col("p")) / (F.col("total") - F.col("spare") + mass))
-        out = out.select("gram", "kind", p.alias("p"))
-    return out.select("gram", F.log(F.greatest("p", F.lit(1e-30))).alias("logp"))
-
-
-def kneser_ney(count: np.ndarray) -> np.ndarray:
-    """Natural log-probability of every n-gram's last symbol from the dense counts of the highest order."""
-    levels = [count.reshape((SYMBOLS,) * ORDER)]
-    while levels[-1].ndim > 1:
-        levels.append((levels[-1] > 0).sum(axis=0))  # distinct symbols that stand before
-    p = np.full(SYMBOLS, 1 / SYMBOLS)
-    for c in reversed(levels):
-        flat = c.reshape(-1, SYMBOLS).astype(float)
-        n1, n2, n3, n4 = (float((c == k).sum()) for k in (1, 2, 3, 4))
-        y = n1 / (n1 + 2 * n2) if n1 else 0.0
-        d = np.array([0.0, *(float(np.clip(k - (k + 1) * y * b / a, 0, k)) if a else 0.0 for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4)))])
-        cut = d[np.minimum(flat, 3).astype(int)]
-        total = flat.sum(axis=1, keepdims=True)
-        spare = cut.sum(axis=1, keepdims=True)
-        lower = np.broadcast_to(p.reshape(-1, SYMBOLS), (flat.shape[0] // p.reshape(-1, SYMBOLS).shape[0], *p.reshape(-1, SYMBOLS).shape)).reshape(-1, SYMBOLS) if flat.shape[0] > 1 else p.reshape(1, SYMBOLS)
+        level = levels[k].withColumn("cut", cut)
+        before = F.shiftrightunsigned("gram", BITS)
+        context = level.groupBy(before.alias("before")).agg(F.sum("n").alias("total"), F.sum("cut").alias("spare"))
+        context = F.broadcast(context) if k <= 2 else context
+        own = level.select("gram", (F.col("n") - F.col("cut")).alias("rest"))
+        out = wanted[k].withColumn("before", before).join(few(own), "gram", "left").join(context, "before", "left")
+        if lower is None:
+            out = out.withColumn("low", F.lit(1.0 / (1 << BITS)))
+        else:
+            lower = lower.select(F.col("gram").alias("suffix"), F.col("p").alias("low"))
+            out = out.withColumn("suffix", tail(k - 1)).join(F.broadcast(lower) if k == 2 else lower, "suffix")
         # With no discount at all (tiny corpora) a little mass still goes to the lower order.
-        spare = np.where((total > 0) & (spare <= 0), 0.5, spare)
-        p = np.where(total > 0, (flat - cut + spare * lower) / np.maximum(flat.sum(axis=1, keepdims=True) - cut.sum(axis=1, keepdims=True) + spare, 1e-300), lower)
-    return np.log(np.maximum(p.reshape(-1), 1e-30)).astype(np.float32)
+        mass = F.when(F.col("spare") > 0, F.col("spare")).otherwise(0.5)
+        seen = (F.coalesce("rest", F.lit(0.0)) + mass * F.col("low")) / (F.col("total") - F.col("spare") + mass)
+        lower = out.select("gram", F.when(F.col("total").isNull(), F.col("low")).otherwise(seen).alias("p"))
+        lower = materialize(lower)
+    return lower.select("gram", F.log(F.greatest("p", F.lit(1e-30))).alias("logp"))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -221,108 +140,193 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(good.alias("good")).filter("good").select("doc_id")
 
 
-def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, DataFrame]:
-    """The model of all trusted text: the table of classes, and (gram, logp) of the real characters of all documents. Without
-    any trusted text both are uniform.
-
-    Text meets labels in a merge join whatever the labels' size, so the shuffle stays in proportion to the input."""
-    trusted = bounded(docs).select("doc_id", "text").filter(F.col("text").isNotNull()).join(trusted_ids(labels).hint("merge"), "doc_id", "left_semi")
-    counts = materialize(count_all(trusted.select("text")))
-    got = counts.filter("kind < 0").toPandas()
-    count = np.zeros(SYMBOLS**ORDER, np.int64)
-    count[got["gram"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
-    return kneser_ney(count), materialize(char_logs(counts.filter("kind >= 0"), count_all(docs.select("text"), classes=False)))
-
-
-def score(table: np.ndarray, text: Column, keys: np.ndarray, logs: np.ndarray) -> Column:
-    """Struct of the text's places and its log-probability (natural), with that of real characters as far as in ``keys``."""
-
-    @F.pandas_udf("places long, logp double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for series in batches:
-            places, logp = [], []
-            for block in _blocks(["" if t is None else t for t in series]):
-                key, first, n = grams(block)
-                own = table[key].astype(np.float64)
-                if len(keys):
-                    at, real, _ = char_grams(block)
-                    real, back = np.unique(real, return_inverse=True)
-                    own[at] += logs[np.searchsorted(keys, real).clip(0, len(keys) - 1)][back]
-                total = np.concatenate(([0.0], np.cumsum(own)))
-                places.append(n)
-                logp.append(total[first + n] - total[first])
-            yield pd.DataFrame({"places": np.concatenate(places) if places else np.array([], np.int64), "logp": np.concatenate(logp) if logp else np.array([], float)})
+def unseen(doc_id: Column) -> Column:
+    """Whether the model does not learn from a trusted row, which then takes part in the choice of thresholds."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % HELD_OUT == 0
+
+
+def train(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(gram, n) of the trusted text that the model learns from."""
+    ids = materialize(trusted_ids(labels).filter(~unseen(F.col("doc_id"))))
+    ids = F.broadcast(ids) if ids.count() <= MOST_IDS_BROADCAST else ids.hint("merge")
+    texts = bounded(docs).select("doc_id", "text").filter(F.col("text").isNotNull())
+    return materialize(count_grams(texts.join(ids, "doc_id", "left_semi").select("text")))
+
+
+class _Unit:
+    """Rows of one task up to UNIT_CHARS bytes of text. Its id follows from what it holds, so two passes over the same partitions
+    give the same units, and units that share an id share their texts."""
+
+    def __init__(self):
+        self.rows: list[pa.RecordBatch] = []
+        self.size = 0
+        self.mark = xxhash.xxh3_64()
+
+    def id(self) -> int:
+        return self.mark.intdigest() - (1 << 63)
+
+
+def _units(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[_Unit]:
+    """The units of a task; their cuts do not depend on how rows come in batches."""
+    unit = _Unit()
+    for batch in batches:
+        start = 0
+        for i, (key, t) in enumerate(zip(batch.column(0).to_pylist(), batch.column(text_at), strict=True)):
+            raw = t.as_buffer() if t.is_valid else b""
+            unit.size += len(raw) + 1
+            unit.mark.update(f"{key}:{len(raw)}:".encode())
+            unit.mark.update(raw)
+            if unit.size >= UNIT_CHARS:
+                unit.rows.append(batch.slice(start, i + 1 - start))
+                yield unit
+                start, unit = i + 1, _Unit()
+        if start < batch.num_rows:
+            unit.rows.append(batch.slice(start))
+    if unit.rows:
+        yield unit
+
+
+def unit_grams(rows: DataFrame) -> DataFrame:
+    """(unit, grams) of rows (doc_id, lang, text): the distinct n-grams of every unit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit in _units(batches, 2):
+            own = np.zeros(0, np.int64)
+            for part in unit.rows:
+                for block in _blocks(_texts(part.column(2))):
+                    own = np.union1d(own, grams(block)[0])
+            offsets = pa.array(np.array([0, len(own)], np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array([unit.id()]), pa.ListArray.from_arrays(offsets, pa.array(own))], names=["unit", "grams"])
+        tidy()
+
+    return rows.mapInArrow(run, "unit long, grams array<long>")
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """(unit, rows): the rows of every unit as a compressed stream."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
+        for unit in _units(batches, 2):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, unit.rows[0].schema, options=options) as out:
+                out.write_table(pa.Table.from_batches(unit.rows).combine_chunks())
+            yield pa.RecordBatch.from_arrays([pa.array([unit.id()]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["unit", "rows"])
         tidy()
 
-    return run(text)
+    return rows.mapInArrow(run, "unit long, rows binary")
 
 
-def real_grams(text: Column) -> Column:
-    """A text's distinct n-grams of real characters and their counts."""
+def score(docs: DataFrame, counts: DataFrame) -> DataFrame:
+    """(doc_id, lang, places, logp) of every row: the places of its text, its end among them, and their natural log-probability.
 
-    @F.pandas_udf("array<struct<gram long, n long>>")
-    def run(texts: pd.Series) -> pd.Series:
-        count = lambda t: zip(*(x.tolist() for x in np.unique(char_grams([t])[1], return_counts=True)), strict=True)
-        return pd.Series([[{"gram": g, "n": n} for g, n in count(t)] if t else [] for t in texts], dtype=object)
+    The documents are read twice and have to come in the same partitions, as files do; an error says so if they do not."""
+    rows = bounded(docs).select("doc_id", "lang", "text")
+    asked = materialize(unit_grams(rows))
+    logs = gram_logs(counts, asked.select(F.explode("grams").alias("gram")))
+    none = lambda kind: F.lit(None).cast(kind)
+    answers = asked.select("unit", F.explode("grams").alias("gram")).join(logs, "gram").select("unit", "gram", "logp", none("binary").alias("rows"))
+    parts = answers.unionByName(_packed(rows).select("unit", none("long").alias("gram"), none("double").alias("logp"), "rows"))
 
-    return run(text)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, keys, logs = None, [], []
+        for batch in batches:
+            # A unit's answers come before its rows; here are the places where one of both ends.
+            ids = batch.column(0).to_numpy()
+            full = batch.column(3).is_valid().to_numpy(zero_copy_only=False)
+            stops = np.flatnonzero(np.r_[(ids[1:] != ids[:-1]) | full[1:] | full[:-1], True]) + 1
+            for a, b in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True):
+                if ids[a] != unit:
+                    unit, keys, logs = ids[a], [], []
+                if full[a]:
+                    yield from scored(np.concatenate(keys or [np.zeros(0, np.int64)]), np.concatenate(logs or [np.zeros(0)]), batch.column(3)[a].as_buffer())
+                else:
+                    keys.append(batch.column(1).slice(a, b - a).to_numpy())
+                    logs.append(batch.column(2).slice(a, b - a).to_numpy())
+        tidy()
 
+    def scored(keys: np.ndarray, logs: np.ndarray, packed: pa.Buffer) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(keys)
+        keys, logs = keys[order], logs[order]
+        for part in pa.ipc.open_stream(packed):
+            places, logp = [np.zeros(0, np.int64)], [np.zeros(0)]
+            for block in _blocks(_texts(part.column(2))):
+                key, n = grams(block)
+                own, back = np.unique(key, return_inverse=True)
+                at = np.searchsorted(keys, own).clip(0, max(len(keys) - 1, 0))
+                if not len(keys) or (keys[at] != own).any():
+                    raise RuntimeError("the documents came in other partitions on a second reading; write them to a table first")
+                total = np.concatenate(([0.0], np.cumsum(logs[at][back])))
+                edge = np.cumsum(n)
+                places.append(n)
+                logp.append(total[edge] - total[edge - n])
+            columns = [part.column(0), part.column(1), pa.array(np.concatenate(places)), pa.array(np.concatenate(logp))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang", "places", "logp"])
 
-def scored_rows(docs: DataFrame, columns: list[Column], model: tuple[np.ndarray, DataFrame]) -> DataFrame:
-    """``columns`` of every row, with the places and the log-probability of its text."""
-    table, real = model
-    if real.count() <= MOST_GRAMS_BROADCAST:
-        got = real.toPandas().sort_values("gram")
-        s = score(table, F.col("text"), got["gram"].to_numpy(np.int64), got["logp"].to_numpy(np.float64))
-        return docs.select(*columns, s.alias("s")).select("*", "s.*").drop("s")
-    none = np.zeros(0, np.int64)
-    rows = materialize(docs.select(*columns, score(table, F.col("text"), none, none).alias("s"), real_grams(F.col("text")).alias("grams")))
-    rows = rows.withColumn("at", F.monotonically_increasing_id())
-    sums = rows.select("at", F.inline("grams")).join(real.withColumnRenamed("logp", "log"), "gram").groupBy("at").agg(F.sum(F.col("n") * F.col("log")).alias("more"))
-    whole = rows.join(sums, "at", "left").withColumns({"places": F.col("s.places"), "logp": F.col("s.logp") + F.coalesce("more", F.lit(0.0))})
-    return whole.drop("at", "grams", "more", "s")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    dealt = parts.repartition("unit").sortWithinPartitions("unit", F.col("rows").isNotNull())
+    return dealt.mapInArrow(run, f"doc_id {kind}, lang string, places long, logp double")
 
 
-def limits(scored: DataFrame, labels: DataFrame) -> tuple[DataFrame, tuple[float, float]]:
-    """(language, mean, limit) from all trusted rows, and the same two over all languages for those without trusted text.
+def _beside(rows: DataFrame, by: DataFrame) -> DataFrame:
+    """``rows`` with the columns that ``by`` has for their language; a frequent language is spread over SALTS keys."""
+    if by.count() <= MOST_LANGUAGES_BROADCAST:
+        return rows.join(F.broadcast(by), "language", "left")
+    by = by.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "places", "logp"), F.lit(SALTS)).cast("int")).join(by, ["language", "salt"], "left").drop("salt")
 
-    ``limit`` is a limit on the steadied log-perplexity: the 95 % quantile and SPREADS times its distance from the median.
-    """
-    trusted = scored.join(trusted_ids(labels), "doc_id", "left_semi")
-    means = trusted.groupBy("language").agg((F.sum("logp") / F.sum("places")).alias("mean"))
-    whole = trusted.agg((F.sum("logp") / F.sum("places")).alias("mean")).first()["mean"]
-    whole = -1e9 if whole is None else whole
-    steady = trusted.join(means, "language").withColumn("loss", -(F.col("logp") + PRIOR_CHARS * F.col("mean")) / (F.col("places") + PRIOR_CHARS))
-    cut = lambda q: (q[1] + SPREADS * F.greatest(q[1] - q[0], F.lit(0.02))).alias("limit")
-    q = F.percentile_approx("loss", [0.5, 0.95], 10_000)
-    by = steady.groupBy("language").agg(F.first("mean").alias("mean"), q.alias("q")).select("language", "mean", cut(F.col("q")))
-    top = steady.agg(q.alias("q")).select(cut(F.col("q"))).first()["limit"]
-    return by, (float(whole), 1e9 if top is None else float(top))
 
+def judge(scored: DataFrame, labels: DataFrame) -> DataFrame:
+    """``scored`` rows with ``perplexity``, the ``threshold`` of their language and ``kept``.
 
-def _judged(scored: DataFrame, by: DataFrame, whole: tuple[float, float]) -> DataFrame:
-    by = F.broadcast(by) if by.count() <= MOST_LANGUAGES_BROADCAST else by
-    mean, limit = F.coalesce(F.col("mean"), F.lit(whole[0])), F.coalesce(F.col("limit"), F.lit(whole[1]))
-    loss = -(F.col("logp") + PRIOR_CHARS * mean) / (F.col("places") + PRIOR_CHARS)
-    return scored.join(by, "language", "left").withColumns({"perplexity": F.exp(loss), "limit": F.exp(limit), "kept": loss <= limit}).drop("mean")
+    Means come from all trusted rows of a language, thresholds from those that the model has not seen (PRIOR_ROWS, QUANTILE); a
+    language that lacks either takes that of all languages.
+    """
+    rows = scored.withColumn("language", F.coalesce(F.col("lang"), F.lit("")))
+    ids = materialize(trusted_ids(labels))
+    trusted = materialize(rows.join(F.broadcast(ids) if ids.count() <= MOST_IDS_BROADCAST else ids, "doc_id", "left_semi"))
+    mean = (F.sum("logp") / F.sum("places")).alias("mean")
+    means = materialize(trusted.groupBy("language").agg(mean))
+    whole = trusted.agg(mean).first()["mean"]
+    whole = F.lit(-1e9 if whole is None else float(whole))
+    loss = -(F.col("logp") + PRIOR_CHARS * F.coalesce(F.col("mean"), whole)) / (F.col("places") + PRIOR_CHARS)
+    fresh = trusted.filter(unseen(F.col("doc_id")))
+    fresh = trusted if fresh.isEmpty() else fresh
+    steady = materialize(_beside(fresh, means).withColumn("loss", loss))
+    cuts = F.percentile_approx("loss", [0.5, QUANTILE], 10_000)
+    own = materialize(steady.groupBy("language").agg(cuts.alias("q"), F.count("*").alias("n")).select("language", F.col("q")[0].alias("middle"), (F.col("q")[1] - F.col("q")[0]).alias("reach"), "n"))
+    top = steady.agg(cuts.alias("q")).first()["q"] or [0.0, 1e9]
+    pooled = _beside(steady, own).agg(F.percentile_approx(F.col("loss") - F.col("middle"), QUANTILE, 10_000).alias("q")).first()["q"]
+    pooled = F.lit(float(pooled or 0.0))
+    reach = (F.col("n") * F.col("reach") + PRIOR_ROWS * F.greatest("reach", pooled)) / (F.col("n") + PRIOR_ROWS)
+    by = materialize(means.join(own.select("language", (F.col("middle") + reach).alias("limit")), "language", "left"))
+    limit = F.coalesce(F.col("limit"), F.lit(float(top[1])))
+    out = _beside(rows, by).withColumns({"loss": loss, "limit": limit})
+    return out.withColumns({"perplexity": F.exp("loss"), "threshold": F.exp("limit"), "kept": F.col("loss") <= F.col("limit") + 1e-9}).drop("mean", "loss", "limit")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per input row: doc_id, lang, n_chars, log10_probability, perplexity, threshold, kept.
 
-    ``perplexity`` is per character, with PRIOR_CHARS characters of the language's average mixed in; a row is kept up to its
-    language's threshold. Null text counts as empty, which is average and kept; null or untrusted languages take the threshold
-    over all languages; without trusted text all is kept. Repeated rows stay; an empty table gives no rows; other columns are
-    not looked at. Three scans of the documents; labels meet ids and, once, text.
+    ``n_chars`` counts UTF-16 units. ``perplexity`` is per character, with PRIOR_CHARS characters of the language's average mixed
+    in; a row is kept up to its language's threshold. Null text counts as empty, which is average and kept; null or untrusted
+    languages take the threshold over all languages; without trusted text all is kept. Repeated rows stay; an empty table gives
+    no rows; other columns are not looked at. Three scans of the documents.
     """
-    scored = materialize(scored_rows(docs, [F.col("doc_id"), F.col("lang"), F.coalesce(F.col("lang"), F.lit("")).alias("language")], train(docs, labels)))
-    return _judged(scored, *limits(scored, labels)).select("doc_id", "lang", (F.col("places") - 1).alias("n_chars"), (F.col("logp") / F.lit(float(np.log(10)))).alias("log10_probability"), "perplexity", F.col("limit").alias("threshold"), "kept")
+    got = judge(materialize(score(docs, train(docs, labels))), labels)
+    log10 = (F.col("logp") / F.lit(float(np.log(10)))).alias("log10_probability")
+    return got.select("doc_id", "lang", (F.col("places") - 1).alias("n_chars"), log10, "perplexity", "threshold", "kept")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with their columns, that ``classify`` keeps."""
-    columns = docs.columns
-    model, language = train(docs, labels), F.coalesce(F.col("lang"), F.lit("")).alias("language")
-    by, whole = limits(materialize(scored_rows(docs, [F.col("doc_id"), language], model)), labels)
-    inner = scored_rows(docs, [F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), language], model)
-    return _judged(inner, by, whole).filter("kept").select("row.*")
+    """The rows of ``docs``, with all their columns, that ``classify`` keeps.
+
+    Nulls, repeats and empty tables as there. The verdict follows from text and language, so rows meet the texts that go by
+    their digest and language: by broadcast up to a checked count, by a shuffle beyond it."""
+    language, key = F.coalesce(F.col("lang"), F.lit("")), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    marked = docs.select(F.struct("doc_id", key.alias("key")).alias("doc_id"), "lang", "text")
+    scored = materialize(score(marked, train(docs, labels)).withColumns({"key": F.col("doc_id.key"), "doc_id": F.col("doc_id.doc_id")}))
+    gone = materialize(judge(scored, labels).filter(~F.col("kept")).select("key", "language").distinct())
+    gone = F.broadcast(gone) if gone.count() <= MOST_IDS_BROADCAST else gone
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"), language.alias("language"))
+    return rows.join(gone, ["key", "language"], "left_anti").select("row.*")
