@@ -8,10 +8,21 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 
+#: Rows up to which a list of nodes is broadcast, and the parts into which a node's neighbours are dealt beyond that.
+MOST_BROADCAST, SALTS = 1_000_000, 64
+
+
 def _rewire(pairs: DataFrame) -> DataFrame:
-    """(node, least): every listed pair of a node and a neighbour, moved to the least node around it."""
+    """(u, v, m): every listed pair of a node and a neighbour, with the least node around the first.
+
+    The many neighbours of a hub never meet in one task: the least nodes are broadcast if they are few, and joined by node and
+    part of its neighbours otherwise."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m"))
-    return pairs.join(least, "u")
+    if least.count() <= MOST_BROADCAST:
+        return pairs.join(F.broadcast(least), "u")
+    dealt = pairs.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    parts = dealt.select("u", "part").distinct().join(least, "u")
+    return dealt.join(parts, ["u", "part"]).drop("part")
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
@@ -30,6 +41,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Large star: u's larger neighbours go to the least of u and its neighbours.
         large = _rewire(both).filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        large = materialize(large)
         # Small star: u and its smaller neighbours go to the least of them.
         down = large.filter(F.col("u") != F.col("v"))
         small = _rewire(down)

@@ -117,6 +117,16 @@ def test_edges_top_k_ties(spark):
     assert sorted(r.dst for r in got) == list(range(1, 11))
 
 
+def test_components_of_a_hub_without_broadcast(spark, monkeypatch):
+    from convoloom.operators import components
+
+    monkeypatch.setattr(components, "MOST_BROADCAST", 0)
+    edges = [(0, i) for i in range(1, 3000)] + [(i, i + 5000) for i in range(1, 3000, 7)] + [(20000, 20001), (9, None)]
+    got = connected_components(frame(spark, edges, "src long, dst long")).collect()
+    assert len(got) == 3000 + 429 + 2
+    assert all(r.component == (20000 if r.id >= 20000 else 0) for r in got)
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), min_size=1, max_size=40))
 def test_components(spark, edges):
