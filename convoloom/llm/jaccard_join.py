@@ -1,9 +1,11 @@
 """Near-equal texts by a chosen-path join over word shingles.
 
 Every set walks down a random tree: at a node it goes to the shared tokens whose hash under that node is small, so two sets meet
-in a bucket only by sharing all tokens of its path. Buckets that are still large are split by a further token; small ones are
-compared outright. The walk is repeated RUNS times. What meets and looks alike (size and minwise sketch) forms clusters, and all
-pairs of distinct texts inside a cluster are then counted exactly, in blocks, with no pair ever written out.
+in a bucket only by sharing all tokens of its path. The walk is repeated RUNS times. The first EARLY runs, and then one text of
+each cluster in every bucket, hang what looks alike (size and minwise sketch) together, so that a group of near copies is one
+cluster before any bucket is searched. Buckets that still hold several clusters are compared outright if they are small, and
+split by a further token otherwise. All pairs of distinct texts inside a cluster are then counted exactly, in blocks, with no
+pair ever written out.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from .memory import bounded, tidy
 SHINGLE, SIMILARITY = 5, 0.8
 #: Children a node has on average, depth of the tree, and the recall that the number of runs is set for.
 BRANCHES, DEPTH, RECALL = 2.0, 3, 0.999999
+#: Runs whose buckets are looked through first, at their first text only.
+EARLY = 2
 #: Buckets up to this size are compared outright.
 SMALL = 64
 #: Bytes of a sketch, and how many have to agree: a pair at the least similarity falls below with probability under 1e-6.
@@ -79,12 +83,12 @@ def sketch(s: np.ndarray) -> bytes:
     return ((least >> np.uint64(20)) & np.uint64(255)).astype(np.uint8).tobytes()
 
 
-def paths(s: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+def paths(s: np.ndarray, depth: int = DEPTH) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each level the nodes reached and the place of each one's parent among the nodes of the level before."""
     out = []
     nodes = _ROOTS
     limit = np.uint64(min(2**64 - 1, int(2**64 * min(1.0, BRANCHES / max(len(s), 1)))))
-    for _ in range(DEPTH):
+    for _ in range(depth):
         parent, token = [], []
         step = max(1, 2_000_000 // max(len(s), 1))
         for at in range(0, len(nodes), step):
@@ -97,46 +101,60 @@ def paths(s: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def _features(rows: DataFrame) -> DataFrame:
-    """(rid, n, sketch, paths by level with their parents) of the texts; a task passes over texts that it has just seen."""
-    levels = range(1, DEPTH + 1)
+def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum([len(a) for a in arrays]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays) if arrays else [], kind))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        signed = lambda a: a.view(np.int64)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                ids, sizes, marks = [], [], []
-                nodes: list[list[np.ndarray]] = [[] for _ in levels]
-                parents: list[list[np.ndarray]] = [[] for _ in levels]
-                for rid, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
-                    if rid in seen:
-                        continue
+
+def _new(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """(rid, shingles) of the texts with words, up to 1000 at a time; a task passes over texts that it has just seen."""
+    seen: set[int] = set()
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1000):
+            part, out = batch.slice(at, 1000), []
+            for rid, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+                if rid not in seen:
                     if len(seen) > 100_000:
                         seen.clear()
                     seen.add(rid)
                     s = shingle_set(text.as_py())
-                    if not len(s):
-                        continue
-                    ids.append(rid)
-                    sizes.append(len(s))
-                    marks.append(sketch(s))
-                    for k, (a, b) in enumerate(paths(s)):
-                        nodes[k].append(signed(a))
-                        parents[k].append(b.astype(np.int32))
-
-                def lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
-                    offsets = np.concatenate(([0], np.cumsum([len(a) for a in arrays]))).astype(np.int32)
-                    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays) if arrays else [], kind))
-
-                columns = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(marks, pa.binary())]
-                for k in range(DEPTH):
-                    columns += [lists(nodes[k], pa.int64()), lists(parents[k], pa.int32())]
-                yield pa.RecordBatch.from_arrays(columns, names=["rid", "n", "sketch", *(x for k in levels for x in (f"p{k}", f"q{k}"))])
+                    if len(s):
+                        out.append((rid, s))
+            yield out
+
+
+def _features(rows: DataFrame) -> DataFrame:
+    """(rid, n, sketch, early, p1) of the distinct texts: the buckets of the first level, those of the EARLY runs in front."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for texts in _new(batches):
+            walks = [paths(s, 1)[0] for _, s in texts]
+            columns = [
+                pa.array([rid for rid, _ in texts], pa.int64()), pa.array([len(s) for _, s in texts], pa.int32()), pa.array([sketch(s) for _, s in texts], pa.binary()),
+                pa.array([int((root < EARLY).sum()) for _, root in walks], pa.int32()), _lists([nodes.view(np.int64) for nodes, _ in walks], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["rid", "n", "sketch", "early", "p1"])
+        tidy()
+
+    return rows.mapInArrow(run, "rid long, n int, sketch binary, early int, p1 array<long>").dropDuplicates(["rid"])
+
+
+def _deep(rows: DataFrame) -> DataFrame:
+    """(rid, level, above, path) of the texts: their nodes below the first level, each with its parent."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for texts in _new(batches):
+            for k in range(1, DEPTH):
+                walks = [(rid, walk[k - 1][0], *walk[k]) for rid, walk in ((rid, paths(s, k + 1)) for rid, s in texts)]
+                if walks:
+                    ids = np.repeat(np.array([w[0] for w in walks], np.int64), [len(w[2]) for w in walks])
+                    above = np.concatenate([before[parent] for _, before, _, parent in walks]).view(np.int64)
+                    nodes = np.concatenate([w[2] for w in walks]).view(np.int64)
+                    level = np.full(len(ids), k + 1, np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(level), pa.array(above), pa.array(nodes)], names=["rid", "level", "above", "path"])
         tidy()
 
-    return rows.mapInArrow(run, "rid long, n int, sketch binary, " + ", ".join(f"p{k} array<long>, q{k} array<int>" for k in levels))
+    return rows.mapInArrow(run, "rid long, level int, above long, path long")
 
 
 def _alike(n1: np.ndarray, s1: np.ndarray, n2: np.ndarray, s2: np.ndarray) -> np.ndarray:
@@ -260,43 +278,99 @@ def _compare_blocks(rows: DataFrame) -> DataFrame:
     return rows.repartition("path", "mb", "pb").sortWithinPartitions("path", "mb", "pb").mapInArrow(run, "src long, dst long")
 
 
-def _candidate_edges(feat: DataFrame) -> DataFrame:
-    """Edges (src, dst) whose components hold every pair that met in a bucket of some run and passes the filter.
+def _like(n1: str, s1: str, n2: str, s2: str):
+    """The size and sketch filter as a column."""
+
+    @F.pandas_udf("boolean")
+    def like(n1, s1, n2, s2):
+        import pandas as pd
+
+        join = lambda s: np.frombuffer(b"".join(s), np.uint8).reshape(-1, SKETCH)
+        return pd.Series(_alike(n1.to_numpy(), join(s1), n2.to_numpy(), join(s2)))
+
+    return like(n1, s1, n2, s2)
+
+
+def _few(rows: DataFrame) -> DataFrame:
+    """``rows``, to be broadcast if there are at most MOST_BROADCAST."""
+    return F.broadcast(rows) if rows.count() <= MOST_BROADCAST else rows
+
+
+def _with_clusters(feat: DataFrame, clusters: DataFrame) -> DataFrame:
+    """``feat`` with the cluster of each text; a text that nothing hangs on is its own."""
+    return feat.join(_few(clusters), "rid", "left").withColumn("cluster", F.coalesce("cluster", "rid"))
+
+
+def _clusters(edges: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """(rid, cluster) after ``edges`` have joined the clusters before."""
+    if before is not None:
+        edges = edges.unionByName(before.select(F.col("rid").alias("src"), F.col("cluster").alias("dst")))
+    return materialize(connected_components(edges).select(F.col("id").alias("rid"), F.col("component").alias("cluster")))
+
+
+def _first_stars(feat: DataFrame) -> DataFrame:
+    """Edges from the texts of the EARLY runs' buckets to the first text there, where they look like it."""
+    rows = feat.select("rid", "n", "sketch", F.explode(F.slice("p1", 1, F.col("early"))).alias("path"))
+    first = rows.groupBy("path").agg(F.count("*").alias("c"), F.min(F.struct("rid", "n", "sketch")).alias("first")).filter("c > 1").drop("c")
+    near = rows.join(_few(materialize(first)), "path").filter(F.col("rid") != F.col("first.rid"))
+    return near.filter(_like("n", "sketch", "first.n", "first.sketch")).select(F.col("rid").alias("src"), F.col("first.rid").alias("dst"))
+
 
-    A bucket of up to SMALL texts is compared outright. Of a larger one, texts that look like its first text hang on it; if at
-    most half are left, those are compared with all members here, block by block, which settles groups of near copies at one
-    look each. Other large buckets are split by a further token, and what no token splits is compared in blocks too.
+def _cluster_stars(feat: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Edges between clusters that meet in a bucket of any run: one text of each, which differs by bucket, against that of the
+    largest there, where they look alike. A cluster is one row of a bucket, however many of its texts are in it."""
+    rows = _with_clusters(feat.select("rid", "p1"), clusters).select("rid", "cluster", F.explode("p1").alias("path"))
+    one = F.min(F.struct(F.xxhash64("rid", "path").alias("h"), "rid"))["rid"]
+    there = rows.groupBy("path", "cluster").agg(one.alias("rid"), F.count("*").alias("c"))
+    mixed = there.groupBy("path").agg(F.count("*").alias("k"), F.max(F.struct("c", "rid"))["rid"].alias("top")).filter("k > 1").select("path", "top")
+    pairs = there.join(_few(materialize(mixed)), "path").filter(F.col("rid") != F.col("top")).select("rid", "top").distinct()
+    marks = feat.select("rid", "n", "sketch")
+    tops = feat.select(F.col("rid").alias("top"), F.col("n").alias("tn"), F.col("sketch").alias("ts"))
+    pairs = materialize(pairs)
+    pairs = pairs.join(marks, "rid").join(_few(materialize(tops.join(_few(pairs.select("top").distinct()), "top", "left_semi"))), "top")
+    return pairs.filter(_like("n", "sketch", "tn", "ts")).select(F.col("rid").alias("src"), F.col("top").alias("dst"))
+
+
+def _candidate_clusters(rows: DataFrame, feat: DataFrame) -> DataFrame:
+    """(rid, cluster) so that every pair that met in a bucket of some run and passes the filter is in one cluster.
+
+    What the stars have joined needs no further look, so only buckets with several clusters are searched. One of up to SMALL
+    texts is compared outright. Of a larger one, texts that look like its first text hang on it; if at most half are left, those
+    are compared with all members here, block by block. Other large buckets are split by a further token, and what no token
+    splits is compared in blocks too.
     """
-    edges: list[DataFrame] = []
-    sparse: DataFrame | None = None
+    found = _clusters(_first_stars(feat))
+    found = _clusters(_cluster_stars(feat, found), found)
+    marks = _with_clusters(feat, found)
+    texts, above, edges = marks.select("rid", "n", "sketch", "cluster", F.explode("p1").alias("path")), None, []
     for level in range(1, DEPTH + 1):
-        if sparse is None:
-            rows = feat.select("rid", "n", "sketch", F.explode("p1").alias("path"))
-        else:
-            some = _checked_join(feat, materialize(waiting.select("rid").distinct()), "rid")
-            rows = some.select("rid", "n", "sketch", F.explode(F.arrays_zip(F.col(f"p{level}").alias("path"), F.col(f"q{level}").alias("q"))).alias("z"), f"p{level - 1}")
-            rows = rows.select("rid", "n", "sketch", F.col("z.path").alias("path"), F.element_at(f"p{level - 1}", F.col("z.q") + 1).alias("above"))
-            rows = _checked_join(rows, sparse.withColumnRenamed("path", "above"), "above").drop("above")
-        big = materialize(rows.groupBy("path").agg(F.count("*").alias("c")).filter(F.col("c") > SMALL).select("path"))
+        if level > 1:
+            if level == 2:
+                waiting = materialize(placed.join(_few(above), "path", "left_semi").select("rid").distinct())
+                deep = materialize(_deep(rows.join(_few(waiting), "rid", "left_semi")))
+            texts = deep.filter(F.col("level") == level).join(_few(above.withColumnRenamed("path", "above")), "above", "left_semi").select("rid", "path")
+            texts = texts.join(marks.select("rid", "n", "sketch", "cluster"), "rid")
+        counts = texts.groupBy("path").agg(F.min("cluster").alias("a"), F.max("cluster").alias("b"), F.count("*").alias("c"))
+        counts = materialize(counts.filter("a < b").select("path", "c"))
+        few, members = counts.count() <= MOST_BROADCAST, ("path", "rid", "n", "sketch")
+        # A parent that sends a text here twice, or two parents that do, count it twice; that only moves the limit.
+        send = F.broadcast if few else lambda df: df
+        edges.append(_compare_small(texts.join(send(counts.filter(F.col("c") <= SMALL).select("path")), "path", "left_semi").select(*members)))
+        big = counts.filter(F.col("c") > SMALL).select("path")
         if big.isEmpty():
-            edges.append(_compare_small(rows.select("path", "rid", "n", "sketch")))
             break
-        few = big.count() <= MOST_BROADCAST
-        big = F.broadcast(big) if few else big
-        edges.append(_compare_small(rows.join(big, "path", "left_anti").select("path", "rid", "n", "sketch")))
-        placed = _beside_first(rows.join(big, "path", "left_semi"), few)
-        settled, waiting = placed, None
+        placed = _beside_first(texts.join(send(big), "path", "left_semi"), few)
+        split = F.col("left") > F.greatest(F.lit(SMALL), F.col("c") / 2)
+        settled = placed
         if level < DEPTH:
-            waiting = materialize(placed.filter(F.col("left") > F.greatest(F.lit(SMALL), F.col("c") / 2)))
-            settled = placed.filter(F.col("left") <= F.greatest(F.lit(SMALL), F.col("c") / 2))
-            sparse = materialize(waiting.select("path").distinct())
+            settled, above = placed.filter(~split), materialize(placed.filter(split).select("path").distinct())
         edges += _settle(settled)
-        if waiting is None or waiting.isEmpty():
+        if level == DEPTH or above.isEmpty():
             break
     out = edges[0]
     for e in edges[1:]:
         out = out.unionByName(e)
-    return out
+    return _clusters(out, found)
 
 
 def _beside_first(rows: DataFrame, few: bool) -> DataFrame:
@@ -304,16 +378,9 @@ def _beside_first(rows: DataFrame, few: bool) -> DataFrame:
     it (``near``), and how many do not (``left``). ``few``: there are few enough buckets to broadcast a row for each."""
     sent = F.broadcast if few else lambda df: df
 
-    @F.pandas_udf("boolean")
-    def like(n1, s1, n2, s2):
-        import pandas as pd
-
-        join = lambda s: np.frombuffer(b"".join(s), np.uint8).reshape(-1, SKETCH)
-        return pd.Series(_alike(n1.to_numpy(), join(s1), n2.to_numpy(), join(s2)))
-
     rows = materialize(rows.select("path", "rid", "n", "sketch").distinct())
     first = rows.groupBy("path").agg(F.count("*").alias("c"), F.min(F.struct("rid", "n", "sketch")).alias("first"))
-    near = rows.join(sent(first), "path").select("path", "rid", "n", "sketch", "c", F.col("first.rid").alias("root"), like("n", "sketch", "first.n", "first.sketch").alias("near"))
+    near = rows.join(sent(first), "path").select("path", "rid", "n", "sketch", "c", F.col("first.rid").alias("root"), _like("n", "sketch", "first.n", "first.sketch").alias("near"))
     near = materialize(near)
     left = near.groupBy("path").agg(F.count_if(~F.col("near")).alias("left"))
     return near.join(sent(left), "path")
@@ -442,7 +509,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = bounded(docs).select(F.col(id_col).cast("long").alias("id"), text.alias("text")).withColumns({"rid": F.xxhash64("text"), "key": F.md5(F.col("text").cast("binary"))})
     feat = materialize(_features(rows.select("rid", "text")))
-    clusters = materialize(connected_components(_candidate_edges(feat)).select(F.col("id").alias("rid"), F.col("component").alias("cluster")))
+    clusters = _candidate_clusters(rows.select("rid", "text"), feat)
     sets = materialize(_member_sets(rows, clusters))
     sizes = sets.groupBy("cluster").agg(F.ceil(F.count("*") / CLUSTER_BLOCK).cast("int").alias("blocks"))
     placed = sets.join(sizes, "cluster").withColumn("b", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
