@@ -33,7 +33,7 @@ SMALL = 64
 #: Bytes of a sketch, and how many have to agree: a pair at the least similarity falls below with probability under 1e-6.
 SKETCH, AGREE = 48, 24
 #: Texts of a block when a large bucket or cluster is compared block by block.
-BUCKET_BLOCK, CLUSTER_BLOCK = 8192, 1024
+BUCKET_BLOCK, CLUSTER_BLOCK = 2048, 1024
 #: Rows up to which a list is broadcast; beyond, it is joined by a shuffle.
 MOST_BROADCAST = 1_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
