@@ -74,3 +74,13 @@ def test_blocks_and_edges(spark, monkeypatch):
     assert D.benchmark_matches(docs, _items(spark).limit(0)).count() == 0
     assert D.benchmark_matches(edge_docs(spark), _items(spark)).count() == 0
     assert D.drop_contaminated(edge_docs(spark), _items(spark).limit(0)).count() == edge_docs(spark).count()
+
+
+def test_items_go_by_text_and_not_by_id(spark, monkeypatch):
+    a, b = "the first benchmark item with quite some words in it", "a second one that says something entirely different now"
+    docs = edge_docs(spark, [(1, f"x {a} y", "en"), (2, f"{b}!", "en"), (2, f"{b}!", "en")])
+    for size in (D.BLOCK_BYTES, 40):
+        monkeypatch.setattr(D, "BLOCK_BYTES", size)
+        for ids, want in (((5, 5), [(1, "5"), (2, "5"), (2, "5")]), ((None, -1), [(1, "None"), (2, "-1"), (2, "-1")])):
+            items = spark.createDataFrame([(ids[0], a), (ids[1], b), (ids[0], a)], "item_id long, text string")
+            assert sorted((r.doc_id, str(r.item_id)) for r in D.benchmark_matches(docs, items).collect()) == want
