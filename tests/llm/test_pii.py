@@ -81,3 +81,26 @@ def test_edges(spark):
 def test_no_python_in_plan(spark):
     plan = pii_spans(edge_docs(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_ibans_end_where_their_country_says(spark):
+    good = {
+        "DE89370400440532013000 The bank": "iban:0:22", "GB82WEST12345698765432 Thanks": "iban:0:22", "pay GB82 WEST 1234 5698 7654 32 EUR now": "iban:4:31",
+        "GB82 WEST 1234 5698 7654 32 USD account": "iban:0:27", "NO93 8601 1117 947 CHF": "iban:0:18", "(FR14 2004 1010 0505 0001 3M02 606)": "iban:1:34",
+    }
+    bad = ["DE8937040044053201300", "DE893704004405320130001", "DE90370400440532013000", "ZZ89370400440532013000", "xDE89370400440532013000"]
+    texts = [*good, *bad]
+    got = {r.doc_id: r.spans for r in pii_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, t in enumerate(texts):
+        assert [s for s in got[i].split(",") if s.startswith("iban")] == ([good[t]] if t in good else []), (t, got[i])
+
+
+def test_many_matches_take_linear_time(spark):
+    from time import monotonic
+
+    n = 20_000
+    text = " ".join(f"write a{i}@b.co" for i in range(n))
+    began = monotonic()
+    got = check(spark, [text, "a@b.co " * 63, "a@b.co " * 64, "a@b.co " * 65, "a@b.co " * 129])
+    assert got[0].n_email == n and got[0].scores.count("email") == n and "1.05" in got[0].scores
+    assert monotonic() - began < 30
