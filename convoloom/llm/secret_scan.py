@@ -23,10 +23,10 @@ ASSIGN_HINTS = ("passw", "secret", "token", "apikey", "api_key")
 #: Character classes: the alphabet of candidate strings, and the bits a window must reach.
 CLASSES = ((re.compile(r"[0-9A-Fa-f]{20,}"), 3.0), (re.compile(r"[A-Za-z0-9+/_=-]{20,}"), 3.8))
 WINDOW = 20
-#: Whole candidates, parts between slashes and stretches that are known to be harmless, and what stands before a published digest.
+#: Whole candidates and stretches that are known to be harmless (no window may touch the latter), and what stands before a
+#: published digest.
 ALLOWED = re.compile(r"^[0-9-]+$|^[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}$", re.IGNORECASE)
-ALLOWED_PART = re.compile(r"example|sample|dummy|placeholder|changeme", re.IGNORECASE)
-FILLER = re.compile(r"x{6,}|0{8,}|0123456789|abcdefghij", re.IGNORECASE)
+FILLER = re.compile(r"example|sample|dummy|placeholder|changeme|x{6,}|0{8,}|0123456789|abcdefghij", re.IGNORECASE)
 ALLOWED_BEFORE = re.compile(r"(?:sha(?:1|256|384|512)|md5|integrity|checksum|commit|etag)[\"']?\s*[:=-]?\s*[\"']?(?:sha\d+-)?$", re.IGNORECASE)
 #: c * log2(c) for every count a window can hold, and one more for the step between two.
 WEIGHT = [0.0, *[c * log2(c) for c in range(1, WINDOW + 2)]]
@@ -65,21 +65,13 @@ def entropy_runs(s: str, least: float, window: int = WINDOW) -> list[tuple[int,
     return runs
 
 
-def open_stretches(s: str) -> list[tuple[int, int]]:
-    """What is left of a candidate without its harmless parts and fillers."""
-    shut = [m.span() for m in FILLER.finditer(s)]
-    if ALLOWED_PART.search(s):
-        at = 0
-        for part in s.split("/"):
-            if ALLOWED_PART.search(part):
-                shut.append((at, at + len(part)))
-            at += len(part) + 1
-    out, at = [], 0
-    for a, b in sorted(shut):
-        if a > at:
-            out.append((at, a))
-        at = max(at, b)
-    return [*out, (at, len(s))]
+def open_stretches(s: str) -> Iterator[tuple[int, int]]:
+    """What is left of a candidate without its harmless stretches."""
+    at = 0
+    for m in FILLER.finditer(s):
+        yield at, m.start()
+        at = m.end()
+    yield at, len(s)
 
 
 def find_spans(text: str | None) -> list[tuple[int, int, int]]:
@@ -93,7 +85,7 @@ def find_spans(text: str | None) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 18]
     out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    base = list(out)
+    base = sorted(out)
     more: set[tuple[int, int]] = set()
     for alphabet, least in CLASSES:
         for m in alphabet.finditer(text):
@@ -102,10 +94,15 @@ def find_spans(text: str | None) -> list[tuple[int, int, int]]:
                 continue
             for at, end in open_stretches(s):
                 more.update((m.start() + at + a, m.start() + at + b) for a, b in entropy_runs(s[at:end], least))
+    # ``reach`` is the furthest end of the spans that start no later.
+    at, reach = 0, -1
     for a, b in sorted(more, key=lambda x: (x[0], -x[1])):
-        if not any(x <= a and b <= y for x, _, y in base):
-            base.append((a, 3, b))
+        while at < len(base) and base[at][0] <= a:
+            reach = max(reach, base[at][2])
+            at += 1
+        if b > reach:
             out.append((a, 3, b))
+            reach = b
     return sorted(out)
 
 
@@ -154,7 +151,8 @@ def redact(text: str | None) -> str | None:
 
 
 def redact_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The same rows and columns with the secrets in ``text_col`` replaced; null texts stay null."""
+    """The same rows and columns with the secrets in ``text_col`` replaced; null texts stay null, empty ones empty, and repeated
+    rows repeat; an empty table gives no rows."""
 
     @F.pandas_udf("string")
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

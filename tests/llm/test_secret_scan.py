@@ -50,7 +50,7 @@ def test_base(t):
 
 def test_entropy_and_allow_list():
     assert S.find_spans("key aB3dE5gH7jK9mN1pQ2rS4tU6") == [(4, 3, 28)]
-    for t in ("550e8400-e29b-41d4-a716-446655440000", "sha512: aB3dE5gH7jK9mN1pQ2rS4tU6", "examplekeyaB3dE5gH7jK9mN1pQ2rS", "internationalizationlocalization", "12345678901234567890123456"):
+    for t in ("550e8400-e29b-41d4-a716-446655440000", "sha512: aB3dE5gH7jK9mN1pQ2rS4tU6", "examplekeyaB3dE5gH7jK9mN", "internationalizationlocalization", "12345678901234567890123456"):
         assert not [s for s in S.find_spans(t) if s[1] == 3], t
     assert S.find_spans("0123456789abcdef01234567")[0] == (0, 2, 24) and len(S.find_spans("0123456789abcdef01234567")) == 1
 
@@ -72,10 +72,21 @@ def test_redaction(spark):
 
 def test_allow_list_drops_only_what_it_matches():
     key = "dQw4w9WgXcQ7Kp2LzT5vB8nM1sR3"
-    for before, after in (("https://host.io/sample-app/", ""), ("a/", "/example/b"), ("xxxxxxxx", ""), ("", "00000000")):
+    for before, after in (("https://host.io/sample-app/", ""), ("a/", "/example/b"), ("xxxxxxxx", ""), ("", "00000000"), ("sample/", ""), ("", "example"), ("", "xxxxxx"), ("a/sample-", "/b")):
         t = before + key + after
         covered = [(a, b) for a, k, b in S.find_spans(t) if k == 3]
         assert any(a <= len(before) and len(before) + len(key) <= b for a, b in covered), t
         assert S.redact(t) != t and "sR3" not in S.redact(t)
-    for t in (f"a/sample-{key}/b", f"a/{key[:14]}example{key[14:]}", "x" * 40):
+    for t in (f"a/{key[:14]}example{key[14:]}", "x" * 40):
         assert not S.find_spans(t), t
+
+
+def test_many_spans_take_linear_time():
+    import hashlib
+    from time import process_time
+
+    text = " ".join(hashlib.md5(str(i).encode()).hexdigest().upper() for i in range(20_000))
+    began = process_time()
+    spans = S.find_spans(text)
+    assert len(spans) > 15_000 and process_time() - began < 20
+    assert not any(b[2] <= a[2] for a, b in zip(spans, spans[1:], strict=False))
