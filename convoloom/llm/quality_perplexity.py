@@ -21,7 +21,7 @@ from .memory import bounded, tidy
 
 ORDER, BITS = 4, 16
 #: Characters of a unit, and those handled in one array operation.
-UNIT_CHARS, CHARS_A_BLOCK = 8_000_000, 1_000_000
+UNIT_CHARS, CHARS_A_BLOCK = 8_000_000, 250_000
 #: Distinct n-grams held in a task before they are handed on, and rows of a batch that leaves a worker.
 GRAMS_A_FLUSH, ROWS_A_BATCH = 1_000_000, 100_000
 #: Characters of average text that are mixed into a document's mean, which steadies short ones.
