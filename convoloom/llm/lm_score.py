@@ -1,9 +1,14 @@
 """Token log-probabilities from a log-bilinear model trained with noise-contrastive estimation.
 
 Counts of all training tokens stay in a table that is sharded by word. Words with at least HEAD_SHARE of all tokens (so at most
-1 / HEAD_SHARE of them) are looked up map-side, the others join the table. The model predicts the VOCABULARY most frequent
-words, the end of a text and one class for all other words from the two tokens before; a word of that class then has its
-discounted share of the class. Softmax sums are computed for every pair of context tokens, so probabilities are normalised.
+1 / HEAD_SHARE of them) and a count of HEAD_COUNT have vectors of their own and are looked up map-side; all others join the table. A word's class is the
+word itself for the SINGLES most frequent ones and one of BUCKETS by the last letters for the others. One log-bilinear model
+predicts the class, or the end of a text, from the classes of the two tokens before; a second one predicts the word inside its
+bucket from the class of the token before, where all words without a vector are one entry; inside that they have their
+discounted shares. Softmax sums come from matrix products over every context, so probabilities are normalised.
+
+Documents are dealt to units by a hash, a unit trains on all its windows in order, and the models of all units are averaged, so
+the result does not depend on how the input is partitioned.
 """
 
 from __future__ import annotations
@@ -12,18 +17,27 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
-from math import log, log10
+from math import ceil, log, log10
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
 from .memory import bounded, tidy
 
-VOCABULARY, WIDTH, NOISE, BATCH = 1000, 24, 64, 1024
-HEAD_SHARE, LONGEST_HEAD_WORD = 1e-6, 64
+#: Classes of one word, and classes by the last SUFFIX bytes; widths of the vectors for classes and for words in their bucket.
+SINGLES, BUCKETS, SUFFIX = 800, 128, 3
+WIDTH, INNER = 24, 8
+NOISE, INNER_NOISE, BATCH = 64, 32, 2048
+#: Least share of all tokens, and least count, of a word with vectors of its own.
+HEAD_SHARE, HEAD_COUNT = 1e-6, 3
+#: Training tokens of a unit, and how many times every unit trains on its windows.
+UNIT_TOKENS, ROUNDS = 2_000_000, 2
 #: Words counted in a task before the counts are handed on, and tokens handled in one array operation.
 WORDS_A_FLUSH, TOKENS_A_BLOCK, TOKENS_A_CHUNK = 400_000, 100_000, 1_000_000
 SMOOTH = 0.1
@@ -66,7 +80,7 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """Ids: 0 .. v-1 words, v any other word, v+1 the end, v+2 what stands before the first token (context only)."""
+    """Ids: 0 .. v classes of words, v+1 the end, v+2 what stands before the first token (context only)."""
 
     v: int
     inputs: np.ndarray  # (v + 3, width)
@@ -123,15 +137,30 @@ def windows(ids: list[np.ndarray], v: int) -> tuple[np.ndarray, np.ndarray, np.n
     return s[at - 2], s[at - 1], s[at], n
 
 
-def examples(two: np.ndarray, one: np.ndarray, token: np.ndarray, v: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(two back, one back, token, weight): every distinct window, with weights that sum to its count. A window that is seen
-    more than MOST_WEIGHT times is given several times, so no example outweighs a batch."""
-    key, c = np.unique((two.astype(np.int64) * (v + 3) + one) * (v + 3) + token, return_counts=True)
+def weighted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every distinct key, with weights that sum to its count. A key that is seen more than MOST_WEIGHT times is given several
+    times, so no example outweighs a batch."""
+    key, c = np.unique(key, return_counts=True)
     times = -(-c // MOST_WEIGHT)
-    key, weight = np.repeat(key, times), np.repeat(c / times, times).astype(np.float32)
+    return np.repeat(key, times), np.repeat(c / times, times).astype(np.float32)
+
+
+def examples(two: np.ndarray, one: np.ndarray, token: np.ndarray, v: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(two back, one back, token, weight) of the distinct windows."""
+    key, weight = weighted((two.astype(np.int64) * (v + 3) + one) * (v + 3) + token)
     return key // (v + 3) ** 2, key // (v + 3) % (v + 3), key % (v + 3), weight
 
 
+def _gathered(ids: np.ndarray, grad: np.ndarray, rows: int) -> np.ndarray:
+    """Sums of the rows of ``grad`` by id."""
+    out = np.zeros((rows, grad.shape[1]), np.float32)
+    order = np.argsort(ids, kind="stable")
+    own = ids[order]
+    first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+    out[own[first]] = np.add.reduceat(grad[order], first, axis=0)
+    return out
+
+
 def descend(model: Model, noise: np.ndarray, two: np.ndarray, one: np.ndarray, token: np.ndarray, rng: np.random.Generator, state: dict[str, list[np.ndarray]], rate: float = 0.005, weight: np.ndarray | None = None) -> None:
     """Noise-contrastive steps over the given examples; the noise words of a batch are shared, so scores are matrix products.
 
@@ -140,14 +169,6 @@ def descend(model: Model, noise: np.ndarray, two: np.ndarray, one: np.ndarray, t
     shift = np.log(NOISE * noise).astype(np.float32)
     grown = np.cumsum(noise)
 
-    def gather(ids: np.ndarray, grad: np.ndarray, rows: int) -> np.ndarray:
-        out = np.zeros((rows, grad.shape[1]), np.float32)
-        order = np.argsort(ids, kind="stable")
-        own = ids[order]
-        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        out[own[first]] = np.add.reduceat(grad[order], first, axis=0)
-        return out
-
     m1, m2 = state["m1"], state["m2"]
     for at in range(0, len(token), BATCH):
         a, b, w = two[at : at + BATCH], one[at : at + BATCH], token[at : at + BATCH]
@@ -162,8 +183,8 @@ def descend(model: Model, noise: np.ndarray, two: np.ndarray, one: np.ndarray, t
         dh = dg[:, None] * model.outputs[w] + db @ model.outputs[k]
         n = len(w)
         rows = len(model.outputs)
-        go = gather(w, np.c_[dg[:, None] * h, dg], rows) + gather(k, np.c_[db.T @ h, db.sum(axis=0)], rows)
-        gi = gather(np.r_[b, a], np.r_[dh @ model.near.T, dh @ model.far.T], len(model.inputs))
+        go = _gathered(w, np.c_[dg[:, None] * h, dg], rows) + _gathered(k, np.c_[db.T @ h, db.sum(axis=0)], rows)
+        gi = _gathered(np.r_[b, a], np.r_[dh @ model.near.T, dh @ model.far.T], len(model.inputs))
         grads = [gi / n, go[:, :-1] / n, go[:, -1] / n, vb.T @ dh / n, va.T @ dh / n]
         state["t"][0] += 1
         t = float(state["t"][0][0])
@@ -173,67 +194,238 @@ def descend(model: Model, noise: np.ndarray, two: np.ndarray, one: np.ndarray, t
             p += (rate / (1 + t / 2000)) * (x / (1 - 0.9**t)) / (np.sqrt(y / (1 - 0.99**t)) + 1e-6)
 
 
-def train(texts: DataFrame, vocabulary: list[bytes], unigram: np.ndarray, rounds: int = 2) -> Model:
-    """Every round each task goes over the examples of its own texts and the results are averaged by tokens seen.
+@dataclass
+class Vocabulary:
+    """Codes of words: the SINGLES most frequent ones, then the entries of the buckets in order, the last of each standing for
+    all words without a vector."""
+
+    words: list[bytes]  # by falling count
+    counts: np.ndarray
+    ends: int
+    rare: np.ndarray  # tokens without a vector by bucket
+
+    def __post_init__(self):
+        self.singles = k = min(SINGLES, len(self.words))
+        self.v = k + BUCKETS - 1
+        own = np.array([bucket_of(w) for w in self.words[k:]], np.int64)
+        order = np.argsort(own, kind="stable")
+        size = np.bincount(own, minlength=BUCKETS) + 1
+        self.start = np.concatenate(([0], np.cumsum(size)))  # of each bucket's entries
+        self.rare_entry = self.start[1:] - 1
+        self.bucket = np.repeat(np.arange(BUCKETS), size)
+        self.entry_count = np.empty(len(self.bucket))
+        self.entry_count[self.rare_entry] = np.maximum(self.rare, 0.5)
+        place = np.empty(len(own), np.int64)
+        place[order] = np.setdiff1d(np.arange(len(self.bucket)), self.rare_entry, assume_unique=True)
+        self.entry_count[place] = self.counts[k:]
+        self.code = np.concatenate((np.arange(k), k + place)).astype(np.int32)  # of each word
+        self.class_of = np.concatenate((np.arange(k), k + self.bucket)).astype(np.int32)  # of each code
+        self.is_rare = np.zeros(k + len(self.bucket), bool)
+        self.is_rare[k + self.rare_entry] = True
+
+    def unigram(self) -> np.ndarray:
+        """Shares of all classes and the end."""
+        whole = np.concatenate((self.counts[: self.singles], np.add.reduceat(self.entry_count, self.start[:-1]), [max(self.ends, 0.5)]))
+        return whole / whole.sum()
+
+    def encoder(self):
+        """A function from words to codes."""
+        get, rare = dict(zip(self.words, self.code.tolist(), strict=True)).get, (self.singles + self.rare_entry).tolist()
+
+        def encode(words: list[bytes]) -> np.ndarray:
+            out = np.fromiter(map(get, words, repeat(-1)), np.int32, len(words))
+            for i in np.flatnonzero(out < 0).tolist():
+                out[i] = rare[bucket_of(words[i])]
+            return out
+
+        return encode
+
+
+def bucket_of(word: bytes) -> int:
+    return crc32(word[-SUFFIX:]) % BUCKETS
+
+
+def bucket_column(word: Column) -> Column:
+    """``bucket_of`` in Spark."""
+    raw = word.cast("binary")
+    return (F.crc32(F.when(F.octet_length(raw) > SUFFIX, F.substring(raw, -SUFFIX, SUFFIX)).otherwise(raw)) % BUCKETS).cast("int")
+
+
+@dataclass
+class Inner:
+    """Scores of a bucket's entries from the class of the token before."""
+
+    context: np.ndarray  # (v + 3, INNER)
+    entries: np.ndarray  # (entries, INNER)
+    bias: np.ndarray
+
+    def parts(self) -> list[np.ndarray]:
+        return [self.context, self.entries, self.bias]
+
+    def sums(self, start: np.ndarray) -> np.ndarray:
+        """Log of the softmax sum for every (class before, bucket)."""
+        out = np.empty((len(self.context), len(start) - 1), np.float32)
+        for j, (a, b) in enumerate(zip(start[:-1], start[1:], strict=True)):
+            for at in range(0, len(out), 128):
+                s = self.context[at : at + 128] @ self.entries[a:b].T + self.bias[a:b]
+                top = s.max(axis=1, keepdims=True)
+                out[at : at + 128, j] = (top + np.log(np.exp(s - top).sum(axis=1, keepdims=True)))[:, 0]
+        return out
+
+
+def start_inner(vocabulary: Vocabulary, seed: int = 12) -> Inner:
+    """Small random vectors; biases are the log-shares inside the bucket."""
+    rng = np.random.default_rng(seed)
+    share = vocabulary.entry_count / np.add.reduceat(vocabulary.entry_count, vocabulary.start[:-1])[vocabulary.bucket]
+    small = lambda *shape: (rng.standard_normal(shape) * 0.05).astype(np.float32)
+    return Inner(small(vocabulary.v + 3, INNER), small(len(share), INNER), np.log(share).astype(np.float32))
+
+
+def descend_inner(model: Inner, start: np.ndarray, noise: np.ndarray, before: np.ndarray, entry: np.ndarray, weight: np.ndarray, rng: np.random.Generator, squares: list[np.ndarray], rate: float = 0.05) -> None:
+    """Noise-contrastive steps inside the buckets, with noise from the same bucket; step sizes fall with the gradients seen.
+
+    ``noise`` holds each entry's share of its bucket; examples are sorted by entry, so buckets follow each other."""
+    weight = weight / weight.mean()
+    edges = np.searchsorted(entry, start)
+    for j in rng.permutation(len(start) - 1):
+        low, high = int(start[j]), int(start[j + 1])
+        if high - low < 2 or edges[j] == edges[j + 1]:
+            continue
+        grown = np.cumsum(noise[low:high])
+        shift = np.log(INNER_NOISE * noise[low:high]).astype(np.float32)
+        out, bias = model.entries[low:high], model.bias[low:high]
+        order = rng.permutation(np.arange(edges[j], edges[j + 1]))
+        for at in range(0, len(order), BATCH):
+            pick = order[at : at + BATCH]
+            b, w, share = before[pick], entry[pick] - low, weight[pick]
+            k = np.minimum(np.searchsorted(grown, rng.random(INNER_NOISE) * grown[-1]), high - low - 1)
+            h = model.context[b]
+            good = (h * out[w]).sum(axis=1) + bias[w] - shift[w]
+            bad = h @ out[k].T + bias[k] - shift[k]
+            dg = share / (1 + np.exp(np.clip(good, -30, 30)))
+            db = -share[:, None] / (1 + np.exp(np.clip(-bad, -30, 30)))
+            go, gb = np.zeros_like(out), np.zeros_like(bias)
+            np.add.at(go, k, db.T @ h)
+            np.add.at(gb, k, db.sum(axis=0))
+            go += _gathered(w, dg[:, None] * h, high - low)
+            gb += np.bincount(w, dg, high - low).astype(np.float32)
+            gc = _gathered(b, dg[:, None] * out[w] + db @ out[k], len(model.context))
+            for p, g, q in ((model.context, gc, squares[0]), (out, go, squares[1][low:high]), (bias, gb, squares[2][low:high])):
+                g /= len(pick)
+                q += g * g
+                p += rate * g / (np.sqrt(q) + 1e-4)
+
+
+def pack_documents(docs: DataFrame, vocabulary: Vocabulary, units: int) -> DataFrame:
+    """(unit, mark, codes) of (doc_id, text) rows, sorted by unit and mark; both follow from id and text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, press = vocabulary.encoder(), zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            marks, codes = [], []
+            for key, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                text = t.as_py()
+                marks.append(xxhash.xxh3_64_intdigest(f"{key}:{text}".encode("utf-8", "surrogatepass")) >> 1)
+                codes.append(press.compress(encode(words_of(text)).tobytes()))
+            unit = pa.array([m % units for m in marks], pa.int64())
+            yield pa.RecordBatch.from_arrays([unit, pa.array(marks, pa.int64()), pa.array(codes, pa.binary())], names=["unit", "mark", "codes"])
+        tidy()
+
+    return docs.mapInArrow(run, "unit long, mark long, codes binary").repartition("unit").sortWithinPartitions("unit", "mark")
+
 
-    Every window of a chunk takes part with its count as the weight of its gradient, so the work follows the number of
-    different windows, plus one example for MOST_WEIGHT repeats. Only model-sized rows reach the driver, SUM_PARTS at most.
+def train(packed: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> tuple[Model, Inner]:
+    """Every round each unit trains on the windows of its documents, from the same models, and the results are averaged by tokens.
+
+    Every window of a chunk takes part with its count as the weight of its gradient, so the work follows the number of different
+    windows, plus one example for MOST_WEIGHT repeats. Only rows of the size of the models reach the driver, one a round.
     """
-    model = start_model(unigram)
-    index = {w: i for i, w in enumerate(vocabulary)}
-    v = len(vocabulary)
+    unigram = vocabulary.unigram()
+    outer, inner = start_model(unigram), start_inner(vocabulary)
+    v, k, start = vocabulary.v, vocabulary.singles, vocabulary.start
     noise = unigram / unigram.sum()
-    size = model.flat().size
+    share = vocabulary.entry_count / np.add.reduceat(vocabulary.entry_count, start[:-1])[vocabulary.bucket]
+    class_of, entries = vocabulary.class_of, len(vocabulary.bucket)
+    flat = lambda outer, inner: np.concatenate([p.ravel() for p in (*outer.parts(), *inner.parts())])
+
+    def filled(values: np.ndarray) -> tuple[Model, Inner]:
+        own = outer.filled(values)
+        parts, at = [], sum(p.size for p in own.parts())
+        for p in inner.parts():
+            parts.append(values[at : at + p.size].reshape(p.shape).astype(np.float32))
+            at += p.size
+        return own, Inner(*parts)
 
-    def learn(begin: Model, nth: int):
+    def learn(begin: np.ndarray, nth: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = begin.filled(begin.flat())
-            rng = np.random.default_rng(1000 + nth)
-            state = {"m1": [np.zeros_like(p) for p in own.parts()], "m2": [np.zeros_like(p) for p in own.parts()], "t": [np.zeros(1)]}
+            unit, unpress = None, zstandard.ZstdDecompressor()
+            total, weight = np.zeros(0), 0.0
             waiting: list[np.ndarray] = []
-            held = seen = 0
+            held = 0
 
             def step() -> None:
-                a, b, w, _ = windows(waiting, v)
-                a, b, w, share = examples(a, b, w, v)
-                order = rng.permutation(len(w))
-                descend(own, noise, a[order], b[order], w[order], rng, state, weight=share[order])
-
-            get = index.get
+                codes = waiting
+                a, b, w, n = windows([class_of[c] for c in codes], v)
+                x, y, z, m = examples(a, b, w, v)
+                order = rng.permutation(len(z))
+                descend(own, noise, x[order], y[order], z[order], rng, state, weight=m[order])
+                every = np.concatenate([np.append(c, 0) for c in codes])
+                at = np.flatnonzero((every >= k) & (w != v + 1))
+                if len(at):
+                    key, m = weighted((every[at].astype(np.int64) - k) * (v + 3) + b[at])
+                    descend_inner(deep, start, share, key % (v + 3), key // (v + 3), m, rng, squares)
+
+            def ended() -> None:
+                nonlocal total, weight
+                if waiting:
+                    step()
+                if seen:
+                    total = (total if len(total) else np.zeros(len(begin))) + flat(own, deep).astype(np.float64) * seen
+                    weight += seen
+
+            seen = 0
             for batch in batches:
-                for t in batch.column(0):
-                    words = words_of(t.as_py())
-                    waiting.append(np.fromiter(map(get, words, repeat(v)), np.int32, len(words)))
-                    held += len(words) + 1
-                    seen += len(words) + 1
+                for u, packed in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+                    if u != unit:
+                        ended()
+                        unit, waiting, held, seen = u, [], 0, 0
+                        own, deep = filled(begin)
+                        rng = np.random.default_rng([nth, u])
+                        state = {"m1": [np.zeros_like(p) for p in own.parts()], "m2": [np.zeros_like(p) for p in own.parts()], "t": [np.zeros(1)]}
+                        squares = [np.zeros_like(p) for p in deep.parts()]
+                    waiting.append(np.frombuffer(unpress.decompress(packed.as_py()), np.int32))
+                    held += len(waiting[-1]) + 1
+                    seen += len(waiting[-1]) + 1
                     if held >= TOKENS_A_CHUNK:
                         step()
                         waiting, held = [], 0
-            if waiting:
-                step()
-            if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([float(seen)]), pa.array([(own.flat().astype(np.float64) * seen).tobytes()], pa.binary())], names=["weight", "model"])
+            ended()
+            if weight:
+                yield pa.RecordBatch.from_arrays([pa.array([unit]), pa.array([weight]), pa.array([(total / weight).astype(np.float32).tobytes()], pa.binary())], names=["unit", "weight", "model"])
+            tidy()
 
         return run
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, weight = np.zeros(size), 0.0
+        total, weight, unit = np.zeros(0), 0.0, 0
         for batch in batches:
-            for w, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total += np.frombuffer(m)
-                weight += w
+            for u, w, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                m = np.frombuffer(m.as_buffer(), np.float32) * w
+                total, weight, unit = total + m if len(total) else m, weight + w, u
         if weight:
-            yield pa.RecordBatch.from_arrays([pa.array([weight]), pa.array([total.tobytes()], pa.binary())], names=["weight", "model"])
+            yield pa.RecordBatch.from_arrays([pa.array([unit]), pa.array([weight]), pa.array([(total / weight).astype(np.float32).tobytes()], pa.binary())], names=["unit", "weight", "model"])
 
-    schema = "weight double, model binary"
+    schema = "unit long, weight double, model binary"
     for nth in range(rounds):
-        got = texts.mapInArrow(learn(model, nth), schema).repartition(SUM_PARTS).mapInArrow(add, schema).collect()
+        models = packed.mapInArrow(learn(flat(outer, inner), nth), schema)
+        parts = models.repartition(SUM_PARTS, "unit").sortWithinPartitions("unit").mapInArrow(add, schema)
+        got = parts.coalesce(1).sortWithinPartitions("unit").mapInArrow(add, schema).collect()
         if got:
-            model = model.filled(sum(np.frombuffer(r["model"]) for r in got) / sum(r["weight"] for r in got))
-    return model
+            outer, inner = filled(np.frombuffer(got[0]["model"], np.float32))
+    return outer, inner
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2) -> DataFrame:
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, unit_tokens: int = UNIT_TOKENS) -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
     Base and model learn from the rows that are not held out. ``score`` is the log10 probability of the text's words and its
@@ -242,74 +434,72 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = bounded(docs).select(F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    learnt = rows.filter(~F.col("held_out")).select("text")
-    counts = materialize(count_words(learnt))
+    learnt = rows.filter(~F.col("held_out"))
+    counts = materialize(count_words(learnt.select("text")))
     seen = counts.agg(F.sum("n").alias("tokens"), F.count("*").alias("words")).first()
     tokens, words = int(seen["tokens"] or 0), int(seen["words"])
     is_word = F.col("word") != ""
     ends = counts.filter(~is_word).first()
     ends = int(ends["n"]) if ends else 0
-    head_rows = counts.filter((F.col("n") >= max(1.0, tokens * HEAD_SHARE)) & is_word & (F.octet_length("word") <= LONGEST_HEAD_WORD)).toPandas()
-    head_rows = head_rows.sort_values(["n", "word"], ascending=[False, True], kind="stable").reset_index(drop=True)
-    head = [w.encode("utf-8", "surrogatepass") for w in head_rows["word"]]
-    head_n = head_rows["n"].to_numpy(float)
-    v = min(VOCABULARY, len(head))
-
-    rare_tokens = tokens - ends - int(head_n[:v].sum())
-    # Of the words outside the vocabulary: how many there are, and how many were seen once and twice.
-    least = float(head_n[v - 1]) if v else 0.0
-    few = counts.filter(is_word).agg(F.count("*").alias("all"), F.sum((F.col("n") == 1).cast("long")).alias("n1"), F.sum((F.col("n") == 2).cast("long")).alias("n2")).first()
-    n1, n2 = (0 if least <= 2 else int(few[c] or 0) for c in ("n1", "n2"))
-    cut = n1 / (n1 + 2 * n2) if n1 and n1 + 2 * n2 else 0.5
-    rare_words = int(few["all"]) - v
-    # Without rare words the class's whole mass is the unknown word's.
-    log_rare = lambda n: np.log10(np.maximum(n - cut, 1e-9) / max(rare_tokens, 1))
-    log_unseen = log10(max(cut * rare_words, 1e-9) / rare_tokens) if rare_tokens and rare_words else 0.0
-
-    unigram = np.concatenate([head_n[:v], [max(rare_tokens, 0.5), max(ends, 0.5)]])
-    unigram /= unigram.sum()
-    model = train(learnt, head[:v], unigram, rounds)
-    logz, outputs, bias = model.sums(), model.outputs, model.bias
-    one, two = model.contexts()
-
-    index = {w: i for i, w in enumerate(head)}
+    # Head words number 1 / HEAD_SHARE at most, and their bytes that many times the mean of a token.
+    in_head = F.col("n") >= max(HEAD_COUNT, tokens * HEAD_SHARE)
+    head_rows = counts.filter(in_head & is_word).toPandas().sort_values(["n", "word"], ascending=[False, True], kind="stable")
+    tail_counts = counts.filter(~in_head & is_word).withColumn("bucket", bucket_column(F.col("word")))
+
+    # Tokens and words without a vector in every bucket, and the discount that leaves room for words never seen.
+    shares = materialize(tail_counts.groupBy("bucket").agg(F.sum("n").alias("tokens"), F.count("*").alias("words"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")))
+    by = shares.collect()
+    n1, n2 = (sum(r[c] for r in by) for c in ("n1", "n2"))
+    cut = n1 / (n1 + 2 * n2) if n1 else 0.5
+    rare = np.zeros(BUCKETS)
+    for r in by:
+        rare[r["bucket"]] = r["tokens"]
+    vocabulary = Vocabulary([w.encode("utf-8", "surrogatepass") for w in head_rows["word"]], head_rows["n"].to_numpy(float), ends, rare)
+    units = max(1, ceil(tokens / unit_tokens))
+    outer, inner = train(materialize(pack_documents(learnt.select("doc_id", "text"), vocabulary, units)), vocabulary, rounds)
+    one, two = outer.contexts()
+    logz, outputs, bias = outer.sums(), outer.outputs, outer.bias
+    inner_logz = inner.sums(vocabulary.start)
+    v, k, class_of, is_rare = vocabulary.v, vocabulary.singles, vocabulary.class_of, vocabulary.is_rare
+    bucket = vocabulary.bucket
+
     total = log10(tokens + SMOOTH * (words + 1))
-    base_of = np.log10(head_n + SMOOTH) - total
-    rare_of = np.where(np.arange(len(head)) < v, 0.0, log_rare(head_n))
+    base_of = np.zeros(len(class_of))
+    base_of[vocabulary.code] = np.log10(vocabulary.counts + SMOOTH) - total
     base_end = log10(ends + SMOOTH) - total
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = index.get
+        encode = vocabulary.encoder()
 
         def block(ids: list, marks: list, texts: list[list[bytes]]) -> pa.RecordBatch:
             n = np.array([len(w) for w in texts], np.int64)
             flat = [w for t in texts for w in t]
-            at = np.fromiter(map(get, flat, repeat(-1)), np.int32, len(flat))
-            token = np.where((at >= 0) & (at < v), at, v)
-            a, b, w, places = windows(np.split(token, np.cumsum(n)[:-1]) if len(n) else [], v)
+            code = encode(flat)
+            a, b, w, places = windows(np.split(class_of[code], np.cumsum(n)[:-1]), v)
             first = np.cumsum(places) - places
             logp = np.empty(len(w))
+            every = np.insert(code, np.cumsum(n), -1)  # the ends
             for i in range(0, len(w), TOKENS_A_BLOCK):
                 s = slice(i, i + TOKENS_A_BLOCK)
                 h = one[b[s]]
                 h += two[a[s]]
                 logp[s] = np.einsum("ij,ij->i", h, outputs[w[s]]) + bias[w[s]] - logz[a[s], b[s]]
-            known = at >= 0
+                at = np.flatnonzero(every[s] >= k)
+                entry, before = every[s][at] - k, b[s][at]
+                logp[i + at] += np.einsum("ij,ij->i", inner.context[before], inner.entries[entry]) + inner.bias[entry] - inner_logz[before, bucket[entry]]
+            known = ~is_rare[code]
             edge = np.concatenate(([0], np.cumsum(n)))
             sums = lambda x: (c := np.concatenate(([0.0], np.cumsum(x))))[edge[1:]] - c[edge[:-1]]
-            pick = np.where(known, at, 0)
-            base = sums(np.where(known, base_of[pick], 0.0) if len(head) else np.zeros(len(at)))
-            rare = sums(np.where(known, rare_of[pick], 0.0) if len(head) else np.zeros(len(at)))
-            tail: list[list[bytes]] = [[] for _ in texts]
+            tail: list[Counter[bytes]] = [Counter() for _ in texts]
             lost = np.flatnonzero(~known)
             for i, d in zip(lost.tolist(), (np.searchsorted(edge, lost, side="right") - 1).tolist(), strict=True):
-                tail[d].append(flat[i])
+                tail[d][flat[i]] += 1
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids, schema_type), pa.array(marks, pa.bool_()), pa.array(n + 1), pa.array(sums(known).astype(np.int64) + (ends > 0)), pa.array(base + base_end),
-                    pa.array(np.add.reduceat(logp, first) / log(10) + rare if len(first) else np.zeros(0)), pa.array([b" ".join(t) for t in tail], pa.string()),
+                    pa.array(ids, schema_type), pa.array(marks, pa.bool_()), pa.array(n + 1), pa.array(sums(known).astype(np.int64) + (ends > 0)), pa.array(sums(base_of[code]) + base_end),
+                    pa.array(np.add.reduceat(logp, first) / log(10)), pa.array([b" ".join(t) for t in tail], pa.string()), pa.array([list(t.values()) for t in tail], pa.list_(pa.int32())),
                 ],
-                names=["doc_id", "held_out", "n_tokens", "head_known", "head_base", "head_score", "tail"],
+                names=["doc_id", "held_out", "n_tokens", "head_known", "head_base", "head_score", "tail", "times"],
             )
 
         for batch in batches:
@@ -319,7 +509,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 ids.append(i)
                 marks.append(m)
                 texts.append(words_of(t.as_py()))
-                size += len(texts[-1])
+                size += len(texts[-1]) + 1
                 if size >= TOKENS_A_BLOCK:
                     yield block(ids, marks, texts)
                     ids, marks, texts, size = [], [], [], 0
@@ -327,19 +517,19 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield block(ids, marks, texts)
         tidy()
 
-    half = materialize(rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, head_known long, head_base double, head_score double, tail string"))
+    half = materialize(rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, head_known long, head_base double, head_score double, tail string, times array<int>"))
     half = half.withColumn("row", F.monotonically_increasing_id())
-    lookups = half.filter(F.col("tail") != "").select("row", F.explode(F.split("tail", " ")).alias("word"))
-    n = F.coalesce(F.col("n"), F.lit(0))
-    tail_counts = counts.filter(is_word & ((F.col("n") < max(1.0, tokens * HEAD_SHARE)) | (F.octet_length("word") > LONGEST_HEAD_WORD)))
-    tails = (
-        lookups.join(tail_counts, "word", "left")
-        .groupBy("row")
-        .agg(
-            F.sum((n > 0).cast("long")).alias("known"),
-            F.sum(F.log10(n + SMOOTH) - F.lit(total)).alias("base"),
-            F.sum(F.when(n > 0, F.log10(F.greatest(n - F.lit(cut), F.lit(1e-9)) / F.lit(float(max(rare_tokens, 1))))).otherwise(F.lit(float(log_unseen)))).alias("rare"),
-        )
+    # One row for a word of a document, however often it is there.
+    lookups = half.filter(F.col("tail") != "").select("row", F.inline(F.arrays_zip(F.split("tail", " ").alias("word"), F.col("times"))))
+    n, times = F.coalesce(F.col("n"), F.lit(0)), F.col("times")
+    found = lookups.join(tail_counts.select("word", "n"), "word", "left").withColumn("bucket", bucket_column(F.col("word")))
+    found = found.join(F.broadcast(shares.select("bucket", "tokens", "words")), "bucket", "left")
+    # In a bucket without such words all of the entry's mass is the unknown word's.
+    share = F.when(n > 0, n - F.lit(float(cut))).otherwise(F.lit(float(cut)) * F.col("words")) / F.col("tokens")
+    tails = found.groupBy("row").agg(
+        F.sum(F.when(n > 0, times).otherwise(0).cast("long")).alias("known"),
+        F.sum(times * (F.log10(n + SMOOTH) - F.lit(total))).alias("base"),
+        F.sum(times * F.coalesce(F.log10(F.greatest(share, F.lit(1e-12))), F.lit(0.0))).alias("rare"),
     )
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     return half.join(tails, "row", "left").select(

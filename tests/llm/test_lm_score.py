@@ -41,6 +41,56 @@ def test_tail_is_joined(spark, monkeypatch):
     check_base(rows, L.score_documents(edge_docs(spark, rows)).collect())
 
 
+def test_scores_do_not_depend_on_the_layout(spark):
+    """Several units, and vectors, buckets, words without a vector and unknown ones."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = []
+    for parts in (4, 9):
+        out = L.score_documents(docs.repartition(parts), unit_tokens=20_000).collect()
+        got.append({r.doc_id: (r.base_score, r.score) for r in out})
+    assert got[0].keys() == got[1].keys()
+    assert all(math.isclose(x, y, rel_tol=1e-6) for i in got[0] for x, y in zip(got[0][i], got[1][i], strict=True))
+
+
+def test_buckets_alike_in_both_languages(spark):
+    words = ["a", "ab", "abc", "abcd", "é", "aé", "日本", "x" * 300, "ñandú"]
+    got = spark.createDataFrame([(w,) for w in words], "word string").select("word", L.bucket_column(L.F.col("word")).alias("b")).collect()
+    assert all(r.b == L.bucket_of(r.word.encode()) for r in got)
+
+
+def test_words_of_a_bucket_sum_to_one():
+    words = [f"w{i}".encode() for i in range(3000)]
+    v = L.Vocabulary(words, np.arange(3000, 0, -1.0), 50, np.arange(L.BUCKETS, dtype=float))
+    assert v.singles == L.SINGLES and len(v.class_of) == 3000 + L.BUCKETS and abs(v.unigram().sum() - 1) < 1e-9
+    for w, code in zip(words, v.encoder()(words), strict=True):
+        assert v.class_of[code] == (code if code < v.singles else v.singles + L.bucket_of(w)) and not v.is_rare[code]
+    for w, code in zip((b"new", b"unseen"), v.encoder()([b"new", b"unseen"]), strict=True):
+        assert v.is_rare[code] and v.class_of[code] == v.singles + L.bucket_of(w)
+    assert all(v.entry_count[c - v.singles] == n for c, n in zip(v.code[v.singles :], v.counts[v.singles :], strict=True))
+    m = L.start_inner(v)
+    rng = np.random.default_rng(3)
+    m = L.Inner(*[p + rng.standard_normal(p.shape).astype(np.float32) for p in m.parts()])
+    z = m.sums(v.start)
+    for b in (0, 5, v.v + 2):
+        p = np.exp(m.entries @ m.context[b] + m.bias - z[b][v.bucket])
+        assert np.allclose(np.add.reduceat(p, v.start[:-1]), 1, atol=1e-4)
+
+
+def test_inner_model_learns_what_follows():
+    words = [f"w{i}".encode() for i in range(L.SINGLES)] + [w for w in (f"x{i}ab".encode() for i in range(4))]
+    v = L.Vocabulary(words, np.full(len(words), 100.0), 50, np.zeros(L.BUCKETS))
+    m = L.start_inner(v)
+    entry = np.sort(np.tile(v.code[-4:] - v.singles, 200))
+    before = (entry - entry.min()).astype(np.int64)  # word i of the bucket follows class i
+    share = v.entry_count / np.add.reduceat(v.entry_count, v.start[:-1])[v.bucket]
+    squares = [np.zeros_like(p) for p in m.parts()]
+    for nth in range(60):
+        L.descend_inner(m, v.start, share, before, entry, np.ones(len(entry), np.float32), np.random.default_rng(nth), squares)
+    z = m.sums(v.start)
+    for i, e in enumerate(np.unique(entry)):
+        assert np.exp(m.context[i] @ m.entries[e] + m.bias[e] - z[i, v.bucket[e]]) > 0.8
+
+
 def test_normalised():
     rng = np.random.default_rng(0)
     m = L.start_model(np.array([0.3, 0.2, 0.2, 0.2, 0.1]))
