@@ -152,8 +152,9 @@ def examples(two: np.ndarray, one: np.ndarray, token: np.ndarray, v: int) -> tup
 
 
 def _gathered(ids: np.ndarray, grad: np.ndarray, rows: int) -> np.ndarray:
-    """Sums of the rows of ``grad`` by id."""
+    """Sums of the rows of ``grad`` by id. Sixteen-bit ids are sorted by radix, so they are cut to that where they fit."""
     out = np.zeros((rows, grad.shape[1]), np.float32)
+    ids = ids.astype(np.uint16) if rows <= 1 << 16 else ids
     order = np.argsort(ids, kind="stable")
     own = ids[order]
     first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
@@ -161,6 +162,22 @@ def _gathered(ids: np.ndarray, grad: np.ndarray, rows: int) -> np.ndarray:
     return out
 
 
+def _beside(grad: np.ndarray, last: np.ndarray) -> np.ndarray:
+    return np.concatenate((grad, last[:, None]), axis=1)
+
+
+def _pulls(good: np.ndarray, bad: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients of the scores of the true and of the noise words; ``good`` and ``bad`` are used up."""
+    with np.errstate(over="ignore"):  # a quotient by infinity is zero
+        np.exp(good, out=good)
+        np.exp(np.negative(bad, out=bad), out=bad)
+    good += 1
+    bad += 1
+    np.divide(share, good, out=good)
+    np.divide(-share[:, None], bad, out=bad)
+    return good, bad
+
+
 def descend(model: Model, noise: np.ndarray, two: np.ndarray, one: np.ndarray, token: np.ndarray, rng: np.random.Generator, state: dict[str, list[np.ndarray]], rate: float = 0.005, weight: np.ndarray | None = None) -> None:
     """Noise-contrastive steps over the given examples; the noise words of a batch are shared, so scores are matrix products.
 
@@ -175,16 +192,15 @@ def descend(model: Model, noise: np.ndarray, two: np.ndarray, one: np.ndarray, t
         k = np.minimum(np.searchsorted(grown, rng.random(NOISE) * grown[-1]), len(noise) - 1)
         va, vb = model.inputs[a], model.inputs[b]
         h = vb @ model.near + va @ model.far
-        good = (h * model.outputs[w]).sum(axis=1) + model.bias[w] - shift[w]
-        bad = h @ model.outputs[k].T + model.bias[k] - shift[k]
+        ow, ok = model.outputs[w], model.outputs[k]
         share = weight[at : at + BATCH]
-        dg = share / (1 + np.exp(np.clip(good, -30, 30)))
-        db = -share[:, None] / (1 + np.exp(np.clip(-bad, -30, 30)))
-        dh = dg[:, None] * model.outputs[w] + db @ model.outputs[k]
+        dg, db = _pulls(np.einsum("ij,ij->i", h, ow) + (model.bias - shift)[w], h @ ok.T + (model.bias - shift)[k], share)
+        dh = db @ ok
+        dh += dg[:, None] * ow
         n = len(w)
         rows = len(model.outputs)
-        go = _gathered(w, np.c_[dg[:, None] * h, dg], rows) + _gathered(k, np.c_[db.T @ h, db.sum(axis=0)], rows)
-        gi = _gathered(np.r_[b, a], np.r_[dh @ model.near.T, dh @ model.far.T], len(model.inputs))
+        go = _gathered(w, _beside(dg[:, None] * h, dg), rows) + _gathered(k, _beside(db.T @ h, db.sum(axis=0)), rows)
+        gi = _gathered(np.concatenate((b, a)), np.concatenate((dh @ model.near.T, dh @ model.far.T)), len(model.inputs))
         grads = [gi / n, go[:, :-1] / n, go[:, -1] / n, vb.T @ dh / n, va.T @ dh / n]
         state["t"][0] += 1
         t = float(state["t"][0][0])
@@ -300,38 +316,46 @@ def descend_inner(model: Inner, start: np.ndarray, noise: np.ndarray, before: np
             b, w, share = before[pick], entry[pick] - low, weight[pick]
             k = np.minimum(np.searchsorted(grown, rng.random(INNER_NOISE) * grown[-1]), high - low - 1)
             h = model.context[b]
-            good = (h * out[w]).sum(axis=1) + bias[w] - shift[w]
-            bad = h @ out[k].T + bias[k] - shift[k]
-            dg = share / (1 + np.exp(np.clip(good, -30, 30)))
-            db = -share[:, None] / (1 + np.exp(np.clip(-bad, -30, 30)))
-            go, gb = np.zeros_like(out), np.zeros_like(bias)
+            ow, ok = out[w], out[k]
+            dg, db = _pulls(np.einsum("ij,ij->i", h, ow) + (bias - shift)[w], h @ ok.T + (bias - shift)[k], share)
+            go, gb = _gathered(w, dg[:, None] * h, high - low), np.bincount(w, dg, high - low).astype(np.float32)
             np.add.at(go, k, db.T @ h)
             np.add.at(gb, k, db.sum(axis=0))
-            go += _gathered(w, dg[:, None] * h, high - low)
-            gb += np.bincount(w, dg, high - low).astype(np.float32)
-            gc = _gathered(b, dg[:, None] * out[w] + db @ out[k], len(model.context))
+            gc = _gathered(b, dg[:, None] * ow + db @ ok, len(model.context))
             for p, g, q in ((model.context, gc, squares[0]), (out, go, squares[1][low:high]), (bias, gb, squares[2][low:high])):
                 g /= len(pick)
                 q += g * g
                 p += rate * g / (np.sqrt(q) + 1e-4)
 
 
-def pack_documents(docs: DataFrame, vocabulary: Vocabulary, units: int) -> DataFrame:
-    """(unit, mark, codes) of (doc_id, text) rows, sorted by unit and mark; both follow from id and text."""
+def pack_documents(rows: DataFrame, vocabulary: Vocabulary, units: int) -> DataFrame:
+    """(unit, mark, doc_id, held_out, codes, tail, times) of (doc_id, held_out, text) rows, sorted by unit and mark: the codes of a
+    text's words, and its distinct words without a vector with their counts. Unit and mark of what is learnt from follow from id
+    and text; other rows are dealt in turn."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, press = vocabulary.encoder(), zstandard.ZstdCompressor(level=1)
+        encode, press, turn = vocabulary.encoder(), zstandard.ZstdCompressor(level=1), 0
+        is_rare = vocabulary.is_rare
         for batch in batches:
-            marks, codes = [], []
-            for key, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            marks, codes, tails, times = [], [], [], []
+            for key, held, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 text = t.as_py()
-                marks.append(xxhash.xxh3_64_intdigest(f"{key}:{text}".encode("utf-8", "surrogatepass")) >> 1)
-                codes.append(press.compress(encode(words_of(text)).tobytes()))
+                turn += 1
+                marks.append(turn if held else xxhash.xxh3_64_intdigest(f"{key}:{text}".encode("utf-8", "surrogatepass")) >> 1)
+                words = words_of(text)
+                own = encode(words)
+                tail = Counter(words[i] for i in np.flatnonzero(is_rare[own]).tolist())
+                codes.append(press.compress(own.tobytes()))
+                tails.append(b" ".join(tail))
+                times.append(list(tail.values()))
             unit = pa.array([m % units for m in marks], pa.int64())
-            yield pa.RecordBatch.from_arrays([unit, pa.array(marks, pa.int64()), pa.array(codes, pa.binary())], names=["unit", "mark", "codes"])
+            columns = [unit, pa.array(marks, pa.int64()), batch.column(0), batch.column(1), pa.array(codes, pa.binary()), pa.array(tails, pa.string()), pa.array(times, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["unit", "mark", "doc_id", "held_out", "codes", "tail", "times"])
         tidy()
 
-    return docs.mapInArrow(run, "unit long, mark long, codes binary").repartition("unit").sortWithinPartitions("unit", "mark")
+    schema = f"unit long, mark long, doc_id {kind}, held_out boolean, codes binary, tail string, times array<int>"
+    return rows.mapInArrow(run, schema).repartition("unit").sortWithinPartitions("unit", "mark")
 
 
 def train(packed: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> tuple[Model, Inner]:
@@ -416,6 +440,7 @@ def train(packed: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> tu
             yield pa.RecordBatch.from_arrays([pa.array([unit]), pa.array([weight]), pa.array([(total / weight).astype(np.float32).tobytes()], pa.binary())], names=["unit", "weight", "model"])
 
     schema = "unit long, weight double, model binary"
+    packed = packed.filter(~F.col("held_out")).select("unit", "mark", "codes")
     for nth in range(rounds):
         models = packed.mapInArrow(learn(flat(outer, inner), nth), schema)
         parts = models.repartition(SUM_PARTS, "unit").sortWithinPartitions("unit").mapInArrow(add, schema)
@@ -434,8 +459,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = bounded(docs).select(F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    learnt = rows.filter(~F.col("held_out"))
-    counts = materialize(count_words(learnt.select("text")))
+    counts = materialize(count_words(rows.filter(~F.col("held_out")).select("text")))
     seen = counts.agg(F.sum("n").alias("tokens"), F.count("*").alias("words")).first()
     tokens, words = int(seen["tokens"] or 0), int(seen["words"])
     is_word = F.col("word") != ""
@@ -456,7 +480,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         rare[r["bucket"]] = r["tokens"]
     vocabulary = Vocabulary([w.encode("utf-8", "surrogatepass") for w in head_rows["word"]], head_rows["n"].to_numpy(float), ends, rare)
     units = max(1, ceil(tokens / unit_tokens))
-    outer, inner = train(materialize(pack_documents(learnt.select("doc_id", "text"), vocabulary, units)), vocabulary, rounds)
+    packed = materialize(pack_documents(rows, vocabulary, units)).withColumn("row", F.monotonically_increasing_id())
+    outer, inner = train(packed, vocabulary, rounds)
     one, two = outer.contexts()
     logz, outputs, bias = outer.sums(), outer.outputs, outer.bias
     inner_logz = inner.sums(vocabulary.start)
@@ -469,13 +494,12 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base_end = log10(ends + SMOOTH) - total
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = vocabulary.encoder()
+        unpress = zstandard.ZstdDecompressor()
 
-        def block(ids: list, marks: list, texts: list[list[bytes]]) -> pa.RecordBatch:
-            n = np.array([len(w) for w in texts], np.int64)
-            flat = [w for t in texts for w in t]
-            code = encode(flat)
-            a, b, w, places = windows(np.split(class_of[code], np.cumsum(n)[:-1]), v)
+        def block(part: pa.RecordBatch, codes: list[np.ndarray]) -> pa.RecordBatch:
+            n = np.array([len(c) for c in codes], np.int64)
+            code = np.concatenate(codes)
+            a, b, w, places = windows([class_of[c] for c in codes], v)
             first = np.cumsum(places) - places
             logp = np.empty(len(w))
             every = np.insert(code, np.cumsum(n), -1)  # the ends
@@ -487,40 +511,25 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 at = np.flatnonzero(every[s] >= k)
                 entry, before = every[s][at] - k, b[s][at]
                 logp[i + at] += np.einsum("ij,ij->i", inner.context[before], inner.entries[entry]) + inner.bias[entry] - inner_logz[before, bucket[entry]]
-            known = ~is_rare[code]
             edge = np.concatenate(([0], np.cumsum(n)))
             sums = lambda x: (c := np.concatenate(([0.0], np.cumsum(x))))[edge[1:]] - c[edge[:-1]]
-            tail: list[Counter[bytes]] = [Counter() for _ in texts]
-            lost = np.flatnonzero(~known)
-            for i, d in zip(lost.tolist(), (np.searchsorted(edge, lost, side="right") - 1).tolist(), strict=True):
-                tail[d][flat[i]] += 1
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids, schema_type), pa.array(marks, pa.bool_()), pa.array(n + 1), pa.array(sums(known).astype(np.int64) + (ends > 0)), pa.array(sums(base_of[code]) + base_end),
-                    pa.array(np.add.reduceat(logp, first) / log(10)), pa.array([b" ".join(t) for t in tail], pa.string()), pa.array([list(t.values()) for t in tail], pa.list_(pa.int32())),
-                ],
-                names=["doc_id", "held_out", "n_tokens", "head_known", "head_base", "head_score", "tail", "times"],
-            )
+            known = sums(~is_rare[code]).astype(np.int64) + (ends > 0)
+            columns = [part.column(0), part.column(1), part.column(2), pa.array(n + 1), pa.array(known), pa.array(sums(base_of[code]) + base_end), pa.array(np.add.reduceat(logp, first) / log(10))]
+            return pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "held_out", "n_tokens", "head_known", "head_base", "head_score"])
 
         for batch in batches:
-            schema_type = batch.column(0).type
-            ids, marks, texts, size = [], [], [], 0
-            for i, m, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                ids.append(i)
-                marks.append(m)
-                texts.append(words_of(t.as_py()))
-                size += len(texts[-1]) + 1
-                if size >= TOKENS_A_BLOCK:
-                    yield block(ids, marks, texts)
-                    ids, marks, texts, size = [], [], [], 0
-            if ids:
-                yield block(ids, marks, texts)
+            codes, start, size = [], 0, 0
+            for i, packed in enumerate(batch.column(3)):
+                codes.append(np.frombuffer(unpress.decompress(packed.as_py()), np.int32))
+                size += len(codes[-1]) + 1
+                if size >= TOKENS_A_BLOCK or i + 1 == batch.num_rows:
+                    yield block(batch.slice(start, i + 1 - start), codes)
+                    codes, start, size = [], i + 1, 0
         tidy()
 
-    half = materialize(rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, head_known long, head_base double, head_score double, tail string, times array<int>"))
-    half = half.withColumn("row", F.monotonically_increasing_id())
+    half = packed.select("row", "doc_id", "held_out", "codes").mapInArrow(run, f"row long, doc_id {kind}, held_out boolean, n_tokens long, head_known long, head_base double, head_score double")
     # One row for a word of a document, however often it is there.
-    lookups = half.filter(F.col("tail") != "").select("row", F.inline(F.arrays_zip(F.split("tail", " ").alias("word"), F.col("times"))))
+    lookups = packed.filter(F.col("tail") != "").select("row", F.inline(F.arrays_zip(F.split("tail", " ").alias("word"), F.col("times"))))
     n, times = F.coalesce(F.col("n"), F.lit(0)), F.col("times")
     found = lookups.join(tail_counts.select("word", "n"), "word", "left").withColumn("bucket", bucket_column(F.col("word")))
     found = found.join(F.broadcast(shares.select("bucket", "tokens", "words")), "bucket", "left")
