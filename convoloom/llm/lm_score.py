@@ -37,11 +37,11 @@ NOISE, INNER_NOISE, BATCH = 64, 32, 2048
 #: Least share of all tokens, and least count, of a word with vectors of its own.
 HEAD_SHARE, HEAD_COUNT = 1e-6, 3
 #: Training tokens of a unit, and how many times every unit trains on its windows.
-UNIT_TOKENS, ROUNDS = 2_000_000, 2
-#: Words counted in a task before the counts are handed on, and tokens handled in one array operation.
-WORDS_A_FLUSH, TOKENS_A_BLOCK, TOKENS_A_CHUNK = 400_000, 100_000, 1_000_000
+UNIT_TOKENS, ROUNDS = 4_000_000, 2
+#: Words counted in a task before the counts are handed on, tokens scored in one array operation, and tokens whose equal windows
+#: are trained on together.
+WORDS_A_FLUSH, TOKENS_A_BLOCK, TOKENS_A_CHUNK = 400_000, 100_000, 4_000_000
 SMOOTH = 0.1
-SUM_PARTS = 8
 #: Tokens that one example stands for at most.
 MOST_WEIGHT = 8
 
@@ -358,7 +358,7 @@ def pack_documents(rows: DataFrame, vocabulary: Vocabulary, units: int) -> DataF
     return rows.mapInArrow(run, schema).repartition("unit").sortWithinPartitions("unit", "mark")
 
 
-def train(packed: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> tuple[Model, Inner]:
+def train(packed: DataFrame, vocabulary: Vocabulary, units: int, rounds: int = ROUNDS) -> tuple[Model, Inner]:
     """Every round each unit trains on the windows of its documents, from the same models, and the results are averaged by tokens.
 
     Every window of a chunk takes part with its count as the weight of its gradient, so the work follows the number of different
@@ -443,8 +443,9 @@ def train(packed: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> tu
     packed = packed.filter(~F.col("held_out")).select("unit", "mark", "codes")
     for nth in range(rounds):
         models = packed.mapInArrow(learn(flat(outer, inner), nth), schema)
-        parts = models.repartition(SUM_PARTS, "unit").sortWithinPartitions("unit").mapInArrow(add, schema)
-        got = parts.coalesce(1).sortWithinPartitions("unit").mapInArrow(add, schema).collect()
+        # A tree of sums: about the root of their number in each task.
+        parts = models.repartition(max(2, ceil(units**0.5)), "unit").sortWithinPartitions("unit").mapInArrow(add, schema)
+        got = parts.repartition(1).sortWithinPartitions("unit").mapInArrow(add, schema).collect()
         if got:
             outer, inner = filled(np.frombuffer(got[0]["model"], np.float32))
     return outer, inner
@@ -481,7 +482,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     vocabulary = Vocabulary([w.encode("utf-8", "surrogatepass") for w in head_rows["word"]], head_rows["n"].to_numpy(float), ends, rare)
     units = max(1, ceil(tokens / unit_tokens))
     packed = materialize(pack_documents(rows, vocabulary, units)).withColumn("row", F.monotonically_increasing_id())
-    outer, inner = train(packed, vocabulary, rounds)
+    outer, inner = train(packed, vocabulary, units, rounds)
     one, two = outer.contexts()
     logz, outputs, bias = outer.sums(), outer.outputs, outer.bias
     inner_logz = inner.sums(vocabulary.start)
@@ -531,7 +532,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # One row for a word of a document, however often it is there.
     lookups = packed.filter(F.col("tail") != "").select("row", F.inline(F.arrays_zip(F.split("tail", " ").alias("word"), F.col("times"))))
     n, times = F.coalesce(F.col("n"), F.lit(0)), F.col("times")
-    found = lookups.join(tail_counts.select("word", "n"), "word", "left").withColumn("bucket", bucket_column(F.col("word")))
+    found = lookups.join(tail_counts.select("word", "n").hint("shuffle_hash"), "word", "left").withColumn("bucket", bucket_column(F.col("word")))
     found = found.join(F.broadcast(shares.select("bucket", "tokens", "words")), "bucket", "left")
     # In a bucket without such words all of the entry's mass is the unknown word's.
     share = F.when(n > 0, n - F.lit(float(cut))).otherwise(F.lit(float(cut)) * F.col("words")) / F.col("tokens")
