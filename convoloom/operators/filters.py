@@ -10,16 +10,17 @@ from ..sources.files import last_wins
 
 
 def filter_tools_by_score(tools: DataFrame, evals: DataFrame, threshold: float = 4.0, id_col: str = "id", score_col: str = "overall_score", pos_col: str | None = None) -> DataFrame:
-    """Tools whose evaluation reaches the threshold (``>=``) or that have none; of repeated evaluations the last counts."""
-    e = last_wins(evals, id_col, pos_col) if pos_col else evals
+    """Tools whose evaluation reaches the threshold (``>=``) or that have none; of repeated evaluations the last
+    by ``pos_col`` counts, and without that the greatest."""
+    e = last_wins(evals, id_col, pos_col)
     e = e.select(F.col(id_col).alias("__id"), F.col(score_col).cast("double").alias("score"))
     joined = tools.join(e, tools[id_col] == F.col("__id"), "left").drop("__id")
     return joined.filter(F.col("score").isNull() | (F.col("score") >= threshold))
 
 
-def tool_filter_counts(tools: DataFrame, evals: DataFrame, threshold: float = 4.0, id_col: str = "id", score_col: str = "overall_score") -> DataFrame:
-    """The counters of F1 in one row."""
-    e = evals.select(F.col(id_col).alias("__id"), F.col(score_col).cast("double").alias("score"))
+def tool_filter_counts(tools: DataFrame, evals: DataFrame, threshold: float = 4.0, id_col: str = "id", score_col: str = "overall_score", pos_col: str | None = None) -> DataFrame:
+    """The counters of F1 in one row, repeated evaluations as there."""
+    e = last_wins(evals, id_col, pos_col).select(F.col(id_col).alias("__id"), F.col(score_col).cast("double").alias("score"))
     j = tools.join(e, tools[id_col] == F.col("__id"), "left")
     s = F.col("score")
     return j.agg(
@@ -107,6 +108,40 @@ def check_arguments(args: Column, params: list[tuple[str, str, bool]]) -> Column
     return out
 
 
+def check_call(args: Column, params: Column) -> Column:
+    """F10 for calls of different tools: a struct of ``fault`` (null if the call is valid) and ``values``, the arguments by name.
+
+    ``params`` is the tool's own list of structs with ``name``, ``type`` and ``required`` (null: true). Missing names come first,
+    then the first wrong type in the order of the list, as in ``check_arguments``. In ``values`` integers are cut towards zero,
+    numbers are floating and all else is text or JSON; it is null for a call with a fault. Null or unreadable arguments are an
+    empty object, a null list has no parameters."""
+    given = F.coalesce(F.try_variant_get(F.try_parse_json(args), "$", "map<string,variant>"), F.create_map().cast("map<string,variant>"))
+    params = F.coalesce(params, F.array().cast("array<struct<name:string,type:string,required:boolean>>"))
+    names = F.map_keys(given)
+    missing = F.transform(F.filter(params, lambda p: F.coalesce(p["required"], F.lit(True)) & ~F.array_contains(names, p["name"])), lambda p: p["name"])
+
+    def fault(p: Column) -> Column:
+        got, text = F.schema_of_variant(given[p["name"]]), F.try_variant_get(given[p["name"]], "$", "string")
+        plain = got.isin("BIGINT", "DOUBLE", "FLOAT", "BOOLEAN") | got.startswith("DECIMAL")
+        whole = plain | ((got == "STRING") & text.rlike(r"^\s*[+-]?[0-9]+\s*$"))
+        number = plain | ((got == "STRING") & text.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"))
+        there = F.array_contains(names, p["name"])
+        say = lambda word: F.concat(F.lit("Parameter '"), p["name"], F.lit(f"' should be {word}"))
+        return F.when(there & (p["type"] == "integer") & ~F.coalesce(whole, F.lit(False)), say("an integer")).when(there & p["type"].isin("number", "float") & ~F.coalesce(number, F.lit(False)), say("a number"))
+
+    wrong = F.filter(F.transform(params, fault), lambda x: x.isNotNull())
+    first = F.when(F.size(missing) > 0, F.concat(F.lit("Missing required parameters: "), F.array_join(missing, ", "))).otherwise(F.try_element_at(wrong, F.lit(1)))
+    kinds = F.map_from_entries(F.transform(F.array_distinct(F.transform(params, lambda p: p["name"])), lambda n: F.struct(n, F.element_at(F.filter(params, lambda p: p["name"] == n), -1)["type"])))
+
+    def value(name: Column, v: Column) -> Column:
+        kind, text = kinds[name], F.trim(F.try_variant_get(v, "$", "string"))
+        number = F.when(F.schema_of_variant(v) == "BOOLEAN", F.try_variant_get(v, "$", "int").cast("double")).otherwise(text.try_cast("double"))
+        whole = F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("decimal(38,0)")).otherwise(F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number)).cast("decimal(38,0)"))
+        return F.when(kind == "integer", whole.cast("string")).when(kind.isin("number", "float"), number.cast("string")).otherwise(F.coalesce(F.try_variant_get(v, "$", "string"), F.to_json(v)))
+
+    return F.struct(first.alias("fault"), F.when(first.isNull(), F.transform_values(given, value)).alias("values"))
+
+
 def known_tools(agents: DataFrame, tools: DataFrame, least: int = 2, id_col: str = "id", tools_col: str = "tools") -> DataFrame:
     """agents with their tool lists cut down to known tools, in order; those with fewer than ``least`` go."""
     pairs = agents.select(F.col(id_col).alias("__a"), F.posexplode(tools_col).alias("__pos", "__tool"))

@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.files import last_wins
+
 
 def match_tasks(tasks: DataFrame, agents: DataFrame, agent_tools: DataFrame, tools: DataFrame, least: int = 2) -> DataFrame:
     """Tasks (task_id, agent_id) whose agent (agent_id) is known and of whose tools (task_id, pos, tool_id) at least ``least``
     are known (tool_id, name). Gives (task_id, agent_id, n_tools, names); the names are those of the tools, each once, by the
     position of its last tool."""
     known = agent_tools.join(tools.select("tool_id", "name"), "tool_id")
-    counted = known.groupBy("task_id").agg(F.countDistinct("tool_id").alias("n_tools"))
-    named = known.groupBy("task_id", "name").agg(F.max("pos").alias("pos")).groupBy("task_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda x: x["name"]).alias("names"))
-    return tasks.join(agents.select("agent_id"), "agent_id", "left_semi").join(counted.filter(F.col("n_tools") >= least), "task_id").join(named, "task_id").select("task_id", "agent_id", "n_tools", "names")
+    named = known.groupBy("task_id", "name").agg(F.max("pos").alias("pos"), F.collect_set("tool_id").alias("ids"))
+    lists = named.groupBy("task_id").agg(F.array_sort(F.collect_list(F.struct("pos", "name"))).alias("x"), F.array_distinct(F.flatten(F.collect_list("ids"))).alias("ids"))
+    lists = lists.filter(F.size("ids") >= least).select("task_id", F.size("ids").cast("long").alias("n_tools"), F.transform("x", lambda x: x["name"]).alias("names"))
+    return tasks.join(agents.select("agent_id"), "agent_id", "left_semi").join(lists, "task_id").select("task_id", "agent_id", "n_tools", "names")
 
 
 def pending(tasks: DataFrame, done: DataFrame, key: str) -> DataFrame:
@@ -21,8 +24,10 @@ def pending(tasks: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return tasks.join(done.select(key).filter(F.col(key).isNotNull()).distinct(), key, "left_anti")
 
 
-def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Old rows with the new values of those keys that have some; keys that are only new are not added."""
+def upsert(old: DataFrame, new: DataFrame, key: str, pos_col: str | None = None) -> DataFrame:
+    """Old rows with the new values of those keys that have some; keys that are only new are not added. Of repeated new keys
+    the last by ``pos_col`` counts, and without that the greatest row; null keys meet nothing."""
+    new = last_wins(new, key, pos_col)
     other = [c for c in old.columns if c != key]
     fresh = new.select(F.col(key).alias("__k"), F.lit(True).alias("__hit"), *[F.col(c).alias(f"__{c}") for c in other if c in new.columns])
     j = old.join(fresh, old[key] == F.col("__k"), "left")

@@ -1,10 +1,7 @@
-"""Cosine joins: every pair at a threshold, found in cells around pivots."""
+"""Cosine joins: every pair at a threshold, by products of blocks."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from math import acos, ceil
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -12,17 +9,22 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import usable_embedding
 from ..session import materialize
+from .components import connected_components
 
-CELL_ROWS, MOST_PIVOTS, BLOCK_ROWS = 4096, 512, 1024
+#: Rows of a block, and of a slice of it that is multiplied at once. A vector is copied once for each block of its group.
+BLOCK_ROWS, SLICE_ROWS = 4096, 1024
+#: Rounds after which what is left of a graph is looked at by component, and pairs of a component that one task scans.
+ROUNDS_A_LOOK, PAIRS_A_SCAN = 12, 500_000
 
 
-def similar_pairs(df: DataFrame, threshold: float, id_col: str, pos_col: str, vec_col: str, group_col: str | None = None, strict: bool = False) -> DataFrame:
-    """(src, dst, src_pos, dst_pos, similarity) of the pairs, earlier position first, with cosine ``>= threshold`` (``>`` if strict).
+def similar_pairs(df: DataFrame, threshold: float, id_col: str, pos_col: str, vec_col: str, group_col: str | None = None, strict: bool = False, top: int | None = None) -> DataFrame:
+    """(src, dst, src_pos, dst_pos, similarity) of the pairs, earlier position (then id) first, with cosine ``>= threshold`` (``>``
+    if strict); with ``top`` at least the ``top`` most similar for each src (ties by position) and no more a pair of blocks.
 
     J8 without ``group_col``, J10 with it. The threshold must be positive, so zero, empty and null vectors pair with nothing, nor
-    do vectors of different lengths. Each vector lives in the cell of its nearest pivot and is copied to cells within twice the
-    threshold's angle of that distance; by the triangle inequality both sides of a pair meet in either's cell, and the lower of
-    the two cells reports it. Cells are compared in blocks of at most BLOCK_ROWS rows a side, so no group meets in one task.
+    do vectors of different lengths; null groups go. Vectors of a group are dealt to blocks of about BLOCK_ROWS and each pair of
+    blocks is one product, so every pair is compared once, no group meets in one task, and a vector is copied as often as its
+    group has blocks: n / BLOCK_ROWS times. Cosines near common thresholds leave no cheaper exact bound in many dimensions.
     """
     if threshold <= 0:
         raise ValueError("the threshold has to be positive")
@@ -33,90 +35,85 @@ def similar_pairs(df: DataFrame, threshold: float, id_col: str, pos_col: str, ve
     if group_col:
         rows = rows.filter(F.col("g").isNotNull())
     id_type = rows.schema["id"].dataType.simpleString()
-    n = rows.count()
-    k = min(MOST_PIVOTS, max(1, ceil(n / CELL_ROWS)))
-    pivots: dict[int, np.ndarray] = {}
-    if k > 1:
-        for r in rows.orderBy(F.xxhash64("pos"), "pos").limit(k).collect():
-            v = np.array(r["v"])
-            pivots.setdefault(r["d"], []).append(v / np.linalg.norm(v))  # type: ignore[arg-type]
-        pivots = {d: np.array(p) for d, p in pivots.items()}
-    reach = 2 * acos(min(1.0, threshold)) + 1e-9
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            cells, homes = [], []
-            for d, v in zip(b["d"], b["v"], strict=True):
-                p = pivots.get(d)
-                if p is None:
-                    cells.append([0])
-                    homes.append(0)
-                    continue
-                angle = np.arccos(np.clip(p @ (np.asarray(v) / np.linalg.norm(v)), -1, 1))
-                home = int(angle.argmin())
-                homes.append(home)
-                cells.append(np.flatnonzero(angle <= angle[home] + reach).tolist())
-            yield b.assign(home=homes, cell=cells).explode("cell").astype({"cell": "int32", "home": "int32"})
-
-    if k > 1:
-        placed = rows.mapInPandas(place, f"g string, d int, id {id_type}, pos long, v array<double>, home int, cell int")
-    else:
-        placed = rows.withColumns({"home": F.lit(0), "cell": F.lit(0)})
-    sizes = placed.groupBy("g", "d", "cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-    spread = placed.join(sizes, ["g", "d", "cell"]).withColumn("b", F.pmod(F.xxhash64("pos"), F.col("blocks")).cast("int"))
+    sizes = rows.groupBy("g", "d").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
+    spread = rows.join(sizes, ["g", "d"]).withColumn("b", F.pmod(F.xxhash64("pos", "id"), F.col("blocks")).cast("int"))
     spread = spread.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"bi": F.least("b", "o"), "bj": F.greatest("b", "o")})
 
     def compare(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
-        _, _, cell, bi, bj = key
+        _, _, bi, bj = key
+        b = b.sort_values(["pos", "id"], kind="stable", ignore_index=True)
         v = np.array(b["v"].tolist(), float)
         length = np.sqrt((v * v).sum(axis=1))
         left, right = np.flatnonzero(b["b"] == bi), np.flatnonzero(b["b"] == bj)
-        sim = (v[left] @ v[right].T) / (length[left][:, None] * length[right][None, :])
-        x, y = np.nonzero(sim > threshold if strict else sim >= threshold)
-        s = sim[x, y]
-        x, y = left[x], right[y]
-        pos, home = b["pos"].to_numpy(), b["home"].to_numpy()
-        keep = np.minimum(home[x], home[y]) == cell
-        keep &= (pos[x] < pos[y]) if bi == bj else (pos[x] != pos[y])
-        x, y, s = x[keep], y[keep], s[keep]
-        swap = pos[x] > pos[y]
-        x, y = np.where(swap, y, x), np.where(swap, x, y)
-        ids = b["id"].to_numpy()
-        return pd.DataFrame({"src": ids[x], "dst": ids[y], "src_pos": pos[x], "dst_pos": pos[y], "similarity": s})
-
-    return spread.groupBy("g", "d", "cell", "bi", "bj").applyInPandas(compare, f"src {id_type}, dst {id_type}, src_pos long, dst_pos long, similarity double")
+        ids, pos, out = b["id"].to_numpy(), b["pos"].to_numpy(), []
+        for at in range(0, len(left), SLICE_ROWS):
+            part = left[at : at + SLICE_ROWS]
+            sim = (v[part] @ v[right].T) / (length[part][:, None] * length[right][None, :])
+            x, y = np.nonzero(sim > threshold if strict else sim >= threshold)
+            s = sim[x, y]
+            x, y = part[x], right[y]
+            if bi == bj:
+                x, y, s = x[x < y], y[x < y], s[x < y]
+            x, y = np.minimum(x, y), np.maximum(x, y)  # rows are in order
+            out.append(pd.DataFrame({"src": ids[x], "dst": ids[y], "src_pos": pos[x], "dst_pos": pos[y], "similarity": s}))
+        pairs = pd.concat(out) if out else pd.DataFrame({"src": ids[:0], "dst": ids[:0], "src_pos": pos[:0], "dst_pos": pos[:0], "similarity": np.zeros(0)})
+        if top is not None:
+            pairs = pairs.sort_values(["similarity", "dst_pos"], ascending=[False, True], kind="stable").groupby("src").head(top)
+        return pairs
+
+    return spread.groupBy("g", "d", "bi", "bj").applyInPandas(compare, f"src {id_type}, dst {id_type}, src_pos long, dst_pos long, similarity double")
 
 
 def graph_edges(df: DataFrame, threshold: float, top_k: int, id_col: str, pos_col: str, vec_col: str, group_col: str | None = None, edge_type: str = "similarity") -> DataFrame:
-    """Pairs at the threshold, at most ``top_k`` for each earlier node, most similar first (ties by position)."""
-    pairs = similar_pairs(df, threshold, id_col, pos_col, vec_col, group_col)
+    """Pairs at the threshold, at most ``top_k`` for each earlier node, most similar first (ties by position). Each pair of
+    blocks sends no more than that on."""
+    pairs = similar_pairs(df, threshold, id_col, pos_col, vec_col, group_col, top=top_k)
     order = Window.partitionBy("src").orderBy(F.desc("similarity"), "dst_pos")
     return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_k).select("src", "dst", F.col("similarity").alias("weight"), F.lit(edge_type).alias("edge_type"))
 
 
-def leader_clusters(df: DataFrame, threshold: float, id_col: str, pos_col: str, vec_col: str, group_col: str, max_rounds: int = 200) -> DataFrame:
+def _scanned(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The nodes that go (dst) in components of up to PAIRS_A_SCAN pairs, each read in order by one task, and the other pairs."""
+    parts = connected_components(pairs)
+    placed = pairs.join(parts.withColumnRenamed("id", "src"), "src")
+    small = placed.groupBy("component").agg(F.count("*").alias("n")).filter(F.col("n") <= PAIRS_A_SCAN).select("component")
+    kind = pairs.schema["dst"].dataType.simpleString()
+
+    def scan(own: pd.DataFrame) -> pd.DataFrame:
+        gone: set = set()
+        for src, dst in own.sort_values(["src_pos", "src"], kind="stable")[["src", "dst"]].itertuples(index=False):
+            if src not in gone:
+                gone.add(dst)
+        return pd.DataFrame({"dst": list(gone)}, dtype=own["dst"].dtype)
+
+    gone = materialize(placed.join(small, "component", "left_semi").groupBy("component").applyInPandas(scan, f"dst {kind}"))
+    return gone, materialize(placed.join(small, "component", "left_anti").select(*pairs.columns))
+
+
+def leader_clusters(df: DataFrame, threshold: float, id_col: str, pos_col: str, vec_col: str, group_col: str) -> DataFrame:
     """(id, group, leader, kept, usable). In input order an item that no earlier leader of its group resembles leads; the others join
     the earliest leader that they resemble. Items without a usable embedding are kept and lead nobody.
 
     That is the greedy independent set of the similarity graph, settled in rounds: items whose earlier neighbours are all
-    decided lead, what resembles them is removed. Rounds grow with the longest chain of undecided neighbours, groups of any
-    size are spread, and the driver sees no rows.
+    decided lead, what resembles them is removed. Long chains of undecided items would take many rounds, so now and then the
+    components that are left are read in order, each by a task if it has few pairs; larger ones go on in rounds, however many
+    it takes. Groups of any size are spread, and the driver sees no rows.
     """
     group = F.coalesce(F.col(group_col).cast("string"), F.lit("no_scenario"))
     base = df.withColumn("__g", group)
     pairs = materialize(similar_pairs(base, threshold, id_col, pos_col, vec_col, "__g").select("src", "dst", "src_pos"))
-    open_pairs, removed = pairs, None
-    for _ in range(max_rounds):
-        if open_pairs.isEmpty():
-            break
-        blocked = open_pairs.select(F.col("dst").alias("src")).distinct()
-        lead = open_pairs.join(blocked, "src", "left_anti").select("src").distinct()
-        gone = materialize(open_pairs.join(lead, "src", "left_semi").select("dst").distinct())
+    open_pairs, removed, rounds = pairs, None, 0
+    while not open_pairs.isEmpty():
+        rounds += 1
+        if rounds % ROUNDS_A_LOOK == 0:
+            gone, open_pairs = _scanned(open_pairs)
+        else:
+            blocked = open_pairs.select(F.col("dst").alias("src")).distinct()
+            lead = open_pairs.join(blocked, "src", "left_anti").select("src").distinct()
+            gone = materialize(open_pairs.join(lead, "src", "left_semi").select("dst").distinct())
+            rest = open_pairs.join(gone, "dst", "left_anti").join(gone.withColumnRenamed("dst", "src"), "src", "left_anti")
+            open_pairs = materialize(rest)
         removed = gone if removed is None else removed.union(gone)
-        rest = open_pairs.join(gone, "dst", "left_anti").join(gone.withColumnRenamed("dst", "src"), "src", "left_anti")
-        open_pairs = materialize(rest)
-    else:
-        raise RuntimeError(f"leaders did not settle in {max_rounds} rounds")
     if removed is None:
         removed = pairs.select("dst").limit(0)
     led = pairs.join(removed.withColumnRenamed("dst", "src"), "src", "left_anti").join(removed, "dst", "left_semi")

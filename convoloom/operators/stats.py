@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.files import last_wins
+
 UNKNOWN = "未知"  # fixed value: the bucket of rows without a recommendation
 
 
@@ -75,8 +77,9 @@ def usage_totals(df: DataFrame, *cols: str) -> DataFrame:
     return df.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cols])
 
 
-def merge_evaluations(tools: DataFrame, evals: DataFrame, id_col: str = "id", default: float = 3.0) -> DataFrame:
-    """Every tool with its score, or the default where the evaluation failed or is missing, and whether it failed."""
-    e = evals.select(F.col(id_col).alias("__id"), F.col("overall_score").cast("double").alias("__s"))
+def merge_evaluations(tools: DataFrame, evals: DataFrame, id_col: str = "id", default: float = 3.0, pos_col: str | None = None) -> DataFrame:
+    """Every tool with its score, or the default where the evaluation failed or is missing, and whether it failed. Of
+    repeated evaluations the last by ``pos_col`` counts, and without that the greatest."""
+    e = last_wins(evals, id_col, pos_col).select(F.col(id_col).alias("__id"), F.col("overall_score").cast("double").alias("__s"))
     j = tools.join(e, tools[id_col] == F.col("__id"), "left")
     return j.withColumns({"overall_score": F.coalesce("__s", F.lit(default)), "failed": F.col("__s").isNull()}).drop("__id", "__s")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+import json
+from collections.abc import Iterator
 
-from ..functions.json_text import balanced_json
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# The names of the training roles.
-FROM = {"user": "human", "execution": "observation"}
+from ..functions.json_text import one_json
 
 
 def drop_trailing_user(turns: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
@@ -17,34 +19,66 @@ def drop_trailing_user(turns: DataFrame, conv: str = "conv_id", turn: str = "tur
     return turns.join(last, conv).filter(~((F.col(turn) == F.col("__last")) & (F.col("role") == "user"))).drop("__last")
 
 
+def observation(message: str) -> str:
+    """An observation as text. Of a JSON list each item is a line: objects as JSON without ``metadata``, others as Python prints
+    them (text without quotes, ``True``, ``None``). Anything else stays as it is."""
+    if not message.lstrip().startswith("["):
+        return message
+    try:
+        items = json.loads(message)
+    except ValueError:
+        return message
+    line = lambda x: json.dumps({k: v for k, v in x.items() if k != "metadata"}, ensure_ascii=False) if isinstance(x, dict) else str(x)
+    return "\n".join(map(line, items))
+
+
+@F.pandas_udf(T.StringType())
+def _rewritten(calls: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    for call, message in calls:
+        yield pd.Series([one_json(m) if c else observation(m) if m is not None else None for c, m in zip(call, message, strict=True)], dtype=object)
+
+
+def _converted() -> tuple[Column, Column, Column, Column]:
+    """Label, value and validity of a turn, and whether its role is known. Only calls and list observations go through Python."""
+    call = (F.col("role") == "assistant") & F.coalesce(F.col("recipient") == "execution", F.lit(False))
+    label = F.when(call, "function_call").when(F.col("role") == "user", "human").when(F.col("role") == "assistant", "gpt").otherwise("observation")
+    kept = F.coalesce("message", F.lit(""))
+    listed = (F.col("role") == "execution") & F.ltrim(kept).startswith("[")
+    value = F.coalesce(_rewritten(call, F.when(call | listed, kept)), kept)
+    keys = F.json_object_keys(value)
+    fine = F.schema_of_variant(F.try_parse_json(value)).startswith("OBJECT") & F.array_contains(keys, "name") & F.array_contains(keys, "arguments")
+    return label, value, ~call | F.coalesce(fine, F.lit(False)), F.col("role").isin("user", "assistant", "execution")
+
+
 def training_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
     """T10, X6 in long form: (conv, turn, from, value, valid).
 
     One trailing user message goes; user, assistant and execution become human, gpt and observation; an assistant message to
     execution is a function_call whose value is the JSON found in it, and valid only if that is an object with ``name`` and
-    ``arguments``. Other roles go. An observation given as a JSON list becomes its items without ``metadata``, a line each.
+    ``arguments``. Other roles go. An observation given as a JSON list becomes its items without ``metadata``, a line each. Null
+    messages are empty; repeated turns stay; other columns are not looked at.
     """
-    rows = drop_trailing_user(turns, conv, turn).filter(F.col("role").isin("user", "assistant", "execution"))
-    call = (F.col("role") == "assistant") & F.coalesce(F.col("recipient") == "execution", F.lit(False))
-    label = F.when(call, "function_call").when(F.col("role") == "user", "human").when(F.col("role") == "assistant", "gpt").otherwise("observation")
-    kept = F.coalesce("message", F.lit(""))
-    items = F.try_variant_get(F.try_parse_json(kept), "$", "array<variant>")
-    plain = lambda v: F.coalesce(F.to_json(F.map_filter(F.try_variant_get(v, "$", "map<string,variant>"), lambda k, _: k != "metadata")), F.to_json(v))
-    observed = F.when(F.schema_of_variant(F.try_parse_json(kept)).startswith("ARRAY"), F.array_join(F.transform(items, plain), "\n")).otherwise(kept)
-    # Only the calls go through Python.
-    calls = rows.filter(call).withColumn("value", balanced_json(kept))
-    others = rows.filter(~call).withColumn("value", F.when(F.col("role") == "execution", observed).otherwise(kept))
-    v = F.try_parse_json("value")
-    keys = F.json_object_keys("value")
-    fine = F.schema_of_variant(v).startswith("OBJECT") & F.array_contains(keys, "name") & F.array_contains(keys, "arguments")
-    both = calls.withColumn("valid", F.coalesce(fine, F.lit(False))).unionByName(others.withColumn("valid", F.lit(True)))
-    return both.select(conv, turn, label.alias("from"), "value", "valid")
+    label, value, valid, known = _converted()
+    rows = drop_trailing_user(turns.select(conv, turn, "role", "recipient", "message"), conv, turn).filter(known)
+    return rows.select(conv, turn, label.alias("from"), value.alias("value"), valid.alias("valid"))
 
 
 def training_rows(turns: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
-    """(conv, conversations) of the conversations without an invalid call."""
-    g = training_turns(turns, conv, turn).groupBy(conv).agg(F.bool_and("valid").alias("ok"), F.array_sort(F.collect_list(F.struct(F.col(turn).alias("t"), "from", "value"))).alias("x"))
-    return g.filter("ok").select(conv, F.transform("x", lambda m: F.struct(m["from"].alias("from"), m["value"].alias("value"))).alias("conversations"))
+    """(conv, conversations) of the conversations without an invalid call. One shuffle; the trailing user message goes
+    once a conversation's turns are in order."""
+    label, value, valid, known = _converted()
+    turn_row = F.struct(F.col(turn).alias("t"), label.alias("from"), value.alias("value"), valid.alias("valid"), known.alias("known"))
+    g = turns.groupBy(conv).agg(F.array_sort(F.collect_list(turn_row)).alias("x")).withColumn("last", F.element_at("x", -1)["t"])
+    trailing = lambda m: (m["from"] == "human") & (m["t"] == F.col("last"))
+    g = g.select(conv, F.filter("x", lambda m: m["known"] & ~trailing(m)).alias("x")).filter((F.size("x") > 0) & F.forall("x", lambda m: m["valid"]))
+    return g.select(conv, F.transform("x", lambda m: F.struct(m["from"].alias("from"), m["value"].alias("value"))).alias("conversations"))
+
+
+def training_table(turns: DataFrame, tools: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """(conv, conversations, tools) as ``schemas.TRAINING_ROW``. ``tools`` has (conv, tools), the JSON list of what the
+    conversation's agent may call; without a row it is an empty list, and of repeated ones the greatest counts."""
+    listed = tools.groupBy(conv).agg(F.max("tools").alias("tools"))
+    return training_rows(turns, conv, turn).join(listed, conv, "left").withColumn("tools", F.coalesce("tools", F.lit("[]")))
 
 
 def conversion_counts(turns: DataFrame, rows: DataFrame, conv: str = "conv_id") -> DataFrame:

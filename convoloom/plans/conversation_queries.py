@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import json_text, text
-from ..operators import conversation, filters, training
-from .registry import query, run_sql
+from ..operators import conversation, filters, joins, training
+from .registry import query, run_sql, table
 
 #: The same text runs on both engines.
 TURNS = """
@@ -16,7 +16,7 @@ SELECT conv_id, turn, CASE WHEN role = 'system' THEN 'execution' ELSE role END A
   CASE WHEN role = 'assistant' AND (conv_id * 7 + turn) % 16 IN (1, 2, 3, 4) THEN 'execution' WHEN role = 'assistant' THEN 'user' ELSE 'agent' END AS recipient,
   CASE WHEN role = 'user' AND conv_id % 2 = 0 AND turn = max(turn) OVER (PARTITION BY conv_id) THEN text || ' Finish Conversation.'
     WHEN role = 'user' THEN text
-    WHEN role = 'system' THEN CASE WHEN conv_id % 3 = 0 THEN '[{"a":1,"metadata":{"t":2}},3]' ELSE text END
+    WHEN role = 'system' THEN CASE WHEN conv_id % 3 = 0 THEN '[{"a":1,"metadata":{"t":2}},3,"done",true,null]' ELSE text END
     WHEN (conv_id * 7 + turn) % 16 = 1 THEN text || ' {"name":"search","arguments":{"q":1}} ok'
     WHEN (conv_id * 7 + turn) % 16 = 2 THEN 'call ```json {"name":"lookup","arguments":{"id":2}} ``` done'
     WHEN (conv_id * 7 + turn) % 16 = 3 THEN 'see ``` {"name":"fetch","arguments":{}} ```'
@@ -138,7 +138,7 @@ TRAINING = f"""
 , l AS (SELECT *, max(turn) OVER (PARTITION BY conv_id) AS last, {CALLS} AS c FROM t)
 , r AS (SELECT conv_id, turn,
     CASE WHEN role = 'user' THEN 'human' WHEN role = 'execution' THEN 'observation' WHEN recipient = 'execution' THEN 'function_call' ELSE 'gpt' END AS "from",
-    CASE WHEN role = 'assistant' AND recipient = 'execution' THEN c[1] WHEN role = 'execution' AND message LIKE '[{{"a":1%' THEN '{{"a":1}}' || chr(10) || '3' ELSE message END AS value,
+    CASE WHEN role = 'assistant' AND recipient = 'execution' THEN c[1] WHEN role = 'execution' AND message LIKE '[{{"a":1%' THEN '{{"a": 1}}' || chr(10) || '3' || chr(10) || 'done' || chr(10) || 'True' || chr(10) || 'None' ELSE message END AS value,
     NOT (role = 'assistant' AND recipient = 'execution') OR c[1] LIKE '%arguments%' AS valid
   FROM l WHERE NOT (turn = last AND role = 'user') AND role IN ('user', 'assistant', 'execution'))
 """
@@ -157,6 +157,22 @@ def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("conv_id", F.array_join(F.transform("conversations", lambda m: F.concat_ws("=", m["from"], m["value"])), "\n").alias("conversations"))
 
 
+@query(
+    WITH + TRAINING + """, c AS (SELECT conv_id, string_agg("from" || '=' || value, chr(10) ORDER BY turn) AS conversations FROM r GROUP BY conv_id HAVING bool_and(valid)),
+  j AS (SELECT l_orderkey, string_agg('{"name":' || to_json(p_name) || ',"description":' || to_json(p_type) || '}', ', ' ORDER BY l_linenumber, l_partkey) AS s
+    FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem) JOIN part ON l_partkey = p_partkey WHERE p_size > 10 GROUP BY l_orderkey)
+  SELECT conv_id, conversations, coalesce('[' || s || ']', '[]') AS tools FROM c LEFT JOIN j ON conv_id = l_orderkey"""
+)
+def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations beside the tools of their agent."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").distinct()
+    known = lines.join(table(spark, sf_dir, "part").filter("p_size > 10"), F.col("l_partkey") == F.col("p_partkey"))
+    item = F.to_json(F.struct(F.col("p_name").alias("name"), F.col("p_type").alias("description")))
+    tools = joins.ordered_tools_json(known, "l_orderkey", ["l_linenumber", "l_partkey"], item).withColumnRenamed("l_orderkey", "conv_id")
+    rows = training.training_table(turns(spark, sf_dir), tools)
+    return rows.select("conv_id", F.array_join(F.transform("conversations", lambda m: F.concat_ws("=", m["from"], m["value"])), "\n").alias("conversations"), "tools")
+
+
 @query(
     WITH + TRAINING + """, g AS (SELECT conv_id FROM r GROUP BY conv_id HAVING bool_and(valid))
   SELECT total, converted, total - converted AS rejected, round(100.0 * converted / total, 1) AS success_rate

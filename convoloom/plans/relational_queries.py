@@ -23,17 +23,20 @@ def _score() -> Column:
 
 
 def _evals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), (F.col("quality") * 2.0 + 2.5 + F.col("toxic") * 0.5 * F.col("quality")).alias("overall_score"))
+    """Evaluations, some of which come a second time, further back."""
+    one = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), (F.col("quality") * 2.0 + 2.5 + F.col("toxic") * 0.5 * F.col("quality")).alias("overall_score"), F.lit(0).alias("pos"))
+    return one.unionByName(one.filter("id % 5 = 0").withColumns({"overall_score": 7.0 - F.col("overall_score"), "pos": F.lit(1)}))
 
 
-EVALS = "ev AS (SELECT doc_id AS id, quality * 2.0 + 2.5 + toxic * 0.5 * quality AS overall_score FROM labels)"
+EVALS = """one AS (SELECT doc_id AS id, quality * 2.0 + 2.5 + toxic * 0.5 * quality AS s, 0 AS pos FROM labels), ev AS (SELECT id, arg_max(s, pos) AS overall_score
+  FROM (SELECT * FROM one UNION ALL SELECT id, 7.0 - s, 1 FROM one WHERE id % 5 = 0) GROUP BY id)"""
 
 
 @query(f"WITH {EVALS} SELECT d.doc_id AS id, round(e.overall_score, 2)::DOUBLE AS score FROM documents d LEFT JOIN ev e ON d.doc_id = e.id WHERE e.overall_score IS NULL OR e.overall_score >= 4.0")
 def quality_filter_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1, J4."""
     tools = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
-    return filters.filter_tools_by_score(tools, _evals(spark, sf_dir), 4.0).select("id", F.round("score", 2).alias("score"))
+    return filters.filter_tools_by_score(tools, _evals(spark, sf_dir), 4.0, pos_col="pos").select("id", F.round("score", 2).alias("score"))
 
 
 @query(
@@ -42,13 +45,13 @@ def quality_filter_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def quality_filter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 counters."""
-    return filters.tool_filter_counts(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id")), _evals(spark, sf_dir))
+    return filters.tool_filter_counts(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id")), _evals(spark, sf_dir), pos_col="pos")
 
 
 @query(f"WITH {EVALS} SELECT d.doc_id AS id, coalesce(e.overall_score, 3.0)::DOUBLE AS overall_score, e.overall_score IS NULL AS failed FROM documents d LEFT JOIN ev e ON d.doc_id = e.id")
 def evaluation_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A14, M6."""
-    return stats.merge_evaluations(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id")), _evals(spark, sf_dir))
+    return stats.merge_evaluations(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id")), _evals(spark, sf_dir), pos_col="pos")
 
 
 @query("SELECT p_partkey AS id FROM part WHERE p_size / 10.0 > 4.0")
@@ -105,6 +108,26 @@ def validate_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", filters.check_arguments(args, [("k", "integer", True)]).alias("fault"))
 
 
+@query(
+    """WITH a AS (SELECT p_partkey, p_partkey % 3 AS tool, CASE p_partkey % 7 WHEN 0 THEN '{"x":"' || p_size || '","y":' || p_retailprice || '}' WHEN 1 THEN '{"x":' || p_retailprice || '}' WHEN 2 THEN '{"y":"1e3"}'
+      WHEN 3 THEN '{"x":"ten","y":true}' WHEN 4 THEN '{"x":true,"y":"z"}' WHEN 5 THEN '{"x":null,"y":null}' ELSE '{}' END AS args, p_size, p_retailprice, p_partkey % 7 AS k FROM part)
+  SELECT p_partkey AS id, CASE tool
+      WHEN 0 THEN CASE WHEN k IN (2, 6) THEN 'Missing required parameters: x' WHEN k IN (3, 5) THEN 'Parameter ''x'' should be an integer' END
+      WHEN 1 THEN CASE WHEN k IN (1, 6) THEN 'Missing required parameters: y' WHEN k IN (4, 5) THEN 'Parameter ''y'' should be a number' END
+      ELSE CASE WHEN k = 6 THEN 'Missing required parameters: x, y' WHEN k = 1 THEN 'Missing required parameters: y' WHEN k = 2 THEN 'Missing required parameters: x' END END AS fault,
+    CASE WHEN tool = 0 THEN CASE k WHEN 0 THEN CAST(p_size AS VARCHAR) WHEN 1 THEN CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) WHEN 4 THEN '1' END END AS x FROM a"""
+)
+def validate_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """calls of three tools with their own parameters; the integer as it is passed on."""
+    k, tool = F.col("p_partkey") % 7, F.col("p_partkey") % 3
+    args = F.when(k == 0, F.format_string('{"x":"%s","y":%s}', F.col("p_size").cast("string"), F.col("p_retailprice").cast("string"))).when(k == 1, F.format_string('{"x":%s}', F.col("p_retailprice").cast("string")))
+    args = args.when(k == 2, '{"y":"1e3"}').when(k == 3, '{"x":"ten","y":true}').when(k == 4, '{"x":true,"y":"z"}').when(k == 5, '{"x":null,"y":null}').otherwise("{}")
+    one = lambda name, kind, required: F.struct(F.lit(name).alias("name"), F.lit(kind).alias("type"), F.lit(required).cast("boolean").alias("required"))
+    params = F.when(tool == 0, F.array(one("x", "integer", True))).when(tool == 1, F.array(one("y", "number", True), one("x", "string", False))).otherwise(F.array(one("x", "string", None), one("y", "array", None)))
+    got = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), tool.alias("tool"), filters.check_call(args, params).alias("c"))
+    return got.select("id", "c.fault", F.when(F.col("tool") == 0, F.col("c.values")["x"]).alias("x"))
+
+
 @query("SELECT event_type, count(*) AS n, count(*) FILTER (value IS NULL) AS without_time FROM events GROUP BY event_type")
 def tool_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A12."""
@@ -307,12 +330,13 @@ def explode_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.name_use_pairs(table(spark, sf_dir, "documents").withColumn("uses", F.split("text", "\n")), "source", "uses")
 
 
-@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN upper(c_name) ELSE c_name END AS c_name, CASE WHEN c_custkey % 3 = 0 AND c_custkey % 2 = 0 THEN 'NEW' ELSE c_mktsegment END AS c_mktsegment FROM customer")
+@query("SELECT c_custkey, CASE WHEN c_custkey % 9 = 0 THEN reverse(c_name) WHEN c_custkey % 3 = 0 THEN upper(c_name) ELSE c_name END AS c_name, CASE WHEN c_custkey % 3 = 0 AND c_custkey % 2 = 0 THEN 'NEW' ELSE c_mktsegment END AS c_mktsegment FROM customer")
 def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J7."""
     old = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     new = old.filter("c_custkey % 3 = 0").select("c_custkey", F.upper("c_name").alias("c_name"), F.when(F.col("c_custkey") % 2 == 0, "NEW").alias("c_mktsegment"))
-    return joins.upsert(old, new, "c_custkey")
+    new = new.withColumn("pos", F.lit(0)).unionByName(new.filter("c_custkey % 9 = 0").withColumns({"c_name": F.reverse(F.initcap("c_name")), "pos": F.lit(1)}))
+    return joins.upsert(old, new, "c_custkey", "pos")
 
 
 @query("SELECT c_custkey AS id, c_name AS name, CAST(NULL AS DOUBLE) AS price FROM customer UNION ALL SELECT p_partkey, p_name, p_retailprice FROM part")

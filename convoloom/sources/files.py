@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,10 +65,12 @@ def read_keyed(spark: SparkSession, path: str, schema: T.StructType | str, key:
     return last_wins(rows.filter(F.col(key).isNotNull()), key, "pos").drop("pos")
 
 
-def last_wins(df: DataFrame, key: str, pos: str) -> DataFrame:
-    """One row a key: the one furthest back."""
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(pos)))
-    return df.withColumn("__r", rank).filter(F.col("__r") == 1).drop("__r")
+def last_wins(df: DataFrame, key: str, pos: str | None = None) -> DataFrame:
+    """One row a key, null being one: the one furthest back by ``pos``, or the greatest by its columns in order (maps and variants
+    aside). Rows are cut down to one a key before they are shuffled."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    simple = [F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    return df.groupBy(key).agg(F.max_by(whole, F.struct(F.col(pos)) if pos else F.struct(*simple)).alias("__row")).select("__row.*")
 
 
 def require_embeddings(df: DataFrame, vec_col: str = "embedding") -> DataFrame:

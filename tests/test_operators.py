@@ -98,7 +98,7 @@ def test_leader_chain(spark):
 
 @pytest.mark.parametrize(("cell", "block"), [(4096, 1024), (20, 8)])
 def test_similar_pairs_cells(spark, monkeypatch, cell, block):
-    monkeypatch.setattr(similarity, "CELL_ROWS", cell)
+    monkeypatch.setattr(similarity, "SLICE_ROWS", cell)
     monkeypatch.setattr(similarity, "BLOCK_ROWS", block)
     rng = np.random.default_rng(3)
     v = rng.standard_normal((200, 5))
@@ -237,7 +237,7 @@ def test_training_rows(spark):
         (2, 0, "user", "agent", "hi"), (2, 1, "assistant", "execution", '{"name":"a"}'), (3, 0, "system", None, "x"), (3, 1, "user", "agent", "y"), (4, 0, "assistant", None, None),
     ]
     got = {r.conv_id: [(m["from"], m["value"]) for m in r.conversations] for r in training.training_rows(turns(spark, rows)).collect()}
-    assert got == {1: [("human", "hi"), ("function_call", call), ("observation", '{"v":1}\n"t"'), ("gpt", "done"), ("human", "bye")], 4: [("gpt", "")]}
+    assert got == {1: [("human", "hi"), ("function_call", call), ("observation", '{"v": 1}\nt'), ("gpt", "done"), ("human", "bye")], 4: [("gpt", "")]}
     c = training.conversion_counts(turns(spark, rows), training.training_rows(turns(spark, rows))).first()
     assert (c.total, c.converted, c.rejected, c.success_rate) == (4, 2, 2, 50.0)
 
@@ -324,3 +324,57 @@ def test_generation(spark):
     j = generation.judge(p, "conv_id").collect()
     assert len(j) == 41 and all(r.passed == (r.score is not None and r.score >= 4) and r.is_high_quality == (r.score is not None and r.score >= 4.5) for r in j)
     assert any(r.score is None for r in j if r.conv_id is not None)
+
+
+def test_observations_read_as_python_prints_them(spark):
+    assert training.observation('[{"v":1,"metadata":{}},"t",true,null,1.50,["a",1],{"k":"é","n":[1,{"metadata":2}]}]') == '{"v": 1}\nt\nTrue\nNone\n1.5\n[\'a\', 1]\n{"k": "é", "n": [1, {"metadata": 2}]}'
+    assert training.observation("[not json") == "[not json" and training.observation("") == "" and training.observation('{"a": 1}') == '{"a": 1}'
+
+
+def test_training_table(spark):
+    call = '{"name":"a","arguments":{}}'
+    rows = [(1, 0, "user", "agent", "hi"), (1, 1, "assistant", "execution", call), (2, 0, "user", "agent", "x"), (2, 1, "assistant", "user", "y"), (3, 0, "user", "agent", "alone"), (None, 0, "assistant", None, "z")]
+    tools = frame(spark, [(1, "[1]"), (1, "[2]"), (9, "[3]")], "conv_id long, tools string")
+    got = {r.conv_id: ([tuple(m) for m in r.conversations], r.tools) for r in training.training_table(turns(spark, rows), tools).collect()}
+    assert got == {1: ([("human", "hi"), ("function_call", call)], "[2]"), 2: ([("human", "x"), ("gpt", "y")], "[]"), None: ([("gpt", "z")], "[]")}
+    assert training.training_table(turns(spark, []), tools).count() == 0
+
+
+def test_repeated_keys_count_once(spark):
+    tools = frame(spark, [(1,), (2,), (3,), (None,)], "id long")
+    evals = frame(spark, [(1, 5.0, 0), (1, 2.0, 1), (2, 1.0, 0), (2, 4.5, 3), (None, 9.0, 0)], "id long, overall_score double, pos int")
+    assert sorted(str(r.id) for r in filters.filter_tools_by_score(tools, evals, pos_col="pos").collect()) == ["2", "3", "None"]
+    assert sorted(str(r.id) for r in filters.filter_tools_by_score(tools, evals.drop("pos")).collect()) == ["1", "2", "3", "None"]
+    assert filters.tool_filter_counts(tools, evals, pos_col="pos").first().total == 4
+    assert stats.merge_evaluations(tools, evals, pos_col="pos").count() == 4
+    old = frame(spark, [(1, "a"), (2, "b"), (None, "c")], "k long, x string")
+    new = frame(spark, [(1, "n", 2), (1, "m", 1), (None, "q", 0)], "k long, x string, pos int")
+    assert sorted((str(r.k), r.x) for r in joins.upsert(old, new, "k", "pos").collect()) == [("1", "n"), ("2", "b"), ("None", "c")]
+
+
+def test_calls_of_different_tools(spark):
+    kind = "id long, args string, params array<struct<name:string,type:string,required:boolean>>"
+    a = [("n", "integer", None), ("x", "number", False), ("s", "string", False)]
+    rows = [
+        (1, '{"n":"7","x":"1e2","s":5}', a), (2, '{"n":3.9,"x":true}', a), (3, '{"n":-3.9}', a), (4, '{"x":1}', a), (5, '{"n":"3.5"}', a), (6, '{"n":1,"x":"q"}', a), (7, None, a), (8, "broken", [("o", "object", False)]),
+        (9, '{"o":{"k":[1]}}', [("o", "object", True)]), (10, '{"z":1}', None), (11, '{"n":null}', a),
+    ]
+    got = {r.id: (r.c.fault, r.c["values"]) for r in frame(spark, rows, kind).select("id", filters.check_call(F.col("args"), F.col("params")).alias("c")).collect()}
+    assert got[1] == (None, {"n": "7", "x": "100.0", "s": "5"}) and got[2] == (None, {"n": "3", "x": "1.0"}) and got[3] == (None, {"n": "-3"})
+    assert got[4][0] == got[7][0] == "Missing required parameters: n" and got[5][0] == got[11][0] == "Parameter 'n' should be an integer" and got[6][0] == "Parameter 'x' should be a number"
+    assert got[8] == (None, {}) and got[9] == (None, {"o": '{"k":[1]}'}) and got[10] == (None, {"z": "1"}) and got[5][1] is None
+
+
+def test_leaders_of_a_long_chain(spark):
+    """Neighbours on an arc resemble each other, others do not: every second one leads."""
+    n = 1000
+    angle = np.arange(n) * 0.006
+    rows = [(i, [float(np.cos(a)), float(np.sin(a))], "g") for i, a in enumerate(angle)]
+    got = similarity.leader_clusters(frame(spark, rows, "id long, v array<double>, g string"), float(np.cos(0.0065)), "id", "id", "v", "g").collect()
+    assert {r.id for r in got if r.kept} == set(range(0, n, 2)) and all(r.leader == r.id - r.id % 2 for r in got)
+
+
+def test_pairs_at_one_position(spark):
+    rows = [(2, 0, [1.0, 0.0]), (1, 0, [1.0, 0.1]), (3, 1, [0.0, 1.0])]
+    got = similarity.similar_pairs(frame(spark, rows, "id long, pos long, v array<double>"), 0.9, "id", "pos", "v").collect()
+    assert [(r.src, r.dst) for r in got] == [(1, 2)]
