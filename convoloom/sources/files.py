@@ -19,12 +19,12 @@ def read_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """Path, name, size and modified of the files in a folder; a folder that is not there has none."""
+    """Path, name, size and modified of the files in a folder, or in all that a pattern names; a folder that is not there has none."""
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(folder)
     fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     kind = "path string, name string, size long, modified timestamp"
-    if not fs.exists(at):
+    if not len(fs.globStatus(at) or ()):
         return spark.createDataFrame([], kind)
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
     return files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
@@ -107,18 +107,32 @@ def write_filtered(df: DataFrame, keep: Column, path: str) -> DataFrame:
 
 
 def save_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
-    """K7: a graph as two tables."""
+    """K7: a graph as two tables and a row of statistics: nodes, edges, and the mean and the extremes of the weights."""
     nodes.write.mode("overwrite").parquet(f"{path}/nodes")
     edges.write.mode("overwrite").parquet(f"{path}/edges")
+    weights = [f("weight").alias(f"{n}_weight") for n, f in (("avg", F.avg), ("min", F.min), ("max", F.max))] if "weight" in edges.columns else []
+    counted = nodes.agg(F.count("*").alias("nodes")).join(F.broadcast(edges.agg(F.count("*").alias("edges"), *weights)))
+    counted.write.mode("overwrite").parquet(f"{path}/stats")
 
 
-def load_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """K8: the tables of a graph; a missing weight is 0.5 and a missing type ``unknown``."""
+def load_graph(spark: SparkSession, path: str, attributes: DataFrame | None = None, id_col: str = "id") -> tuple[DataFrame, DataFrame]:
+    """K8: the tables of a graph; a missing weight is 0.5 and a missing type ``unknown``. Nodes that ``attributes`` knows get its
+    other columns (of repeated ids the greatest row), which replace columns of theirs with those names; others have nulls."""
     edges = spark.read.parquet(f"{path}/edges")
     for name, kind in (("weight", "double"), ("edge_type", "string")):
         if name not in edges.columns:
             edges = edges.withColumn(name, F.lit(None).cast(kind))
-    return spark.read.parquet(f"{path}/nodes"), edges.withColumns({"weight": F.coalesce("weight", F.lit(0.5)), "edge_type": F.coalesce("edge_type", F.lit("unknown"))})
+    nodes = spark.read.parquet(f"{path}/nodes")
+    if attributes is not None:
+        nodes = nodes.select(*[c for c in nodes.columns if c == id_col or c not in attributes.columns]).join(last_wins(attributes, id_col), id_col, "left")
+    return nodes, edges.withColumns({"weight": F.coalesce("weight", F.lit(0.5)), "edge_type": F.coalesce("edge_type", F.lit("unknown"))})
+
+
+def ensure_directory(spark: SparkSession, path: str) -> str:
+    """Makes a folder and its parents through Spark's file system; the folder."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(at)
+    return path
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:
