@@ -190,24 +190,35 @@ def descend(model: Model, noise: np.ndarray, two: np.ndarray, one: np.ndarray, t
     for at in range(0, len(token), BATCH):
         a, b, w = two[at : at + BATCH], one[at : at + BATCH], token[at : at + BATCH]
         k = np.minimum(np.searchsorted(grown, rng.random(NOISE) * grown[-1]), len(noise) - 1)
-        va, vb = model.inputs[a], model.inputs[b]
-        h = vb @ model.near + va @ model.far
+        near, far = model.contexts()
+        h = near[b]
+        h += far[a]
         ow, ok = model.outputs[w], model.outputs[k]
         share = weight[at : at + BATCH]
-        dg, db = _pulls(np.einsum("ij,ij->i", h, ow) + (model.bias - shift)[w], h @ ok.T + (model.bias - shift)[k], share)
+        lift = model.bias - shift
+        dg, db = _pulls(np.einsum("ij,ij->i", h, ow) + lift[w], h @ ok.T + lift[k], share)
         dh = db @ ok
         dh += dg[:, None] * ow
-        n = len(w)
-        rows = len(model.outputs)
+        n, rows, seen = len(w), len(model.outputs), len(model.inputs)
         go = _gathered(w, _beside(dg[:, None] * h, dg), rows) + _gathered(k, _beside(db.T @ h, db.sum(axis=0)), rows)
-        gi = _gathered(np.concatenate((b, a)), np.concatenate((dh @ model.near.T, dh @ model.far.T)), len(model.inputs))
-        grads = [gi / n, go[:, :-1] / n, go[:, -1] / n, vb.T @ dh / n, va.T @ dh / n]
+        # Gradients of the contexts are summed by class before they go through the matrices.
+        d1, d2 = _gathered(b, dh, seen), _gathered(a, dh, seen)
+        grads = [d1 @ model.near.T + d2 @ model.far.T, go[:, :-1], go[:, -1], model.inputs.T @ d1, model.inputs.T @ d2]
         state["t"][0] += 1
         t = float(state["t"][0][0])
         for p, g, x, y in zip(model.parts(), grads, m1, m2, strict=True):
-            x += 0.1 * (g - x)
-            y += 0.01 * (g * g - y)
-            p += (rate / (1 + t / 2000)) * (x / (1 - 0.9**t)) / (np.sqrt(y / (1 - 0.99**t)) + 1e-6)
+            g = g / n
+            x *= 0.9
+            x += 0.1 * g
+            g *= g
+            y *= 0.99
+            g *= 0.01
+            y += g
+            step = np.sqrt(y / (1 - 0.99**t))
+            step += 1e-6
+            np.divide(x, step, out=step)
+            step *= rate / (1 + t / 2000) / (1 - 0.9**t)
+            p += step
 
 
 @dataclass
