@@ -20,7 +20,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[ -]?[0-9]){13,}+",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    "iban": rf"(?<![A-Za-z0-9])(?:{_IBANS})(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_IBANS})(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 BASE_KINDS = ("email", "ip", "card", "phone")
