@@ -51,8 +51,9 @@ def graph_stats(nodes: DataFrame, edges: DataFrame, id_col: str = "id") -> DataF
 
 
 def edge_type_counts(edges: DataFrame) -> DataFrame:
-    """Edges by type."""
-    return edges.groupBy("edge_type").agg(F.count("*").alias("n"))
+    """A4: edges by type and their share in per cent."""
+    by = edges.groupBy("edge_type").agg(F.count("*").alias("n"))
+    return by.join(F.broadcast(edges.agg(F.count("*").alias("__all")))).select("edge_type", "n", F.round(100.0 * F.col("n") / F.col("__all"), 1).alias("percent"))
 
 
 def group_edges(nodes: DataFrame, existing: DataFrame, id_col: str, group_col: str, weight: float, edge_type: str, partners: int = 3, seed: int = 7) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import checkpoint_tools, content_id, uniform
 from ..schemas import DIFFICULTIES, TASK_TYPES
+from ..sources.files import last_wins
 
 # The personas that are drawn from.
 PERSONALITIES = ("friendly", "impatient", "cautious", "casual")
@@ -38,10 +39,11 @@ def normalize_tool(name: Column, description: Column, parameters: Column, return
 
 
 def function_schema(name: Column, description: Column, parameters: Column, required_default: bool = True) -> Column:
-    """P3 (P4 with ``required_default`` false): the function-call schema as JSON; an empty enum is left out."""
-    prop = lambda p: F.to_json(F.struct(p["type"].alias("type"), p["description"].alias("description"), F.when(F.size(p["enum"]) > 0, p["enum"]).alias("enum")))
+    """P3 (P4 with ``required_default`` false): the function-call schema as JSON; an empty enum is left out,
+    a missing type is ``string``, and a missing name or description empty."""
+    prop = lambda p: F.to_json(F.struct(F.coalesce(p["type"], F.lit("string")).alias("type"), F.coalesce(p["description"], F.lit("")).alias("description"), F.when(F.size(p["enum"]) > 0, p["enum"]).alias("enum")))
     quoted = lambda c: F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2)
-    body = F.array_join(F.transform(parameters, lambda p: F.concat(quoted(p["name"]), F.lit(":"), prop(p))), ",")
+    body = F.array_join(F.transform(parameters, lambda p: F.concat(quoted(F.coalesce(p["name"], F.lit(""))), F.lit(":"), prop(p))), ",")
     needed = F.transform(F.filter(parameters, lambda p: F.coalesce(p["required"], F.lit(required_default))), lambda p: p["name"])
     return F.concat(
         F.lit('{"name":'), quoted(F.coalesce(name, F.lit(""))), F.lit(',"description":'), quoted(F.coalesce(description, F.lit(""))),
@@ -67,6 +69,19 @@ def fill(template: str, **values: Column) -> Column:
     return out
 
 
+def agent_records(combinations: DataFrame, tools: DataFrame, template: str, id_col: str = "id", tools_col: str = "tool_ids") -> DataFrame:
+    """(id, system_prompt, tools) of every combination with a tool. The id follows from the combination's; the prompt is
+    ``template`` with the schemas of its known tools (id, name, description, parameters), in order and an empty line apart, at
+    ``{tools_list}``. Combinations without tools, null lists too, go; unknown tools stay in the list only; repeated tool ids
+    count once in ``tools``' table, by the greatest row."""
+    schemas = last_wins(tools, "id").select(F.col("id").alias("__tool"), function_schema(F.col("name"), F.col("description"), F.col("parameters"), False).alias("__schema"))
+    some = combinations.filter(F.size(tools_col) > 0).select(F.col(id_col).alias("__c"), F.col(tools_col).alias("tools"))
+    parts = some.select("__c", F.posexplode("tools").alias("__pos", "__tool")).join(schemas, "__tool")
+    lists = parts.groupBy("__c").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__pos", "__schema"))), lambda x: x["__schema"]), "\n\n").alias("__list"))
+    found = some.join(lists, "__c", "left")
+    return found.select(content_id("agent", {"combination": F.col("__c").cast("string")}).alias("id"), fill(template, tools_list=F.col("__list")).alias("system_prompt"), "tools")
+
+
 def name_use_pairs(df: DataFrame, name_col: str, uses_col: str) -> DataFrame:
     """P10: ``name+use`` for every use."""
     return df.select(F.col(name_col).alias("n"), F.explode(uses_col).alias("u")).select(F.concat_ws("+", "n", "u").alias("pair"))

@@ -34,6 +34,17 @@ def combination_stats(combos: DataFrame, tools_col: str = "tool_ids") -> DataFra
     return sizes.join(F.broadcast(tools)).withColumns({"avg_size": F.round(F.col("uses") / F.col("total"), 2), "avg_usage": F.round(F.col("uses") / F.col("unique_tools"), 2)})
 
 
+def combination_distributions(combos: DataFrame, tools_col: str = "tool_ids", method_col: str = "generation_method", scenario_col: str = "scenario_id", top: int = 10) -> DataFrame:
+    """A2: (kind, value, n): combinations by size, by method, and by scenario, of the latter the ``top`` most frequent (ties by
+    value). Missing methods and scenarios count as empty; a missing list has no size."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    sizes = combos.filter(F.col(tools_col).isNotNull()).groupBy(F.size(tools_col).cast("string").alias("value")).agg(F.count("*").alias("n"))
+    methods = combos.groupBy(text(method_col).alias("value")).agg(F.count("*").alias("n"))
+    scenarios = top_counts(combos, text(scenario_col), top, "value")
+    named = [df.select(F.lit(kind).alias("kind"), "value", "n") for kind, df in (("size", sizes), ("method", methods), ("scenario", scenarios))]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
 def top_counts(df: DataFrame, key: Column | str, n: int = 10, name: str = "key") -> DataFrame:
     """The ``n`` most frequent values, ties by value."""
     k = F.col(key) if isinstance(key, str) else key
@@ -55,11 +66,15 @@ def task_summary(tasks: DataFrame, requested: int | Column, agent_col: str = "ag
     )
 
 
-def agent_stats(agents: DataFrame, tools_col: str = "tools") -> DataFrame:
-    """Agents, tools an agent and distinct tools."""
+def agent_stats(agents: DataFrame, tools_col: str = "tools", combinations: DataFrame | None = None) -> DataFrame:
+    """Agents, tools an agent and distinct tools; with ``combinations`` the share of them that became agents (0 of none)."""
     a = agents.agg(F.count("*").alias("agents"), F.sum(F.size(tools_col)).alias("s"))
     t = agents.select(F.explode(tools_col).alias("t")).agg(F.countDistinct("t").alias("unique_tools"))
-    return a.join(F.broadcast(t)).select("agents", F.round(F.col("s") / F.col("agents"), 2).alias("avg_tools"), "unique_tools")
+    out = a.join(F.broadcast(t)).select("agents", F.round(F.col("s") / F.col("agents"), 2).alias("avg_tools"), "unique_tools")
+    if combinations is None:
+        return out
+    rate = F.round(F.when(F.col("c") > 0, F.col("agents") / F.col("c")).otherwise(0.0), 4)
+    return out.join(F.broadcast(combinations.agg(F.count("*").alias("c")))).withColumn("success_rate", rate).drop("c")
 
 
 def coverage(df: DataFrame, has: Column) -> DataFrame:

@@ -194,6 +194,18 @@ def combo_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.combination_stats(_combos(spark, sf_dir))
 
 
+@query(
+    f"""WITH {COMBOS}, k AS (SELECT len(tool_ids) AS size, CASE WHEN l_orderkey % 3 = 0 THEN 'similarity' WHEN l_orderkey % 3 = 1 THEN 'random_walk' ELSE '' END AS method, CAST(l_orderkey % 41 AS VARCHAR) AS scenario FROM c),
+  s AS (SELECT scenario AS value, count(*) AS n FROM k GROUP BY 1 ORDER BY n DESC, value LIMIT 10)
+  SELECT 'size' AS kind, CAST(size AS VARCHAR) AS value, count(*) AS n FROM k GROUP BY size UNION ALL SELECT 'method', method, count(*) FROM k GROUP BY method UNION ALL SELECT 'scenario', value, n FROM s"""
+)
+def combo_distributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: the scenarios are a top-10 report."""
+    key = F.col("l_orderkey")
+    c = _combos(spark, sf_dir).withColumns({"generation_method": F.when(key % 3 == 0, "similarity").when(key % 3 == 1, "random_walk"), "scenario_id": key % 41})
+    return stats.combination_distributions(c)
+
+
 @query("SELECT l_partkey AS tool, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, tool LIMIT 10")
 def top_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A top-10 report."""
@@ -234,10 +246,14 @@ def task_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.task_summary(table(spark, sf_dir, "orders"), 1_000_000, "o_custkey")
 
 
-@query("WITH a AS (SELECT l_orderkey, list_sort(list(DISTINCT l_partkey)) AS t FROM lineitem GROUP BY 1) SELECT count(*) AS agents, round(avg(len(t)), 2) AS avg_tools, (SELECT count(DISTINCT l_partkey) FROM lineitem) AS unique_tools FROM a")
+@query(
+    f"""WITH {COMBOS}, a AS (SELECT * FROM c WHERE len(tool_ids) >= 2)
+  SELECT count(*) AS agents, round(avg(len(tool_ids)), 2) AS avg_tools, (SELECT count(DISTINCT t) FROM (SELECT unnest(tool_ids) AS t FROM a)) AS unique_tools, round(count(*) / (SELECT count(*) FROM c), 4)::DOUBLE AS success_rate FROM a"""
+)
 def agent_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A7."""
-    return stats.agent_stats(_combos(spark, sf_dir), "tool_ids")
+    combos = _combos(spark, sf_dir)
+    return stats.agent_stats(combos.filter(F.size("tool_ids") >= 2), "tool_ids", combos)
 
 
 @query("SELECT o_orderkey FROM orders ORDER BY md5('7:' || o_orderkey) LIMIT 1000")
@@ -286,6 +302,17 @@ def function_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), make(True).alias("required_schema"), make(False).alias("optional_schema"))
 
 
+@query(
+    f"""WITH {COMBOS}, s AS (SELECT p_partkey, {SCHEMA_SQL} || ']}}}}' AS s FROM part WHERE p_size > 10),
+  l AS (SELECT l_orderkey AS o, string_agg(s, chr(10) || chr(10) ORDER BY p_partkey) AS tools FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) JOIN s ON l_partkey = p_partkey GROUP BY l_orderkey)
+  SELECT 'agent_' || substr(md5('{{"combination": "' || l_orderkey || '"}}'), 1, 8) AS id, 'Tools: ' || coalesce(tools, '') AS system_prompt, len(tool_ids) AS n_tools FROM c LEFT JOIN l ON l_orderkey = o"""
+)
+def agent_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U5, P4, P9."""
+    tools = table(spark, sf_dir, "part").filter("p_size > 10").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_type").alias("description"), _tool_parameters().alias("parameters"))
+    return records.agent_records(_combos(spark, sf_dir), tools, "Tools: {tools_list}", "l_orderkey").select("id", "system_prompt", F.size("tools").cast("long").alias("n_tools"))
+
+
 @query(
     """WITH l AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem),
   a AS (SELECT l_orderkey, string_agg('{"name":' || to_json(p_name) || ',"description":' || to_json(p_type) || '}', ', ' ORDER BY l_linenumber, l_partkey) AS s FROM l JOIN part ON l_partkey = p_partkey WHERE p_size > 10 GROUP BY l_orderkey)

@@ -90,9 +90,9 @@ def node_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.degrees(_nodes(spark, sf_dir), _edges(spark, sf_dir))
 
 
-@query(f"WITH {GRAPH} SELECT 'similarity' AS edge_type, count(*) AS n FROM g HAVING count(*) > 0")
+@query(f"WITH {GRAPH} SELECT 'similarity' AS edge_type, count(*) AS n, 100.0::DOUBLE AS percent FROM g HAVING count(*) > 0")
 def edge_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A3."""
+    """A3, A4."""
     return graph.edge_type_counts(_edges(spark, sf_dir))
 
 

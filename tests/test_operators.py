@@ -378,3 +378,21 @@ def test_pairs_at_one_position(spark):
     rows = [(2, 0, [1.0, 0.0]), (1, 0, [1.0, 0.1]), (3, 1, [0.0, 1.0])]
     got = similarity.similar_pairs(frame(spark, rows, "id long, pos long, v array<double>"), 0.9, "id", "pos", "v").collect()
     assert [(r.src, r.dst) for r in got] == [(1, 2)]
+
+
+def test_agent_records(spark):
+    kind = "id string, name string, description string, parameters array<struct<name:string,type:string,description:string,required:boolean,enum:array<string>>>"
+    tools = frame(spark, [("t", "n", None, [(None, None, None, None, None)]), ("t", "m", "d", None), ("u", "o", "e", [])], kind)
+    combos = frame(spark, [("1", ["u", "t", "x"]), ("2", []), ("3", None), ("4", ["x"])], "id string, tool_ids array<string>")
+    got = {len(r.tools): r for r in records.agent_records(combos, tools, "<{tools_list}>").collect()}
+    assert set(got) == {3, 1} and got[1].system_prompt == "<>" and got[3].id != got[1].id
+    assert got[3].system_prompt.startswith('<{"name":"o"') and '\n\n{"name":"n","description":"","parameters":{"type":"object","properties":{"":{"type":"string","description":""}},"required":[]}}' in got[3].system_prompt
+    assert records.agent_records(combos.limit(0), tools, "x").count() == 0
+
+
+def test_combination_distributions(spark):
+    combos = frame(spark, [(["a", "b"], "w", "s"), (["a"], None, "s"), (None, "w", None), ([], "w", "r")], "tool_ids array<string>, generation_method string, scenario_id string")
+    got = {(r.kind, r.value): r.n for r in stats.combination_distributions(combos, top=2).collect()}
+    assert got == {("size", "2"): 1, ("size", "1"): 1, ("size", "0"): 1, ("method", "w"): 3, ("method", ""): 1, ("scenario", "s"): 2, ("scenario", ""): 1}
+    one = stats.agent_stats(combos.filter("size(tool_ids) > 1"), "tool_ids", combos).first()
+    assert one.success_rate == 0.25 and stats.agent_stats(combos.limit(0), "tool_ids", combos.limit(0)).first().success_rate == 0.0
