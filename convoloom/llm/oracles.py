@@ -24,3 +24,28 @@ r(x, y) AS (SELECT text, text FROM d UNION SELECT r.x, l.y FROM r JOIN l ON r.y
 c AS (SELECT r.x AS text, min(d.least) AS class_id FROM r JOIN d ON d.text = r.y GROUP BY 1)
 SELECT doc_id, class_id, (SELECT count(*) FROM l WHERE l.x = c.text) AS n_links, n_copies FROM documents o JOIN c ON c.text = coalesce(o.text, '') JOIN d ON d.text = c.text
 """
+
+
+def _centroids(rounds: int = 3) -> str:
+    """Every vector against every centroid in each round; means by exact floors."""
+    near = """a{i} AS (SELECT r, CAST(min(16 * list_sum(list_transform(list_zip(v.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) + k) AS BIGINT) AS m
+  FROM v, c{i} c GROUP BY r)"""
+    mean = """s{i} AS (SELECT m % 16 AS k, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM a{i} JOIN v USING (r)),
+m{i} AS (SELECT k, j, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM s{i} GROUP BY k, j),
+n{i} AS (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY j) AS v FROM m{i} GROUP BY k),
+c{n} AS (SELECT c{i}.k, coalesce(n{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN n{i} USING (k))"""
+    steps = [x for i in range(rounds) for x in (near.format(i=i), mean.format(i=i, n=i + 1))] + [near.format(i=rounds)]
+    return f"""
+WITH v AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS r,
+    list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64 AND len(embedding) = 64),
+c0 AS (SELECT r AS k, v FROM v WHERE r < 16),
+{", ".join(steps)},
+d AS (SELECT vec_id, m % 16 AS k, m // 16 AS distance FROM a{rounds} JOIN v USING (r))
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM d JOIN c{rounds} c USING (k)
+"""
+
+
+CENTROIDS = _centroids()

@@ -7,7 +7,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, jaccard_join, lm_score, oracles, pii, quality_perplexity, quality_rules, secret_scan, sentencepieces, sharding, token_counts
+from . import (
+    decontamination,
+    exponion,
+    jaccard_join,
+    lm_score,
+    oracles,
+    pii,
+    quality_perplexity,
+    quality_rules,
+    secret_scan,
+    sentencepieces,
+    sharding,
+    token_counts,
+)
 
 
 def tokenizer_file(name: str) -> str:
@@ -64,6 +77,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exponion.cluster_vectors(_table(spark, sf_dir, "embeddings"), 16, 3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_secret_scans": op2_secret_scans,
@@ -75,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_perplexity": op8_quality_perplexity,
     "op9_decontamination": op9_decontamination,
     "op10_lm_scoring": op10_lm_scoring,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 
-ORACLES: dict[str, str] = {"op5_jaccard_join": oracles.JACCARD, "op7_sharding": oracles.SHARDING}
+ORACLES: dict[str, str] = {"op5_jaccard_join": oracles.JACCARD, "op7_sharding": oracles.SHARDING, "op13_centroid_clustering": oracles.CENTROIDS}
