@@ -13,6 +13,7 @@ from . import (
     jaccard_join,
     lm_score,
     oracles,
+    periodic_runs,
     pii,
     quality_perplexity,
     quality_rules,
@@ -77,6 +78,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(_table(spark, sf_dir, "documents"))
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exponion.cluster_vectors(_table(spark, sf_dir, "embeddings"), 16, 3)
 
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_perplexity": op8_quality_perplexity,
     "op9_decontamination": op9_decontamination,
     "op10_lm_scoring": op10_lm_scoring,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
 
