@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import (
     decontamination,
     exponion,
+    html_extract,
     jaccard_join,
     lm_score,
     oracles,
@@ -78,6 +79,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(_table(spark, sf_dir, "documents"))
 
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_perplexity": op8_quality_perplexity,
     "op9_decontamination": op9_decontamination,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_html_extraction": op11_html_extraction,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
