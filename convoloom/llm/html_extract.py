@@ -47,7 +47,7 @@ ALWAYS = frozenset("ad ads advert advertisement sponsored promo comment comments
 
 WORDS, LINKS, SHARE = (0, 1, 3, 10, 30, 100), (0.001, 0.3, 0.7), (0.01, 0.05, 0.2, 0.5)
 #: First feature of each group; in a group one feature of an element is on.
-GROUPS = {"bias": 1, "kind": len(KINDS), "named": 3, "inherited": 3, "own": len(WORDS) + 1, "all": len(WORDS) + 1, "links": len(LINKS) + 2, "share": len(SHARE) + 1, "marks": 4, "place": 3}
+GROUPS = {"bias": 1, "kind": len(KINDS), "named": 3, "inherited": 3, "own": len(WORDS) + 1, "all": len(WORDS) + 1, "links": len(LINKS) + 2, "share": len(SHARE) + 2, "marks": 4}
 FIRST = dict(zip(GROUPS, np.cumsum([0, *GROUPS.values()])[:-1].tolist(), strict=True))
 FEATURES = sum(GROUPS.values())
 #: Log potential of being content for what a browser does not show.
@@ -124,14 +124,13 @@ class Forest:
         for level in self.levels[:0:-1]:
             some = level[inner[level]]
             np.add.at(block, self.parent[some], block[some])
-        upto = np.cumsum(own) - own
         share = np.where(below > 0, links / np.maximum(below, 1), 0)
-        place = (upto - upto[self.first][self.page] if len(self.first) else upto) / np.maximum(page, 1)
+        holds = np.isin(self.kind, [_KIND[k] for k in ("list", "table", "box", "article", "edge", "form", "root")])
         columns = {
             "bias": np.zeros(len(own), int), "kind": self.kind, "named": self.named, "inherited": np.where(self.parent >= 0, self.inherited[self.parent], 0),
             "own": np.searchsorted(WORDS, block), "all": np.searchsorted(WORDS, below),
-            "links": np.where(below > 0, 1 + np.searchsorted(LINKS, share, side="right"), 0), "share": np.searchsorted(SHARE, below / np.maximum(page, 1), side="right"),
-            "marks": 2 * (self.kind == _KIND["paragraph"]) + (block >= 10), "place": np.searchsorted((0.1, 0.9), place),
+            "links": np.where(below > 0, 1 + np.searchsorted(LINKS, share, side="right"), 0), "share": np.where(holds, 1 + np.searchsorted(SHARE, below / np.maximum(page, 1), side="right"), 0),
+            "marks": 2 * (self.kind == _KIND["paragraph"]) + (block >= 10),
         }
         self.features = np.stack([columns[g] + FIRST[g] for g in GROUPS], 1)
         line = np.isin(self.kind, [_KIND[k] for k in ("inline", "link", "heading", "paragraph", "item")])

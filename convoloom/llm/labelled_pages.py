@@ -137,7 +137,7 @@ class PageMaker:
                 self.add("<br>")
                 return
             short = r.random() < self.short
-            self.add(r.choice(("<p>", "<p>", "<p>", '<p class="first">')), self.words(1, 3) if short else self.prose(r.choice((1, 3, 9))), True)
+            self.add(r.choice(("<p>", "<p>", "<p>", '<p class="first">')), self.words(1, r.choice((2, 6, 12))) if short else self.prose(r.choice((1, 3, 9))), True)
             if short:
                 self.add("</p>")
                 return
@@ -180,10 +180,10 @@ class PageMaker:
             head = r.random() < 0.2
             self.add("<header><h1>" if head else "<h1>", self.words(1, 12), True)
             self.add("</h1></header>" if head else "</h1>")
-        self.short = r.choice((0, 0, 0.1, 0.3, 0.9))
+        self.short = r.choice((0, 0, 0.1, 0.3, 1))
         if self.short:
             self.add("<p>", self.prose(r.choice((3, 9, 20))), True)
-        for _ in range(r.choice((1, 2, 4, 8, 16, 30))):
+        for _ in range(r.choice((1, 2, 4, 8, 16, 40))):
             self.paragraph()
             if r.random() < 0.08 and not self.plain:
                 self.around(r.choice(("advert", "share", "sidebar", "notice", "form")))

@@ -121,7 +121,7 @@ def test_hand_written_pages(model):
         '<div id="page"><nav class="menu"><a href=a>A</a></nav><div class="post"><div class="post-content"><div>Line one of text<br>Line two of text</div><div class="share-buttons"><a href=x>Tweet</a></div>'
         '<table><tr><td>cell a<td>cell b</table></div><ol class="commentlist"><li class="comment"><p>Reader says something long enough to be prose, yes.</p></li></ol></div></div>':
         "Line one of text Line two of text cell a cell b",
-        "<p>some words of text, long enough.</p><script>var a = '<p>no</p>'</script><style>p{}</style><p hidden>no</p><noscript>no</noscript>": "some words of text, long enough.",
+        "<h1>A page</h1><p>some words of text, long enough.</p><script>var a = '<p>no</p>'</script><style>p{}</style><p hidden>no</p><noscript>no</noscript>": "A page some words of text, long enough.",
     }
     assert X.main_texts(list(cases), *model) == list(cases.values())
 
@@ -141,7 +141,7 @@ def test_edges(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "<p>the same text, twice over</p>"), (4, "<p>the same text, twice over</p>"), (None, "<h1>plain</h1> text that has no end, and <b>goes on for some words</b> more."), (5, long), (6, "<nav><a href=x>a</a></nav>")]
     df = spark.createDataFrame([(i, "u", h, "x", 1) for i, h in rows], "page_id long, url string, html string, text string, n_chars int")
     got = {(r["page_id"], r["n_chars"], r["text"][:20]) for r in X.extract_text(df).collect()}
-    assert got == {(1, 0, ""), (2, 0, ""), (3, 0, ""), (4, 25, "the same text, twice"), (None, 66, "plain text that has "), (5, 26 * 20_000 - 1, "word word word, and "), (6, 0, "")}
+    assert got == {(1, 0, ""), (2, 0, ""), (3, 0, ""), (4, 25, "the same text, twice"), (None, 60, "plain text that has "), (5, 26 * 20_000 - 1, "word word word, and "), (6, 0, "")}
     assert X.extract_text(df).count() == 8 and X.extract_text(df.limit(0)).collect() == []
 
 
