@@ -11,7 +11,7 @@ from ..sources import files
 from .registry import query, table
 
 
-def _folder(spark: SparkSession, name: str) -> str:
+def io_folder(spark: SparkSession, name: str) -> str:
     """A folder of this application beside its checkpoints, empty."""
     path = f"{ensure_checkpoint_dir(spark)}/convoloom_io_{spark.sparkContext.applicationId}/{name}"
     files.delete_path(spark, path)
@@ -21,7 +21,7 @@ def _folder(spark: SparkSession, name: str) -> str:
 @query("SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer")
 def batch_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two JSON batches of one dataset, read as one."""
-    path = _folder(spark, "batches")
+    path = io_folder(spark, "batches")
     rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))
     files.write_batch(rows.filter("id % 2 = 0"), path, "agents", "1")
     files.write_batch(rows.filter("id % 2 = 1"), path, "agents", "2")
@@ -31,7 +31,7 @@ def batch_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT s_suppkey AS id, s_name AS name FROM supplier WHERE s_suppkey % 2 = 0")
 def latest_batch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the batch with the greatest name."""
-    path = _folder(spark, "latest")
+    path = io_folder(spark, "latest")
     rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
     for n in (1, 0):
         rows.filter(F.col("id") % 2 == 1 - n).coalesce(1).write.mode("overwrite").json(f"{path}/run_{n}")
@@ -42,7 +42,7 @@ def latest_batch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT string_agg(r_name, '|' ORDER BY r_name) AS names FROM region")
 def text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines written as text, and whole files read."""
-    path = _folder(spark, "text")
+    path = io_folder(spark, "text")
     files.write_text(table(spark, sf_dir, "region").coalesce(1), f"{path}/names", "r_name")
     lines = files.read_text(spark, f"{path}/names").select(F.explode(F.split("value", "\n")).alias("n")).filter("n <> ''")
     return lines.agg(F.array_join(F.array_sort(F.collect_list("n")), "|").alias("names"))
@@ -51,7 +51,7 @@ def text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT p_partkey AS id, p_size AS size FROM part WHERE p_size > 25")
 def filtered_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6: rows that pass, written and read."""
-    path = _folder(spark, "filtered")
+    path = io_folder(spark, "filtered")
     files.write_filtered(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("size")), F.col("size") > 25, f"{path}/rows")
     return spark.read.parquet(f"{path}/rows")
 
@@ -63,7 +63,7 @@ def filtered_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def graph_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K7, K8: a graph written with its statistics, read with defaults and the attributes of its nodes."""
-    path = _folder(spark, "graph")
+    path = io_folder(spark, "graph")
     nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
     pairs = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "supplier"), F.col("c_custkey") == F.col("s_suppkey"))
     edges = pairs.select(F.col("c_nationkey").alias("src"), F.col("s_nationkey").alias("dst")).distinct()
@@ -76,7 +76,7 @@ def graph_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name AS name, CAST(n_regionkey AS DOUBLE) AS overall_score FROM nation")
 def keyed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A JSON list under a wrapper; a first record of every id is overruled by the last."""
-    path = _folder(spark, "keyed")
+    path = io_folder(spark, "keyed")
     one = F.struct(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").cast("double").alias("overall_score"))
     nations = table(spark, sf_dir, "nation").select(one.alias("r"))
     older = nations.select(F.col("r").withField("overall_score", F.lit(-1.0)).alias("r"))
@@ -89,7 +89,7 @@ def keyed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT n_nationkey % 5 AS kind, count(*) AS files, count(*) FILTER (n_nationkey % 5 <> 4) AS objects FROM nation GROUP BY 1")
 def folder_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file for every nation, some of which hold no object."""
-    path = _folder(spark, "folder")
+    path = io_folder(spark, "folder")
     kind = F.col("n_nationkey") % 5
     body = F.when(kind == 4, "[1]").otherwise(F.to_json(F.struct(kind.alias("kind"), F.col("n_name").alias("name"))))
     table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("n"), body.alias("value")).coalesce(1).write.mode("overwrite").partitionBy("n").text(f"{path}/all")

@@ -146,3 +146,13 @@ def copy_path(spark: SparkSession, src: str, dst: str) -> None:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     a, b = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
     jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, conf)
+
+
+def stream_parquet(spark: SparkSession, path: str, files_a_batch: int | None = None) -> DataFrame:
+    """A stream of the Parquet files at ``path``, a folder or a single file, with the schema that they have now."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory()
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if files_a_batch:
+        reader = reader.option("maxFilesPerTrigger", files_a_batch)
+    return reader.parquet(path) if folder else reader.option("pathGlobFilter", at.getName()).parquet(str(at.getParent().toString()))
