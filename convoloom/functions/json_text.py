@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import Column
@@ -75,64 +76,67 @@ def parse_llm_json(s: Column) -> Column:
     return F.to_json(F.coalesce(F.try_parse_json(strip(s)), first))
 
 
-def _balanced(text: str, at: int) -> tuple[str | None, int]:
-    """The first balanced object from ``at`` that is JSON, aware of strings and escapes, and where it ends."""
-    depth, start, quoted, escaped = 0, -1, False, False
-    for i in range(at, len(text)):
-        c = text[i]
-        if escaped:
-            escaped = False
-        elif quoted:
-            escaped = c == "\\"
-            quoted = c != '"'
-        elif c == '"':
-            quoted = True
+#: What matters between braces: escaped characters, quotes and braces.
+TOKEN = re.compile(r'\\.|["{}]', re.S)
+
+
+def closing_braces(text: str) -> dict[int, int]:
+    """Where the object of each open brace ends, for braces that close, from one scan.
+
+    Seen from a brace, a later one stands in a string if an odd number of quotes lies between. So braces fall into two kinds, by
+    the quotes before them, and those of a kind close each other whatever the other kind does: two stacks of open places.
+    """
+    waiting: tuple[list[int], list[int]] = ([], [])
+    ends, kind = {}, 0
+    for m in TOKEN.finditer(text):
+        c = m[0]
+        if c == '"':
+            kind ^= 1
         elif c == "{":
-            start = i if start < 0 else start
-            depth += 1
-        elif c == "}" and start >= 0:
-            depth -= 1
-            if depth == 0:
-                if _loads(text[start : i + 1]) is not _BAD:
-                    return text[start : i + 1], i + 1
-                depth, start = 0, -1
-    return None, -1
+            waiting[kind].append(m.start())
+        elif c == "}" and waiting[kind]:
+            ends[waiting[kind].pop()] = m.end()
+    return ends
 
 
-_BAD = object()
+def outer_objects(text: str) -> Iterator[str]:
+    """Balanced stretches in braces, left to right, none inside another; an open brace that never closes hides nothing."""
+    ends = closing_braces(text)
+    at = text.find("{")
+    while at >= 0:
+        end = ends.get(at)
+        if end:
+            yield text[at:end]
+        at = text.find("{", end or at + 1)
 
 
-def _loads(s: str) -> object:
+def _parsed(s: str) -> tuple[bool, object]:
+    """Whether a text is JSON, and its value; what is nested too deep to be read is not."""
     try:
-        return json.loads(s)
-    except ValueError:
-        return _BAD
+        return True, json.loads(s)
+    except (ValueError, RecursionError):
+        return False, None
 
 
 def one_json(content: str | None) -> str | None:
-    """Fenced JSON, then the text without fences, then a balanced object, one with ``name`` preferred; else the text."""
+    """The JSON that a reply most likely means. That is the first fence which holds JSON, those marked as such before others; or
+    all that stands outside of fences; or, of the objects in it, the first with a ``name``, else the first. Otherwise the text."""
     if content is None:
         return None
     text = content.strip()
-    for pattern in (JSON_FENCE, ANY_FENCE):
-        for m in re.findall(pattern, text):
-            if m.strip() and _loads(m.strip()) is not _BAD:
-                return m.strip()
-    rest = re.sub(r"(?s)```.*?```", " ", re.sub(r"(?s)```json.*?```", " ", text))
-    if rest.strip() and _loads(rest.strip()) is not _BAD:
-        return rest.strip()
-    first, at = None, 0
-    while (at := rest.find("{", at)) >= 0:
-        found, end = _balanced(rest, at)
-        if found is None:
-            at += 1  # a brace that never closes hides nothing behind it
-            continue
-        parsed = _loads(found)
-        if isinstance(parsed, dict) and "name" in parsed:
-            return found
-        first = first or found
-        at = end
-    return first or text
+    outside = re.sub(r"(?s)```.*?```", " ", re.sub(r"(?s)```json.*?```", " ", text))
+    whole = chain(re.findall(JSON_FENCE, text), re.findall(ANY_FENCE, text), [outside])
+    for part in map(str.strip, whole):
+        if part and _parsed(part)[0]:
+            return part
+    any_object = None
+    for part in outer_objects(outside):
+        ok, value = _parsed(part)
+        if ok and "name" in value:
+            return part
+        if ok and any_object is None:
+            any_object = part
+    return any_object or text
 
 
 @F.pandas_udf(T.StringType())

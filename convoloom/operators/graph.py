@@ -1,11 +1,10 @@
-"""Tool graphs: neighbours, degrees, statistics, bounded clusters and seeded walks."""
+"""Tool graphs: neighbours, degrees, statistics and bounded clusters."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import uniform
 from ..session import materialize
 from .components import connected_components
 
@@ -81,55 +80,30 @@ def _adjacency(edges: DataFrame, most: int | None = None) -> DataFrame:
 
 
 def bfs_clusters(starts: DataFrame, edges: DataFrame, max_size: int = 6, id_col: str = "id") -> DataFrame:
-    """For each start the first nodes of a breadth-first walk in id order, ``max_size`` at most. A node is queued only while
-    cluster and queue together are smaller than that; the queue may hold a node twice. Only the first few neighbours of a node
-    can matter, so hubs stay short."""
-    near = materialize(_adjacency(edges, 2 * max_size + 1))
-    kind = starts.schema[id_col].dataType.simpleString()
-    empty = F.array().cast(f"array<{kind}>")
-    state = starts.select(F.col(id_col).alias("start")).distinct().select("start", F.array("start").alias("queue"), empty.alias("cluster"))
-    for _ in range(max_size * max_size):
-        if state.filter((F.size("queue") > 0) & (F.size("cluster") < max_size)).isEmpty():
-            break
-        head = F.when((F.size("queue") > 0) & (F.size("cluster") < max_size), F.element_at("queue", 1))
-        step = state.withColumn("at", head).join(near, "at", "left")
-        rest = F.slice("queue", 2, F.greatest(F.size("queue") - 1, F.lit(0)))
-        fresh = F.col("at").isNotNull() & ~F.array_contains("cluster", F.coalesce("at", F.col("start")))
-        grown = F.concat("cluster", F.array("at"))
-        room = F.greatest(F.lit(max_size) - F.size(grown) - F.size(rest), F.lit(0))
-        more = F.slice(F.filter(F.transform(F.coalesce("near", F.array().cast(f"array<struct<id:{kind},weight:double>>")), lambda x: x["id"]), lambda x: ~F.array_contains(grown, x)), F.lit(1), room)
-        state = materialize(
-            step.select("start", F.when(fresh, F.concat(rest, more)).when(F.col("at").isNotNull(), rest).otherwise(F.col("queue")).alias("queue"), F.when(fresh, grown).otherwise(F.col("cluster")).alias("cluster"))
-        )
-    return state.select("start", "cluster")
-
-
-def random_walks(starts: DataFrame, edges: DataFrame, size: Column, walk_length: int = 6, restart: float = 0.15, seed: int = 7, id_col: str = "walk", node_col: str = "start") -> DataFrame:
-    """For each walk its nodes in the order of the first visit, without the start.
+    """For each start the first nodes of a breadth-first walk in id order, ``max_size`` at most.
 
-    ``size`` is how many nodes are wanted, the start counting towards it. A step goes to a neighbour drawn by weight (uniformly
-    if all weights are 0), or back to the start with probability ``restart`` or from a node without neighbours. Draws are
-    hashes of seed, walk and step, so a repeated run gives the same walks.
+    A node is queued only while cluster and queue together are smaller than that; the queue may hold a node twice. Only the first
+    few neighbours of a node can matter, so hubs stay short. A hop brings the neighbours of all queued nodes to their start at
+    once and works the queue off in order, so ``max_size`` hops in one plan are enough, however long the walk. Null starts have
+    no neighbours, repeated starts count once.
     """
-    near = materialize(_adjacency(edges))
-    state = starts.select(F.col(id_col).alias("walk"), F.col(node_col).alias("start"), size.cast("int").alias("size")).withColumns({"at": F.col("start"), "seen": F.array("start")})
-    steps = walk_length * (starts.agg(F.max(size)).first()[0] or 0)
-    for i in range(steps):
-        busy = F.size("seen") < F.col("size")
-        if i and i % 3 == 0:
-            state = materialize(state)
-            if state.filter(busy).isEmpty():
-                break
-        total = F.aggregate("near", F.lit(0.0), lambda s, x: s + x["weight"])
-        draw = uniform(F.lit(seed), F.col("walk"), F.lit(i), F.lit("next"))
-        by_weight = F.aggregate(
-            "near", F.struct(F.lit(0.0).alias("sum"), F.element_at("near", -1)["id"].alias("id"), F.lit(False).alias("done")),
-            lambda s, x: F.struct((s["sum"] + x["weight"]).alias("sum"), F.when(~s["done"] & (s["sum"] + x["weight"] > draw * total), x["id"]).otherwise(s["id"]).alias("id"), (s["done"] | (s["sum"] + x["weight"] > draw * total)).alias("done")),
-            lambda s: s["id"],
-        )
-        evenly = F.element_at("near", F.least(F.floor(draw * F.size("near")).cast("int") + 1, F.size("near")))["id"]
-        back = (uniform(F.lit(seed), F.col("walk"), F.lit(i), F.lit("back")) < restart) | F.col("near").isNull()
-        to = F.when(~busy, F.col("at")).when(back, F.col("start")).when(total > 0, by_weight).otherwise(evenly)
-        state = state.join(near, "at", "left").withColumn("to", to)
-        state = state.select("walk", "start", "size", F.col("to").alias("at"), F.when(busy & ~F.array_contains("seen", F.col("to")), F.concat("seen", F.array("to"))).otherwise(F.col("seen")).alias("seen"))
-    return state.select("walk", "start", F.slice("seen", 2, F.greatest(F.size("seen") - 1, F.lit(0))).alias("nodes"))
+    near = materialize(_adjacency(edges.filter(F.col("src").isNotNull() & F.col("dst").isNotNull()), 2 * max_size + 1)).select("at", F.transform("near", lambda x: x["id"]).alias("near"))
+    ids = near.schema["near"].dataType.simpleString()
+    none = F.array().cast(ids)
+    state = starts.select(F.col(id_col).alias("start")).distinct().select("start", F.array("start").alias("queue"), none.alias("cluster"))
+
+    def work(s: Column, item: Column) -> Column:
+        rest, grown = F.slice(s["queue"], F.lit(2), F.size(s["queue"])), F.concat(s["cluster"], F.array(item["at"]))
+        room = F.greatest(F.lit(max_size) - F.size(grown) - F.size(rest), F.lit(0))
+        more = F.slice(F.filter(F.coalesce(item["near"], none), lambda x: ~F.array_contains(grown, x)), F.lit(1), room)
+        known = F.exists(s["cluster"], lambda x: x.eqNullSafe(item["at"]))
+        pair = lambda queue, cluster: F.struct(queue.alias("queue"), cluster.alias("cluster"))
+        return F.when(F.size(s["cluster"]) >= max_size, s).when(known, pair(rest, s["cluster"])).otherwise(pair(F.concat(rest, more), grown))
+
+    for _ in range(max_size):
+        each = state.select("start", "queue", "cluster", F.posexplode_outer("queue").alias("pos", "at")).join(near, "at", "left")
+        items = F.array_sort(F.collect_list(F.struct("pos", "at", "near")))
+        whole = each.groupBy("start").agg(F.first("queue").alias("queue"), F.first("cluster").alias("cluster"), F.filter(items, lambda x: x["pos"].isNotNull()).alias("items"))
+        done = F.aggregate("items", F.struct("queue", "cluster"), work)
+        state = whole.select("start", done.alias("s")).select("start", "s.queue", "s.cluster")
+    return state.select("start", "cluster")

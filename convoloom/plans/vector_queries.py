@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import vectors
-from ..operators import graph, similarity, stats
+from ..functions.text import uniform
+from ..operators import graph, joins, records, similarity, stats, walks
+from ..session import materialize
 from .registry import query, table
 
 PAIR, EDGE, TOP, LEADER = 0.4, 0.2, 2, 0.25
@@ -114,7 +116,16 @@ def cosine_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select("vec_id", F.round(vectors.cosine_plain("x", "y"), 6).alias("plain"), F.round(vectors.cosine_graph("x", "y"), 6).alias("graph"), F.round(vectors.cosine_clamped("x", "y"), 6).alias("clamped"), vectors.usable_embedding("x").alias("usable"))
 
 
-@query()
+@query(
+    "WITH RECURSIVE " + GRAPH + """, near AS (SELECT src AS at, list(dst ORDER BY dst) AS near FROM u GROUP BY src),
+b AS (SELECT vec_id AS start, 0 AS i, [vec_id] AS queue, CAST([] AS BIGINT[]) AS cluster FROM e
+  UNION ALL
+  SELECT start, i + 1, CASE WHEN list_contains(cluster, queue[1]) THEN queue[2:]
+    ELSE list_concat(queue[2:], list_filter(coalesce(near, []), lambda x: NOT list_contains(list_append(cluster, queue[1]), x))[1:greatest(0, 6 - len(cluster) - 1 - len(queue[2:]))]) END,
+    CASE WHEN list_contains(cluster, queue[1]) THEN cluster ELSE list_append(cluster, queue[1]) END
+  FROM b LEFT JOIN near ON near.at = b.queue[1] WHERE len(queue) > 0 AND len(cluster) < 6)
+SELECT start, arg_max(cluster, i) AS cluster FROM b GROUP BY start"""
+)
 def bfs_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G3 from every node."""
     return graph.bfs_clusters(_nodes(spark, sf_dir), _edges(spark, sf_dir), 6)
@@ -122,17 +133,25 @@ def bfs_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def random_walk_combos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One walk from every node; combinations of three tools or more, each once."""
-    from ..functions.text import uniform
-    from ..operators import joins, records
-
-    nodes = _nodes(spark, sf_dir)
-    walks = graph.random_walks(nodes.withColumn("walk", F.col("id")), _edges(spark, sf_dir), F.floor(uniform(F.lit(7), F.col("walk"), F.lit("size")) * 4).cast("int") + 3, node_col="id")
-    combos = walks.select("walk", F.concat(F.array("start"), "nodes").cast("array<string>").alias("tools")).filter(F.size("tools") >= 3)
-    record = combos.join(nodes.select(F.col("id").alias("walk"), "label"), "walk").select("walk", records.combination_record(F.col("label").cast("string"), F.col("tools"), F.lit("random_walk")).alias("r")).select("walk", "r.*")
+    """One walk from every node, topped up from its neighbours; combinations of three tools or more, each once."""
+    nodes, edges = _nodes(spark, sf_dir), _edges(spark, sf_dir)
+    size = F.floor(uniform(F.lit(7), F.col("walk"), F.lit("size")) * 4).cast("int") + 2
+    made = walks.related_tools(walks.random_walks(nodes.withColumn("walk", F.col("id")), edges, size, node_col="id"), edges, 5)
+    combos = made.select("walk", F.concat(F.array("start"), "nodes").cast("array<string>").alias("tools")).filter(F.size("tools") >= 3)
+    named = combos.join(nodes.select(F.col("id").alias("walk"), F.col("label").cast("string").alias("label")), "walk")
+    record = named.select("walk", records.combination_record(F.col("label"), F.col("tools"), F.lit("random_walk")).alias("r")).select("walk", "r.*")
     return joins.dedup_combinations(record, "tool_ids", "walk").select("id", "scenario_id", F.array_join("tool_ids", ",").alias("tool_ids"), "generation_method", "tool_count")
 
 
+@query()
+def scenario_combos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An even quota of combinations of three to six tools for every scenario, one for each tool there is."""
+    nodes = materialize(_nodes(spark, sf_dir))
+    made = walks.scenario_combinations(nodes, materialize(_edges(spark, sf_dir)), nodes.count(), scenario_col="label")
+    record = records.combination_record(F.col("scenario").cast("string"), F.col("tools").cast("array<string>"), F.lit("random_walk"))
+    return made.select("number", "start", record.alias("r")).select("number", "start", "r.*").withColumn("tool_ids", F.array_join("tool_ids", ","))
+
+
 @query(
     f"""WITH {GRAPH}, n AS (SELECT vec_id AS a, unnest([lead(vec_id, 1) OVER w, lead(vec_id, 2) OVER w, lead(vec_id, 3) OVER w]) AS b FROM embeddings WINDOW w AS (PARTITION BY label ORDER BY md5('7:' || vec_id), vec_id))
   SELECT DISTINCT least(a, b) AS src, greatest(a, b) AS dst, 0.6::DOUBLE AS weight, 'category' AS edge_type FROM n WHERE b IS NOT NULL AND NOT EXISTS (SELECT 1 FROM g WHERE g.src = least(a, b) AND g.dst = greatest(a, b))"""

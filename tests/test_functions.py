@@ -1,5 +1,6 @@
 import json
 import math
+import time
 
 from pyspark.sql import functions as F
 
@@ -93,3 +94,18 @@ def test_params(monkeypatch):
         except (KeyError, TypeError):
             continue
         raise AssertionError(bad)
+
+
+def test_a_million_braces_take_little_time():
+    for text in ("{" * 1_000_000, '{"a":' * 200_000, "{}" * 500_000, '{"a": {' * 100_000 + '"name": 1}', "}" * 1_000_000, '{"' * 500_000, "{" * 500_000 + "}" * 500_000):
+        began = time.time()
+        J.one_json(text)
+        assert time.time() - began < 12, text[:9]
+
+
+def test_braces_in_and_around_strings():
+    assert J.one_json('say { then {"name": "x}", "v": {"w": 1}}') == '{"name": "x}", "v": {"w": 1}}'
+    assert J.one_json('it is 5" wide: {"name": "a"} ok') == '{"name": "a"}'
+    assert J.one_json('{"open {"name": "a"}') == '{"name": "a"}'
+    assert J.one_json('{"x": "\\\\"}"} and {"name": 2}') == '{"name": 2}' and J.one_json('{"x": 1} {bad} {"y": 2}') == '{"x": 1}'
+    assert J.one_json("} no { object") == "} no { object" and J.one_json("") == ""

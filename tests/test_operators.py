@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from convoloom.config import Params
-from convoloom.operators import conversation, filters, generation, graph, joins, provider, records, sampling, similarity, stats, training
+from convoloom.operators import conversation, filters, generation, graph, joins, provider, records, sampling, similarity, stats, training, walks
 from convoloom.operators.components import connected_components
 
 
@@ -178,7 +178,7 @@ def test_bfs_and_walks(spark):
         got = {r.start: r.cluster for r in graph.bfs_clusters(nodes, edges, size).collect()}
         assert got == {i: brute_bfs(near, i, size) for i in range(31)}
     starts = nodes.withColumn("walk", F.col("id"))
-    walk = lambda **k: {r.walk: r.nodes for r in graph.random_walks(starts, edges, F.lit(4), node_col="id", **k).collect()}
+    walk = lambda **k: {r.walk: r.nodes for r in walks.random_walks(starts, edges, F.lit(4), node_col="id", **k).collect()}
     one = walk()
     assert one == walk() and one[30] == [] and all(len(set(v)) == len(v) <= 3 and k not in v for k, v in one.items())
     assert all(v == [] for v in walk(restart=1.0).values())
