@@ -52,8 +52,9 @@ def ordered_tools_json(items: DataFrame, owner: str, pos: list[str], tool_json:
 
 
 def dedup_combinations(combos: DataFrame, tools_col: str, pos_col: str) -> DataFrame:
-    """D3: the first combination of each set of tools, all groups together."""
-    order = Window.partitionBy(F.array_sort(F.col(tools_col))).orderBy(pos_col)
+    """D3: the first combination of each set of tools, all groups together; of equal positions the least row (maps and variants aside)."""
+    simple = [F.col(f"`{c}`") for c, kind in combos.dtypes if "map<" not in kind and "variant" not in kind]
+    order = Window.partitionBy(F.array_sort(F.col(tools_col))).orderBy(pos_col, *simple)
     return combos.withColumn("__r", F.row_number().over(order)).filter(F.col("__r") == 1).drop("__r")
 
 

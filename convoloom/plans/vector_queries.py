@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors
 from ..functions.text import uniform
-from ..operators import graph, joins, records, similarity, stats, walks
+from ..operators import graph, joins, records, sampling, similarity, stats, walks
 from ..session import materialize
 from .registry import query, table
 
@@ -159,3 +159,19 @@ def scenario_combos(spark: SparkSession, sf_dir: str) -> DataFrame:
 def category_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J13."""
     return graph.group_edges(_nodes(spark, sf_dir), _edges(spark, sf_dir), "id", "label", 0.6, "category")
+
+
+@query(
+    "WITH " + GRAPH + """, n AS (SELECT label, count(*) AS n FROM e GROUP BY label),
+d AS (SELECT label, count(*) AS edges FROM g JOIN e ON vec_id = src GROUP BY label),
+w AS (SELECT label, n * 0.7 + coalesce(edges, 0) / n * 0.3 AS w FROM n LEFT JOIN d USING (label)),
+s AS (SELECT label, 997 * (w::DOUBLE / sum(w::DOUBLE) OVER ()) AS share FROM w),
+f AS (SELECT *, floor(share) AS whole FROM s)
+SELECT label AS "group", CAST(whole + CASE WHEN row_number() OVER (ORDER BY share - whole DESC, label) <= 997 - sum(whole) OVER () THEN 1 ELSE 0 END AS BIGINT) AS quota FROM f"""
+)
+def proportional_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """997 combinations shared out among scenarios by their tools and edges."""
+    nodes = _nodes(spark, sf_dir)
+    edges = _edges(spark, sf_dir).join(nodes.withColumnRenamed("id", "src"), "src").groupBy("label").agg(F.count("*").alias("edges"))
+    sizes = nodes.groupBy("label").agg(F.count("*").alias("n")).join(edges, "label", "left")
+    return sampling.apportion(sizes, 997, "label", F.col("n") * 0.7 + F.coalesce("edges", F.lit(0)) / F.col("n") * 0.3)
