@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..schemas import EVALUATION
 from ..session import ensure_checkpoint_dir
-from ..sources import files
-from .registry import query, table
+from ..sources import files, json_arrays
+from .conversation_queries import training_table
+from .registry import ORACLES, query, table
 
 
 def io_folder(spark: SparkSession, name: str) -> str:
@@ -97,3 +98,33 @@ def folder_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = files.list_files(spark, f"{path}/all/n=0", "*.txt").filter("size > 0").agg(F.count("*").alias("listed"))
     both = good.select("kind", F.lit(1).alias("object")).unionByName(bad.select(F.lit(4).cast("long").alias("kind"), F.lit(0).alias("object")))
     return both.join(F.broadcast(listed)).filter("listed = 1").groupBy("kind").agg(F.count("*").alias("files"), F.sum("object").alias("objects"))
+
+
+@query("SELECT n_nationkey AS id, n_name AS name FROM nation WHERE n_regionkey = 1")
+def latest_time_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the file that was written last, whose name is not the greatest."""
+    path = io_folder(spark, "latest_time")
+    rows = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), "n_regionkey")
+    for name, region in (("run_b", 0), ("run_c", 2), ("run_a", 1)):
+        rows.filter(F.col("n_regionkey") == region).select("id", "name").repartition(1).write.mode("overwrite").json(f"{path}/{name}")
+    return spark.read.schema("id int, name string").json(files.latest_batch(spark, f"{path}/run_*", "*.json"))
+
+
+@query(ORACLES["training_table"])
+def training_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training table written as JSON arrays in parts, and read from these."""
+    path = io_folder(spark, "training")
+    rows = training_table(spark, sf_dir)
+    json_arrays.write_json_array(rows, f"{path}/rows")
+    return json_arrays.read_json_array(spark, f"{path}/rows", rows.schema).drop("position")
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_size AS size FROM part")
+def keyed_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays in which a later item overrules an earlier one of the same id, read by splits."""
+    path = io_folder(spark, "keyed_array")
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"), F.col("p_size").alias("size"))
+    both = parts.withColumn("twice", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("size", F.when(F.col("twice") == 1, F.col("size")).otherwise(-1))
+    by_id = both.repartition("id").sortWithinPartitions("id", "twice").drop("twice")
+    json_arrays.write_json_array(by_id, f"{path}/parts")
+    return json_arrays.read_keyed_array(spark, f"{path}/parts", "id string, name string, size int")
