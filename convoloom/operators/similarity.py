@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -16,8 +18,10 @@ from .components import connected_components
 BLOCK_ROWS, SLICE_ROWS = 4096, 1024
 #: Share of candidates above which a whole product costs less, and pairs that are multiplied at once below it.
 DENSE, PAIRS_AT_ONCE = 0.1, 65_536
-#: Rounds after which what is left of a graph is looked at by component, and pairs of a component that one task scans.
-ROUNDS_A_LOOK, PAIRS_A_SCAN = 12, 500_000
+#: Rounds after which what is left of a graph is looked at as chains, by component and in order, and pairs that one task scans.
+ROUNDS_A_LOOK, PAIRS_A_SCAN = 6, 500_000
+#: Ranges of positions that are counted to find a component's first pairs; where null positions stand.
+RANGES, LAST = 10_000, (1 << 63) - 1
 
 
 def similar_pairs(df: DataFrame, threshold: float, id_col: str, pos_col: str, vec_col: str, group_col: str | None = None, strict: bool = False, top: int | None = None) -> DataFrame:
@@ -101,22 +105,82 @@ def graph_edges(df: DataFrame, threshold: float, top_k: int, id_col: str, pos_co
     return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_k).select("src", "dst", F.col("similarity").alias("weight"), F.lit(edge_type).alias("edge_type"))
 
 
-def _scanned(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The nodes that go (dst) in components of up to PAIRS_A_SCAN pairs, each read in order by one task, and the other pairs."""
+def _scan(own: pd.DataFrame) -> pd.DataFrame:
+    """The nodes that go, of pairs read in order."""
+    gone: set = set()
+    for src, dst in own.sort_values(["src_pos", "src"], kind="stable")[["src", "dst"]].itertuples(index=False):
+        if src not in gone:
+            gone.add(dst)
+    return pd.DataFrame({"dst": list(gone)}, dtype=own["dst"].dtype)
+
+
+def _without(pairs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The pairs of nodes that have not gone."""
+    return materialize(pairs.join(gone, "dst", "left_anti").join(gone.withColumnRenamed("dst", "src"), "src", "left_anti").select(*pairs.columns))
+
+
+def _chains(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The nodes that go (dst) on chains, and the pairs that stay open.
+
+    A node with one open earlier neighbour stays if that one goes, and goes if it stays. So it hangs on where its chain of such nodes
+    begins, with a sign, which pointers that double their reach find: a number of steps that grows with the logarithm of the
+    length. Chains that begin at a node without an earlier neighbour, which stays, are settled at once.
+    """
+    into = materialize(pairs.groupBy("dst").agg(F.count("*").alias("n"), F.min("src").alias("src")))
+    free = pairs.select("src").join(into.select(F.col("dst").alias("src")), "src", "left_anti").distinct()
+    hops = materialize(into.filter("n = 1").select(F.col("dst").alias("node"), F.col("src").alias("root"), F.lit(1).alias("odd")))
+    steps = 0
+    while True:
+        on = hops.select(F.col("node").alias("root"), F.col("root").alias("next"), F.col("odd").alias("more"))
+        hops = materialize(hops.join(on, "root", "left").select("node", F.coalesce("next", "root").alias("root"), (F.col("odd") + F.coalesce("more", F.lit(0))).bitwiseAND(1).alias("odd")))
+        steps += 1
+        if steps % 4 == 0 and hops.join(hops.select(F.col("node").alias("root")), "root", "left_semi").isEmpty():
+            break
+    settled = materialize(hops.join(free.withColumnRenamed("src", "root"), "root", "left_semi").select("node", "odd"))
+    kept = settled.filter("odd = 0").select(F.col("node").alias("src")).union(free)
+    gone = settled.filter("odd = 1").select(F.col("node").alias("dst")).union(pairs.join(kept, "src", "left_semi").select("dst")).distinct()
+    gone = materialize(gone)
+    return gone, _without(pairs, gone)
+
+
+def _components(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The nodes that go (dst) and the pairs that stay open, after a look at the components. One with up to PAIRS_A_SCAN pairs is read
+    in order by a task; of a larger one its earliest pairs are, which settles all nodes up to a position."""
     parts = connected_components(pairs)
-    placed = pairs.join(parts.withColumnRenamed("id", "src"), "src")
-    small = placed.groupBy("component").agg(F.count("*").alias("n")).filter(F.col("n") <= PAIRS_A_SCAN).select("component")
+    placed = materialize(pairs.join(parts.withColumnRenamed("id", "src"), "src"))
+    known = F.when(F.col("dst_pos") < LAST, F.col("dst_pos"))
+    sizes = materialize(placed.groupBy("component").agg(F.count("*").alias("n"), F.max("dst_pos").alias("top"), F.min("src_pos").alias("low"), F.max(known).alias("high")))
+    small = sizes.filter(F.col("n") <= PAIRS_A_SCAN).select("component", "top")
+    width = F.greatest(F.ceil((F.col("high") - F.col("low") + 1) / RANGES), F.lit(1))
+    large = sizes.filter(F.col("n") > PAIRS_A_SCAN).select("component", "low", width.alias("width"))
+    ranges = placed.filter(known.isNotNull()).join(large, "component").groupBy("component", "low", "width", F.floor((F.col("dst_pos") - F.col("low")) / F.col("width")).alias("range")).agg(F.count("*").alias("m"))
+    upto = F.sum("m").over(Window.partitionBy("component").orderBy("range"))
+    tops = ranges.withColumn("upto", upto).filter(F.col("upto") <= PAIRS_A_SCAN).groupBy("component").agg(F.max(F.col("low") + (F.col("range") + 1) * F.col("width") - 1).alias("top"))
+    tops = materialize(small.union(tops))
     kind = pairs.schema["dst"].dataType.simpleString()
+    marked = placed.join(tops, "component", "left")
+    gone = materialize(marked.filter("dst_pos <= top").groupBy("component").applyInPandas(_scan, f"dst {kind}"))
+    later = marked.filter("dst_pos > top or top is null")
+    hit = later.filter("src_pos <= top").join(gone.withColumnRenamed("dst", "src"), "src", "left_anti").select("dst")
+    gone = materialize(gone.union(hit).distinct())
+    return gone, _without(later.filter("src_pos > top or top is null").select(*pairs.columns), gone)
 
-    def scan(own: pd.DataFrame) -> pd.DataFrame:
-        gone: set = set()
-        for src, dst in own.sort_values(["src_pos", "src"], kind="stable")[["src", "dst"]].itertuples(index=False):
-            if src not in gone:
-                gone.add(dst)
-        return pd.DataFrame({"dst": list(gone)}, dtype=own["dst"].dtype)
 
-    gone = materialize(placed.join(small, "component", "left_semi").groupBy("component").applyInPandas(scan, f"dst {kind}"))
-    return gone, materialize(placed.join(small, "component", "left_anti").select(*pairs.columns))
+def settled(pairs: DataFrame) -> DataFrame:
+    """The nodes (dst) that go in the greedy independent set of pairs (src, dst, src_pos, dst_pos), each once, src being earlier."""
+    open_pairs, removed, rounds, looks = pairs, [], 0, 0
+    while not open_pairs.isEmpty():
+        rounds += 1
+        if rounds >= ROUNDS_A_LOOK and (rounds - ROUNDS_A_LOOK) % 2 == 0:
+            gone, open_pairs = (_chains, _components)[looks % 2](open_pairs)
+            looks += 1
+        else:
+            blocked = open_pairs.select(F.col("dst").alias("src")).distinct()
+            lead = open_pairs.join(blocked, "src", "left_anti").select("src").distinct()
+            gone = materialize(open_pairs.join(lead, "src", "left_semi").select("dst").distinct())
+            open_pairs = _without(open_pairs, gone)
+        removed.append(gone)
+    return reduce(DataFrame.union, removed) if removed else pairs.select("dst").limit(0)
 
 
 def leader_clusters(df: DataFrame, threshold: float, id_col: str, pos_col: str, vec_col: str, group_col: str) -> DataFrame:
@@ -124,27 +188,16 @@ def leader_clusters(df: DataFrame, threshold: float, id_col: str, pos_col: str,
     the earliest leader that they resemble. Items without a usable embedding are kept and lead nobody.
 
     That is the greedy independent set of the similarity graph, settled in rounds: items whose earlier neighbours are all
-    decided lead, what resembles them is removed. Long chains of undecided items would take many rounds, so now and then the
-    components that are left are read in order, each by a task if it has few pairs; larger ones go on in rounds, however many
-    it takes. Groups of any size are spread, and the driver sees no rows.
+    decided lead, what resembles them is removed. Now and then what is left is looked at in other ways: chains of items with one
+    undecided neighbour each are settled by pointers, components are read in order, each by a task if it has few pairs, and of
+    larger ones as many of the first pairs as a task may read. Groups of any size are spread, and the driver sees no rows. Ids
+    have to be distinct; items with a null position come last.
     """
     group = F.coalesce(F.col(group_col).cast("string"), F.lit("no_scenario"))
     base = df.withColumn("__g", group)
-    pairs = materialize(similar_pairs(base, threshold, id_col, pos_col, vec_col, "__g").select("src", "dst", "src_pos"))
-    open_pairs, removed, rounds = pairs, None, 0
-    while not open_pairs.isEmpty():
-        rounds += 1
-        if rounds % ROUNDS_A_LOOK == 0:
-            gone, open_pairs = _scanned(open_pairs)
-        else:
-            blocked = open_pairs.select(F.col("dst").alias("src")).distinct()
-            lead = open_pairs.join(blocked, "src", "left_anti").select("src").distinct()
-            gone = materialize(open_pairs.join(lead, "src", "left_semi").select("dst").distinct())
-            rest = open_pairs.join(gone, "dst", "left_anti").join(gone.withColumnRenamed("dst", "src"), "src", "left_anti")
-            open_pairs = materialize(rest)
-        removed = gone if removed is None else removed.union(gone)
-    if removed is None:
-        removed = pairs.select("dst").limit(0)
+    found = similar_pairs(base, threshold, id_col, pos_col, vec_col, "__g")
+    pairs = materialize(found.select("src", "dst", *[F.coalesce(c, F.lit(LAST)).alias(c) for c in ("src_pos", "dst_pos")]))
+    removed = settled(pairs)
     led = pairs.join(removed.withColumnRenamed("dst", "src"), "src", "left_anti").join(removed, "dst", "left_semi")
     leaders = led.groupBy("dst").agg(F.min(F.struct("src_pos", "src")).alias("m")).select(F.col("dst").alias("__id"), F.col("m.src").alias("__leader"))
     out = base.select(F.col(id_col).alias("id"), F.col("__g").alias("group"), usable_embedding(vec_col).alias("usable")).join(leaders, F.col("id") == F.col("__id"), "left")
