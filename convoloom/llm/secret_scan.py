@@ -27,6 +27,8 @@ WINDOW = 20
 #: published digest.
 ALLOWED = re.compile(r"^[0-9-]+$|^[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}$", re.IGNORECASE)
 FILLER = re.compile(r"example|sample|dummy|placeholder|changeme|x{6,}|0{8,}|0123456789|abcdefghij", re.IGNORECASE)
+#: A part between separators, as paths and names with dashes have them: a word, with a few digits behind it, or a number.
+PLAIN_PART = re.compile(r"(?:(?<=[/_+=-])|^)(?:[A-Za-z]?[a-z]{2,}|[A-Z]{3,}|(?=\d))\d{0,4}(?=[/_+=-]|$)")
 ALLOWED_BEFORE = re.compile(r"(?:sha(?:1|256|384|512)|md5|integrity|checksum|commit|etag)[\"']?\s*[:=-]?\s*[\"']?(?:sha\d+-)?$", re.IGNORECASE)
 #: c * log2(c) for every count a window can hold, and one more for the step between two.
 WEIGHT = [0.0, *[c * log2(c) for c in range(1, WINDOW + 2)]]
@@ -66,11 +68,12 @@ def entropy_runs(s: str, least: float, window: int = WINDOW) -> list[tuple[int,
 
 
 def open_stretches(s: str) -> Iterator[tuple[int, int]]:
-    """What is left of a candidate without its harmless stretches."""
+    """What is left of a candidate without its harmless stretches and its plain parts."""
     at = 0
-    for m in FILLER.finditer(s):
-        yield at, m.start()
-        at = m.end()
+    for a, b in sorted(m.span() for p in (FILLER, PLAIN_PART) for m in p.finditer(s) if m.end() - m.start() > 2):
+        if a > at:
+            yield at, a
+        at = max(at, b)
     yield at, len(s)
 
 

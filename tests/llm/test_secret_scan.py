@@ -55,6 +55,16 @@ def test_entropy_and_allow_list():
     assert S.find_spans("0123456789abcdef01234567")[0] == (0, 2, 24) and len(S.find_spans("0123456789abcdef01234567")) == 1
 
 
+def test_paths_and_names_are_no_secrets():
+    for t in (
+        "/usr/local/share/python3/site-packages/numpy/core1", "org/apache/spark/sql/catalyst/expressions2/Add", "my-long-service-name-v2-prod-eu-west-1", "2024/01/15/report_final_v3_copy2",
+        "https://host.io/blog/2024/how-to-write-good-code-in-2024/part-2", "SOME_LONG_CONSTANT_NAME_V2_2024", "lib/python3/dist-packages/PIL/image2",
+    ):
+        assert not [x for x in S.find_spans(t) if x[1] == 3], t
+    for t in ("/srv/keys/wJalrXUtnFEMI/K7MDENG/bPxRfiCYzzKEYab9", "name-aB3dE5gH7jK9mN1pQ2rS4tU6", "v1/aB3dE5-gH7jK9_mN1pQ2+rS4tU6vW8"):
+        assert [x for x in S.find_spans(t) if x[1] == 3], t
+
+
 def test_edges(spark):
     got = S.scan_secrets(edge_docs(spark)).collect()
     assert len(got) == len(EDGES) and all(r.spans == "" and r.base_sha256 == hashlib.sha256(b"").hexdigest() for r in got)
