@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-#: Sub-ranges of the checksum that an id with very many rows is split into.
+#: Fewest sub-ranges of the checksum that an id with very many rows is split into.
 HOT_SPLITS = 32
 #: Copies of one row that a single generator call makes.
 COPIES_A_CHUNK = 8192
@@ -36,7 +36,7 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id",
     Size is the UTF-8 length of the text plus 1 (null text: 1, checksum 0). A row belongs to the shard in which the middle of
     its byte range falls, so shards differ from equal by at most one row's size. Rows with null ids come first. Rows that agree
     in id, size and checksum are counted before any shuffle of single rows and dealt out again in chunks, and an id that fills
-    more than one quantile is split by ranges of its checksum, so neither copies nor one hot id meet in one task.
+    more than one quantile is split by as many ranges of its checksum as its rows need, so neither copies nor one hot id meet in one task.
     An empty table gives no rows; other columns are not looked at.
     """
     size = F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("long") + 1
@@ -50,14 +50,16 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id",
     # A hot id gets a range of its own: one bound just below it and one at it.
     bounds = sorted({*cuts, *[h - 1 for h in hot]})
     is_hot = F.col("doc_id").isNull() | (F.col("doc_id").isin(hot) if hot else F.lit(False))
+    largest = groups.filter(is_hot).groupBy("doc_id").count().agg(F.max("count")).first()[0] or 0
+    splits = max(HOT_SPLITS, -(-largest // rows_a_bucket))
     placed = groups.withColumns(
         {
             "bucket": F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(_ordinal(bounds, F.col("doc_id"))),
-            "part": F.when(is_hot, F.floor(F.col("crc") * HOT_SPLITS / F.lit(float(1 << 32))).cast("int")).otherwise(F.lit(0)),
+            "part": F.when(is_hot, F.floor(F.col("crc") * splits / F.lit(float(1 << 32))).cast("int")).otherwise(F.lit(0)),
             "b": F.col("n") * F.col("size"),
         }
     )
-    # One row per bucket: a few thousand at most, whatever the table's size.
+    # One row per bucket and part: a few thousand, and one for each rows_a_bucket rows of hot ids.
     before = Window.orderBy("bucket", "part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("bucket", "part")

@@ -49,3 +49,16 @@ def test_balanced(spark):
     got = shard_by_bytes(spark.createDataFrame(rows, "doc_id long, text string"), 16).groupBy("shard").sum("size").collect()
     sizes = [r[1] for r in got]
     assert len(sizes) == 16 and max(sizes) - min(sizes) <= 2 * 101
+
+
+def test_a_hot_id_has_as_many_parts_as_its_rows_need(spark):
+    """Null and one hot id with many distinct texts, and few rows a bucket: shards, slots and order are those of a plain count."""
+    texts = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"t{i}" * (1 + i % 5)) for i in range(3000)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = shard_by_bytes(df, 4, rows_a_bucket=10).collect()
+    order = sorted((r.doc_id is not None, r.doc_id or 0, r.text_crc32, r.size, r.shard, r.slot) for r in rows)
+    total, before, slots = sum(r.size for r in rows), 0, {}
+    for _, _, _, size, shard, slot in order:
+        assert shard == min(3, (2 * before + size) * 4 // (2 * total)) and slot == slots.get(shard, 0)
+        slots[shard] = slot + 1
+        before += size
