@@ -49,3 +49,29 @@ FROM d JOIN c{rounds} c USING (k)
 
 
 CENTROIDS = _centroids()
+
+#: Windows of eight words that a text holds twice or more, and the words in them.
+COUNTS = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^ \t\n\x0B\f\r]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS lines FROM d),
+g AS (SELECT r, unnest(range(1, len(w) - 6)) AS i, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) AS g FROM w WHERE len(w) > 7),
+h AS (SELECT r, i FROM g QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+c AS (SELECT r, count(DISTINCT i + k) AS n FROM h, range(8) AS x(k) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+  len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(w) < 20 OR 100 * coalesce(n, 0) > 30 * len(w) AS base_failed
+FROM w LEFT JOIN c USING (r)
+"""
+
+#: Words and an end for every text; the texts of nine ids in ten, by crc32, are counted.
+BASE_SCORES = r"""
+WITH tbl AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i)) AS t),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id IS NULL OR
+    xor(list_reduce(list_transform(regexp_extract_all(hex(encode(CAST(doc_id AS VARCHAR))), '..'), lambda h: ('0x' || h)::BIGINT), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) % 10 = 0, true) AS held_out,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0B\f\r]+') AS w
+  FROM documents, tbl),
+k AS (SELECT r, held_out, unnest(list_append(w, '')) AS word FROM d),
+c AS (SELECT word, count(*) AS c FROM k WHERE NOT held_out GROUP BY word),
+s AS (SELECT CAST(sum(c) AS BIGINT) AS n, count(*) AS v FROM c),
+x AS (SELECT r, count(*) AS n_tokens, count(c) AS n_known, sum(log10((coalesce(c, 0) + 0.1::DOUBLE) / (n + 0.1::DOUBLE * (v + 1)))) AS b FROM k LEFT JOIN c USING (word), s GROUP BY r)
+SELECT doc_id, held_out, n_tokens, n_known, n AS train_tokens, round(b, 4) AS base_score FROM x JOIN d USING (r), s
+"""

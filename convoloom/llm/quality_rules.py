@@ -200,6 +200,18 @@ def apply_rules(docs: DataFrame, forest: Forest, least: float = 0.5, id_col: str
     return rows.select("doc_id", *STATS, failed.alias("base_failed"), (~failed & (F.col("quality") >= least)).alias("kept"), "quality")
 
 
+def document_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: the counts and base_failed of ``apply_rules``, without a model; its edge cases hold."""
+
+    @F.pandas_udf(", ".join(f"{c} long" for c in STATS))
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield pd.DataFrame([text_stats(t)[0] for t in texts], columns=list(STATS), dtype="int64")
+
+    rows = bounded(docs).select(F.col(id_col).alias("doc_id"), count(F.col(text_col)).alias("s")).select("doc_id", "s.*")
+    return rows.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
+
+
 def quality_rules(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> DataFrame:
     """Train on the labelled part of ``docs`` and judge all of it."""
     return apply_rules(docs, train(docs, labels, max_labelled))

@@ -6,6 +6,7 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import (
     decontamination,
@@ -91,6 +92,17 @@ def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exponion.cluster_vectors(_table(spark, sf_dir, "embeddings"), 16, 3)
 
 
+def document_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of op1's contract alone, which SQL can give."""
+    return quality_rules.document_counts(_table(spark, sf_dir, "documents"))
+
+
+def base_word_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op10 that do not come from its model, which SQL can give."""
+    scored = lm_score.score_documents(_table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_secret_scans": op2_secret_scans,
@@ -105,6 +117,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_html_extraction": op11_html_extraction,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_centroid_clustering": op13_centroid_clustering,
+    "document_counts": document_counts,
+    "base_word_scores": base_word_scores,
 }
 
-ORACLES: dict[str, str] = {"op5_jaccard_join": oracles.JACCARD, "op7_sharding": oracles.SHARDING, "op13_centroid_clustering": oracles.CENTROIDS}
+ORACLES: dict[str, str] = {
+    "op5_jaccard_join": oracles.JACCARD,
+    "op7_sharding": oracles.SHARDING,
+    "op13_centroid_clustering": oracles.CENTROIDS,
+    "document_counts": oracles.COUNTS,
+    "base_word_scores": oracles.BASE_SCORES,
+}
