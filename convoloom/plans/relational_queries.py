@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import filters, joins, records, sampling, stats
+from ..operators import entities, filters, joins, records, sampling, stats
 from ..schemas import DIFFICULTIES
 from .registry import query, table
 
@@ -514,3 +514,36 @@ def user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..streaming import sessions
 
     return sessions.session_windows(table(spark, sf_dir, "events")).select("user_id", "n", F.col("start").cast("timestamp_ntz").alias("start"))
+
+
+@query(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS agent_id, CASE WHEN o_orderkey % 3 = 0 THEN 'simple' WHEN o_orderkey % 3 = 1 THEN 'complex' END AS difficulty,
+    len(o_orderpriority) + 1 AS n_tools, o_orderdate + INTERVAL 5 MICROSECOND AS created_at, CAST(NULL AS VARCHAR) AS error
+  FROM orders WHERE o_orderkey % 7 <> 0
+  UNION ALL SELECT CAST(o_orderkey AS VARCHAR), NULL, NULL, 0, NULL, CASE WHEN o_orderkey % 2 = 0 THEN 'unknown difficulty' ELSE 'no agent_id' END FROM orders WHERE o_orderkey % 7 = 0"""
+)
+def entity_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tasks as JSON with times, lists, nested records and enumerations, and read back with rejects."""
+    key, odd = F.col("o_orderkey"), F.col("o_orderkey") % 7 == 0
+    level = F.when(odd & (key % 2 == 0), "hard").when(key % 3 == 0, "simple").when(key % 3 == 1, "complex")
+    rubric = F.struct(F.array("o_orderstatus").alias("success_criteria"), F.array().cast("array<string>").alias("tool_usage_expectations"), F.array("o_orderpriority").alias("checkpoints"))
+    tools = F.transform(F.sequence(F.lit(0), F.length("o_orderpriority")), lambda i: i.cast("string"))
+    text = entities.to_entity_json(
+        key.cast("string").alias("id"), F.when(~odd | (key % 2 == 0), F.col("o_custkey").cast("string")).alias("agent_id"), level.alias("difficulty"), tools.alias("expected_tools"),
+        rubric.alias("rubric"), (F.col("o_orderdate").cast("timestamp") + F.expr("interval 5 microseconds")).alias("created_at"), nulls=False,
+    )
+    rows, bad = entities.entities_from_json(table(spark, sf_dir, "orders").select(key.cast("string").alias("key"), text.alias("j")), "j", "task")
+    good = rows.select("id", "agent_id", "difficulty", F.size("expected_tools").cast("long").alias("n_tools"), F.col("created_at").cast("timestamp_ntz").alias("created_at"), F.lit(None).cast("string").alias("error"))
+    return good.union(bad.select("key", F.lit(None), F.lit(None), F.lit(0), F.lit(None).cast("timestamp_ntz"), "error"))
+
+
+@query(
+    """SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'friendly' WHEN 1 THEN 'impatient' WHEN 2 THEN 'cautious' WHEN 3 THEN 'casual' END AS personality,
+  CASE c_custkey % 5 WHEN 0 THEN 'warm and polite, thanks for help and forgives slips' WHEN 1 THEN 'wants answers at once and has little time for questions'
+    WHEN 2 THEN 'checks every step and asks what might go wrong' WHEN 3 THEN 'relaxed, talks as to a friend and leaves details open' END AS note FROM customer"""
+)
+def persona_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a personality is like, by a lookup; unknown ones have no note."""
+    kinds = F.array(*[F.lit(k) for k in entities.PERSONALITY_NOTES])
+    named = table(spark, sf_dir, "customer").select("c_custkey", F.get(kinds, (F.col("c_custkey") % 5).cast("int")).alias("personality"))
+    return named.withColumn("note", entities.describe(F.col("personality"), entities.PERSONALITY_NOTES))

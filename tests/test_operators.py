@@ -396,3 +396,19 @@ def test_combination_distributions(spark):
     assert got == {("size", "2"): 1, ("size", "1"): 1, ("size", "0"): 1, ("method", "w"): 3, ("method", ""): 1, ("scenario", "s"): 2, ("scenario", ""): 1}
     one = stats.agent_stats(combos.filter("size(tool_ids) > 1"), "tool_ids", combos).first()
     assert one.success_rate == 0.25 and stats.agent_stats(combos.limit(0), "tool_ids", combos.limit(0)).first().success_rate == 0.0
+
+
+def test_entities_from_json(spark):
+    from convoloom.operators import entities
+
+    rows = frame(spark, [
+        ('{"id": "1", "agent_id": "a", "difficulty": "simple", "rubric": {"checkpoints": ["x (y)"]}, "created_at": "2024-01-02T03:04:05", "more": 1}',), ('{"id": "2", "agent_id": "a", "created_at": "2024-01-02T03:04:05.000006"}',),
+        ('{"id": "3"}',), ('{"id": "4", "agent_id": "a", "task_type": "endless"}',), ("[1]",), ("{bad",), (None,), ('{"id": "1", "agent_id": "a", "expected_tools": 5}',),
+    ], "j string")
+    good, bad = entities.entities_from_json(rows, "j", "task")
+    got = {(r.id, r.difficulty, str(r.created_at)) for r in good.collect()}
+    assert got == {("1", "simple", "2024-01-02 03:04:05"), ("2", None, "2024-01-02 03:04:05.000006"), ("1", None, "None")}
+    assert sorted(r.error for r in bad.collect()) == ["no agent_id", "no object", "no object", "no object", "unknown task_type"]
+    assert good.filter("rubric is not null").first().rubric.checkpoints == ["x (y)"]
+    again, none = entities.entities_from_json(good.select(entities.to_entity_json(*good.columns).alias("j")), "j", "task")
+    assert sorted(map(str, again.collect())) == sorted(map(str, good.collect())) and none.count() == 0
