@@ -39,7 +39,7 @@ AROUND = frozenset(
     "sidebar aside side rail widget widgets related recommended recommendations popular trending more secondary "
     "cookie cookies consent gdpr privacy notice alert popup modal overlay announcement message warning newsletter subscribe subscription paywall dialog "
     "comment comments commentlist response responses respond reply replies discussion disqus feedback reviews "
-    "share sharing social follow tags meta byline print tools login signup signin search form contentinfo complementary".split()
+    "bar top strip ticker share sharing social follow tags meta byline print tools login signup signin search form contentinfo complementary".split()
 )
 CONTENT = frozenset("content article post entry story main body text hentry prose maincontent".split())
 #: A name of several words is about its last known word, but for these, which rule wherever they stand.
@@ -83,11 +83,13 @@ class Forest:
             for i, (up, tag, names, hidden) in enumerate(zip(page.parent, page.tag, page.names, page.hidden, strict=True)):
                 k = _OF_TAG.get(tag, "box")
                 say = told(names) if names and k != "root" else 0
-                say = say or (1 if k in ("edge", "form") else 2 if k == "article" else 0)
+                above = inherited[base + up] if i else 0
+                # An article among comments is one of them, and a header in the content belongs to it.
+                say = say or (above != 2 if tag == "header" else 1 if k in ("edge", "form") else 2 * (above != 1) if k == "article" else 0)
                 parent.append(base + up if i else -1)
                 kind.append(_KIND[k])
                 named.append(say)
-                inherited.append(say or (inherited[base + up] if i else 0))
+                inherited.append(say or above)
                 never.append(hidden or tag in UNSEEN or (i > 0 and never[base + up]))
                 own.append(0)
                 linked.append(k == "link" or (i > 0 and linked[base + up]))
@@ -147,7 +149,7 @@ def marginals(f: Forest, weights: np.ndarray, pair: np.ndarray) -> tuple[np.ndar
     ``pair`` has [kind of link, parent's state, own state]. Messages go up a depth at a time, and then down."""
     up = np.zeros((len(f.parent), 2))
     up[:, 1] = np.where(f.never, NEVER, weights[f.features].sum(1))
-    edge = pair[f.between]
+    edge = np.where(f.never[:, None, None], 0.0, pair[f.between])  # what is not shown tells nothing
     message = np.zeros_like(up)
     for level in f.levels[:0:-1]:
         message[level] = _lse(edge[level] + up[level][:, None, :], 2)
@@ -168,12 +170,19 @@ def marginals(f: Forest, weights: np.ndarray, pair: np.ndarray) -> tuple[np.ndar
 
 
 def run_labels(runs: list[tuple[int, str]], text: str) -> list[bool]:
-    """Which runs of a page make up its main text, read in order and without white space."""
-    rest, at, out = "".join(text.split()), 0, []
-    for node, piece in runs:
+    """Which runs of a page make up its main text, read in order and without white space.
+
+    A run may equal the next part of the text by chance, so both readings are followed; the one that covers most of the text counts."""
+    rest = "".join(text.split())
+    ways: dict[int, tuple] = {0: ()}  # length covered: the runs that cover it, the last first
+    for i, (node, piece) in enumerate(runs):
         piece = "".join(piece.split()) if node >= 0 else ""
-        out.append(bool(piece) and rest.startswith(piece, at))
-        at += len(piece) * out[-1]
+        if piece:
+            ways |= {at + len(piece): (i, way) for at, way in ways.items() if rest.startswith(piece, at)}
+    way, out = ways[max(ways)], [False] * len(runs)
+    while way:
+        i, way = way
+        out[i] = True
     return out
 
 
@@ -194,10 +203,10 @@ def node_labels(f: Forest, texts: list[str]) -> np.ndarray:
 
 
 def train(pages: list[tuple[str, str]], steps: int = 250, rate: float = 0.3, shrink: float = 0.0002) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of features and of pairs that maximise the likelihood of labelled pages, by gradient steps of adapted size."""
+    """Weights of features and of pairs that maximise the likelihood of labelled pages, by gradient steps of adapted, falling size."""
     f = Forest([html for html, _ in pages])
     label = node_labels(f, [text for _, text in pages]).astype(int)
-    low = np.flatnonzero(f.parent >= 0)
+    low = np.flatnonzero((f.parent >= 0) & ~f.never)
     seen = np.bincount(f.features[~f.never].ravel(), np.repeat(label[~f.never], f.features.shape[1]), FEATURES)
     links = len(KINDS) * 18
     cells = f.between[low] * 4 + label[f.parent[low]] * 2 + label[low]
@@ -210,12 +219,12 @@ def train(pages: list[tuple[str, str]], steps: int = 250, rate: float = 0.3, shr
         joint = np.bincount((f.between[low][:, None] * 4 + np.arange(4)).ravel(), both[low].ravel(), links * 4).reshape(links, 2, 2)
         gradient = np.concatenate([seen - expected, (pairs - joint).ravel()]) / len(pages) - shrink * x
         first, second = 0.9 * first + 0.1 * gradient, 0.99 * second + 0.01 * gradient**2
-        x += rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-8)
+        x += rate * (1 - t / (steps + 1)) * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-8)
     return x[:FEATURES], x[FEATURES:].reshape(links, 2, 2)
 
 
 @lru_cache(maxsize=2)
-def standard_model(pages: int = 300, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+def standard_model(pages: int = 400, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """The model of the generated labelled pages."""
     return train(labelled_pages(pages, seed))
 
@@ -233,7 +242,7 @@ def extract_text(
 ) -> DataFrame:
     """One row per page row: page_id, url, text (empty if there is none), n_chars (code points of the text).
 
-    ``labelled`` has (html, main text) pairs to train on, and 300 generated pages stand in for it. It has to fit the driver; its
+    ``labelled`` has (html, main text) pairs to train on, and 400 generated pages stand in for it. It has to fit the driver; its
     size does not depend on ``pages``. Null and empty pages, and pages without content, have an empty text; broken markup is read
     as far as it goes; whole pages are read at any length; repeated rows and null ids stay; an empty table gives no rows; other
     columns are not looked at. One pass without a shuffle; workers hold an Arrow batch of pages.

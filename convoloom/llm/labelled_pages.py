@@ -27,7 +27,8 @@ class PageMaker:
     def __init__(self, seed: int):
         self.r = random.Random(seed)
         self.out: list[tuple[str, bool]] = []
-        self.plain, self.short = False, 0.0  # a page without names; the share of paragraphs of a few words
+        #: A page without names; the share of paragraphs of a few words; whether the article stands in an element of its own.
+        self.plain, self.short, self.wrapped = False, 0.0, True
 
     def words(self, low: int, high: int) -> str:
         r = self.r
@@ -78,12 +79,14 @@ class PageMaker:
         elif kind == "footer":
             end = self.box(kind, ("footer", "div", "p") if not self.plain else ("footer",))
             self.add(r.choice(("&copy; ", "", "<p>")), self.words(2, 9) + r.choice(("", ".")))
-            if r.random() < 0.4:
+            if r.random() < 0.4 and end != "</p>":
                 self.links(r.randint(2, 8))
-            elif r.random() < 0.3:
+            elif r.random() < 0.3 and end != "</p>":
                 self.add("<p>", self.prose(2))
         elif kind == "sidebar":
             end = self.box(kind, ("aside", "div", "section") if not self.plain else ("aside",))
+            if r.random() < 0.3:
+                self.add(r.choice(("", "<p>")), self.prose(3))
             for _ in range(r.randint(1, 3)):
                 self.add(r.choice(("<h3>", "<h4>", "<b>")), self.words(1, 4))
                 self.add("</h3>")
@@ -94,13 +97,17 @@ class PageMaker:
                     self.add("</p>")
         elif kind in ("notice", "advert"):
             end = self.box(kind, ("div", "section", "p", "aside"))
-            self.add(r.choice(("", "<p>", "<span>")), self.prose(3))
+            self.add(r.choice(("", "<p>", "<span>") if end != "</p>" else ("", "<span>")), self.prose(3))
             if r.random() < 0.4:
                 self.add('<a href="/more">', self.words(1, 3))
                 self.add("</a>")
             if r.random() < 0.3:
                 self.add("<button>", self.words(1, 2))
                 self.add("</button>")
+        elif kind == "comments" and r.random() < 0.3:
+            end = self.box(kind, ("ul", "ol", "div"))
+            for _ in range(r.randint(1, 6)):
+                self.add(r.choice(("<li>", "<li>", "<p>")), self.prose(4))
         elif kind == "comments":
             end = self.box(kind, ("div", "section"))
             self.add("<h3>", self.words(1, 3))
@@ -117,12 +124,15 @@ class PageMaker:
                     self.add("</a>")
                 self.add(inner)
         elif kind == "share":
-            end = self.box(kind, ("div", "ul"))
-            self.links(r.randint(2, 5))
+            end = self.box(kind, ("div", "div", "ul"))
+            if r.random() < 0.3 and end == "</div>":
+                self.add("", self.words(1, 4))
+            else:
+                self.links(r.randint(2, 5))
         else:
             end = self.box(kind, ("form",) if r.random() < 0.8 or self.plain else ("div",))
             for _ in range(r.randint(1, 4)):
-                self.add(r.choice(("<label>", "<p>", "<div>", "")), self.words(1, 6))
+                self.add(r.choice(("<label>", "<p>", "")), self.words(1, 6))
                 self.add(r.choice(("<input>", "<textarea>x y</textarea>", "<select><option>one<option>two</select>", "</p>")))
             self.add("<button>", self.words(1, 2))
             self.add("</button>")
@@ -177,7 +187,7 @@ class PageMaker:
     def article(self) -> None:
         r = self.r
         if r.random() < 0.85:
-            head = r.random() < 0.2
+            head = self.wrapped and r.random() < 0.2
             self.add("<header><h1>" if head else "<h1>", self.words(1, 12), True)
             self.add("</h1></header>" if head else "</h1>")
         self.short = r.choice((0, 0, 0.1, 0.3, 1))
@@ -186,7 +196,7 @@ class PageMaker:
         for _ in range(r.choice((1, 2, 4, 8, 16, 40))):
             self.paragraph()
             if r.random() < 0.08 and not self.plain:
-                self.around(r.choice(("advert", "share", "sidebar", "notice", "form")))
+                self.around(r.choice(("advert", "share", "sidebar", "sidebar", "notice", "form")))
 
     def simple(self) -> None:
         """A page with nothing around a little text."""
@@ -223,7 +233,10 @@ class PageMaker:
             else (f"<div{named}>", "</div>") if wrap < 0.87 else (f"<table><tr><td{named}>", "</table>") if wrap < 0.92 else (f"<section{named}>", "</section>") if wrap < 0.97 else ("", "")
         )
         self.add(open_)
+        self.wrapped = "article" in open_ or "main" in open_ or "class=" in open_
         self.article()
+        if self.wrapped and not self.plain and r.random() < 0.15:
+            self.around("comments")
         self.add(close)
         for kind in ("share", "advert", "comments", "form", "sidebar", "notice", "footer"):
             if r.random() < (0.8 if kind == "footer" else 0.3) and not (self.plain and kind not in ("footer", "sidebar", "form")):

@@ -87,6 +87,12 @@ def test_marginals_equal_all_states(seed, n):
     assert np.allclose(p, weights / total) and np.allclose(both, joint / total) and np.isclose(z, np.log(total))
 
 
+def test_labels_of_runs_that_match_by_chance():
+    runs = [(1, "a"), (-1, ""), (2, "a b c"), (3, "x")]
+    assert X.run_labels(runs, "a b c x") == [False, False, True, True]
+    assert X.run_labels(runs, "") == [False] * 4 and X.run_labels([], "a") == []
+
+
 def test_gradient_is_that_of_the_likelihood():
     """Training raises the likelihood of labels: its steps follow observed less expected counts."""
     pages = labelled_pages(30, 3)
@@ -94,7 +100,7 @@ def test_gradient_is_that_of_the_likelihood():
     label = X.node_labels(f, [t for _, t in pages]).astype(int)
 
     def likelihood(w, pair):
-        low = np.flatnonzero(f.parent >= 0)
+        low = np.flatnonzero((f.parent >= 0) & ~f.never)
         own = np.where(f.never, X.NEVER, w[f.features].sum(1))
         return (own * label).sum() + pair[f.between[low], label[f.parent[low]], label[low]].sum() - X.marginals(f, w, pair)[2]
 
@@ -106,7 +112,7 @@ def test_gradient_is_that_of_the_likelihood():
 def test_held_out_pages(model):
     pages = labelled_pages(200, 77)
     got = X.main_texts([h for h, _ in pages], *model)
-    assert np.mean([f1(g, t) for g, (_, t) in zip(got, pages, strict=True)]) > 0.97
+    assert np.mean([f1(g, t) for g, (_, t) in zip(got, pages, strict=True)]) > 0.98
 
 
 def test_hand_written_pages(model):
@@ -121,7 +127,7 @@ def test_hand_written_pages(model):
         '<div id="page"><nav class="menu"><a href=a>A</a></nav><div class="post"><div class="post-content"><div>Line one of text<br>Line two of text</div><div class="share-buttons"><a href=x>Tweet</a></div>'
         '<table><tr><td>cell a<td>cell b</table></div><ol class="commentlist"><li class="comment"><p>Reader says something long enough to be prose, yes.</p></li></ol></div></div>':
         "Line one of text Line two of text cell a cell b",
-        "<h1>A page</h1><p>some words of text, long enough.</p><script>var a = '<p>no</p>'</script><style>p{}</style><p hidden>no</p><noscript>no</noscript>": "A page some words of text, long enough.",
+        "<h1>A page</h1><p>some words of text, long enough.</p><p>And more of them, in a second paragraph of the page.</p><script>var a = '<p>no</p>'</script><style>p{}</style><p hidden>no</p><noscript>no</noscript>": "A page some words of text, long enough. And more of them, in a second paragraph of the page.",
     }
     assert X.main_texts(list(cases), *model) == list(cases.values())
 
