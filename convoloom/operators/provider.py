@@ -37,9 +37,15 @@ def stub_embedding(text: str, width: int) -> list[float]:
     return (v / np.linalg.norm(v)).tolist()
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` evenly over the shuffle's partitions. A call costs far more than its row, so a small file that Spark reads in one task
+    may not leave all its calls to that task; with a number given, partitions are not joined again."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *rows.columns)
+
+
 def complete(df: DataFrame, key: str, prompt: str, provider: Provider = stub_provider, tries: int = 2) -> DataFrame:
     """M1, M2, M4-M8: (key, content, error) for every prompt; each is tried ``tries`` times at most and no row is dropped."""
-    rows = df.select(F.col(key), F.col(prompt).alias("prompt"))
+    rows = _dealt(df.select(F.col(key), F.col(prompt).alias("prompt")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def ask(p: str | None) -> tuple[str | None, str | None]:
@@ -60,7 +66,7 @@ def complete(df: DataFrame, key: str, prompt: str, provider: Provider = stub_pro
 
 def embed(df: DataFrame, key: str, text: str, width: int = 256, model: Callable[[str, int], list[float]] = stub_embedding) -> DataFrame:
     """M3, M9: (key, embedding, error); a failed text has a null vector."""
-    rows = df.select(F.col(key), F.col(text).alias("text"))
+    rows = _dealt(df.select(F.col(key), F.col(text).alias("text")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
