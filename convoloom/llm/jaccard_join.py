@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
+from ..operators.components import forest as _forest
 from ..session import materialize
 from .memory import bounded, tidy
 
@@ -163,28 +164,6 @@ def _alike(n1: np.ndarray, s1: np.ndarray, n2: np.ndarray, s2: np.ndarray) -> np
     return (small >= SIMILARITY * large) & ((s1 == s2).sum(axis=1) >= AGREE)
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that join the same nodes as (a, b) do, one for each node that is not a root."""
-    if not len(a):
-        return a, b
-    ids, at = np.unique(np.concatenate((a, b)), return_inverse=True)
-    x, y = at[: len(a)], at[len(a) :]
-    root = np.arange(len(ids))
-    while True:
-        low = np.minimum(root[x], root[y])
-        new = root.copy()
-        np.minimum.at(new, root[x], low)
-        np.minimum.at(new, root[y], low)
-        new = new[new]
-        while (new != new[new]).any():
-            new = new[new]
-        if (new == root).all():
-            break
-        root = new
-    moved = np.flatnonzero(root != np.arange(len(ids)))
-    return ids[moved], ids[root[moved]]
-
-
 def _edge_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["src", "dst"])
 
@@ -346,7 +325,7 @@ def _candidate_clusters(rows: DataFrame, feat: DataFrame) -> DataFrame:
     for level in range(1, DEPTH + 1):
         if level > 1:
             if level == 2:
-                waiting = materialize(placed.join(_few(above), "path", "left_semi").select("rid").distinct())
+                waiting = materialize(near.join(_few(above), "path", "left_semi").select("rid").distinct())
                 deep = materialize(_deep(rows.join(_few(waiting), "rid", "left_semi")))
             texts = deep.filter(F.col("level") == level).join(_few(above.withColumnRenamed("path", "above")), "above", "left_semi").select("rid", "path")
             texts = texts.join(marks.select("rid", "n", "sketch", "cluster"), "rid")
@@ -359,12 +338,11 @@ def _candidate_clusters(rows: DataFrame, feat: DataFrame) -> DataFrame:
         big = counts.filter(F.col("c") > SMALL).select("path")
         if big.isEmpty():
             break
-        placed = _beside_first(texts.join(send(big), "path", "left_semi"), few)
-        split = F.col("left") > F.greatest(F.lit(SMALL), F.col("c") / 2)
-        settled = placed
+        near, left = _beside_first(texts.join(send(big), "path", "left_semi"), few)
         if level < DEPTH:
-            settled, above = placed.filter(~split), materialize(placed.filter(split).select("path").distinct())
-        edges += _settle(settled)
+            split = F.col("left") > F.greatest(F.lit(SMALL), F.col("c") / 2)
+            above, left = materialize(left.filter(split).select("path")), left.filter(~split)
+        edges += _settle(near, left, few)
         if level == DEPTH or above.isEmpty():
             break
     out = edges[0]
@@ -373,23 +351,26 @@ def _candidate_clusters(rows: DataFrame, feat: DataFrame) -> DataFrame:
     return _clusters(out, found)
 
 
-def _beside_first(rows: DataFrame, few: bool) -> DataFrame:
-    """The distinct members of large buckets with the bucket's size ``c``, its first text ``root``, whether a member looks like
-    it (``near``), and how many do not (``left``). ``few``: there are few enough buckets to broadcast a row for each."""
+def _beside_first(rows: DataFrame, few: bool) -> tuple[DataFrame, DataFrame]:
+    """The distinct members of large buckets with the bucket's first text ``root`` and whether a member looks like it (``near``);
+    and (path, c, left), how many members a bucket has and how many of them do not. ``few``: there are few enough buckets to
+    broadcast a row for each."""
     sent = F.broadcast if few else lambda df: df
 
     rows = materialize(rows.select("path", "rid", "n", "sketch").distinct())
-    first = rows.groupBy("path").agg(F.count("*").alias("c"), F.min(F.struct("rid", "n", "sketch")).alias("first"))
-    near = rows.join(sent(first), "path").select("path", "rid", "n", "sketch", "c", F.col("first.rid").alias("root"), _like("n", "sketch", "first.n", "first.sketch").alias("near"))
+    first = rows.groupBy("path").agg(F.min(F.struct("rid", "n", "sketch")).alias("first"))
+    near = rows.join(sent(first), "path").select("path", "rid", "n", "sketch", F.col("first.rid").alias("root"), _like("n", "sketch", "first.n", "first.sketch").alias("near"))
     near = materialize(near)
-    left = near.groupBy("path").agg(F.count_if(~F.col("near")).alias("left"))
-    return near.join(sent(left), "path")
+    return near, materialize(near.groupBy("path").agg(F.count("*").alias("c"), F.count_if(~F.col("near")).alias("left")))
 
 
-def _settle(placed: DataFrame) -> list[DataFrame]:
-    """Edges inside large buckets: stars of the near, and the others against all members in blocks."""
-    stars = placed.filter(F.col("near") & (F.col("rid") != F.col("root"))).select(F.col("rid").alias("src"), F.col("root").alias("dst"))
-    open_ = placed.filter(F.col("left") > 0).withColumns({"blocks": F.ceil(F.col("c") / BUCKET_BLOCK).cast("int"), "pblocks": F.ceil(F.col("left") / BUCKET_BLOCK).cast("int")})
+def _settle(near: DataFrame, left: DataFrame, few: bool) -> list[DataFrame]:
+    """Edges inside the large buckets of ``left``: stars of the near, and the others against all members in blocks. Only members of
+    buckets with such others meet the bucket's counts."""
+    sent = F.broadcast if few else lambda df: df
+    stars = near.join(sent(left.select("path")), "path", "left_semi").filter(F.col("near") & (F.col("rid") != F.col("root"))).select(F.col("rid").alias("src"), F.col("root").alias("dst"))
+    open_ = near.join(sent(left.filter(F.col("left") > 0)), "path").withColumns({"blocks": F.ceil(F.col("c") / BUCKET_BLOCK).cast("int"), "pblocks": F.ceil(F.col("left") / BUCKET_BLOCK).cast("int")})
+    open_ = materialize(open_)
     block = lambda n: F.pmod(F.xxhash64("rid"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     members = open_.select("path", block(F.col("blocks")).alias("mb"), every(F.col("pblocks")).alias("pb"), "rid", "n", "sketch", F.lit(False).alias("probe"))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import ceil
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,13 +32,54 @@ def _rewire(pairs: DataFrame, parts: int) -> DataFrame:
     return dealt.join(parts, ["u", "part"]).drop("part")
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that join the same nodes as (a, b) do: every node that is not the least of its component, with that one."""
+    if not len(a):
+        return a, b
+    ids, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    root = np.arange(len(ids))
+    while True:
+        low = np.minimum(root[x], root[y])
+        new = root.copy()
+        np.minimum.at(new, root[x], low)
+        np.minimum.at(new, root[y], low)
+        new = new[new]
+        while (new != new[new]).any():
+            new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    moved = np.flatnonzero(root != np.arange(len(ids)))
+    return ids[moved], ids[root[moved]]
+
+
+def _contract(edges: DataFrame) -> DataFrame:
+    """The edges (u, v) of every partition as stars around the least node of what they join; a partition holds about EDGES_A_PARTITION."""
+    schema = edges.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = [b for b in batches if b.num_rows]
+        if batches:
+            t = pa.Table.from_batches(batches).combine_chunks()
+            ends = pa.concat_arrays([c.chunk(0) for c in t.columns])
+            ids = pc.unique(ends)
+            ids = ids.take(pc.sort_indices(ids))  # places in the order of Spark's comparison
+            at = pc.index_in(ends, ids).to_numpy()
+            a, b = forest(at[: t.num_rows], at[t.num_rows :])
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(a)), ids.take(pa.array(b))], names=t.column_names)
+
+    return edges.mapInArrow(run, schema)
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
     """(id, component) for every node of ``edges``; the component is its least node.
 
-    Each round hangs larger neighbours (large star), then smaller ones (small star), on the least node nearby, which takes a
-    number of rounds that grows with the logarithm of the diameter. Self-edges keep lone nodes; null ends are left out; repeated
-    edges count once; an empty table gives no rows. The edges of every round are cut off through the checkpoint folder; the
-    driver sees only counts.
+    Partitions of a bounded number of edges are made stars each on its own, so that a round has at most as many edges as a partition
+    has nodes; edges of a single partition are settled by that. Each round hangs larger neighbours (large star), then smaller
+    ones (small star), on the least node nearby, which takes a number of rounds that grows with the logarithm of the diameter.
+    Self-edges keep lone nodes; null ends are left out; repeated edges count once; an empty table gives no rows. The edges of
+    every round are cut off through the checkpoint folder; the driver sees only counts.
     """
     ends = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).filter(F.col("a").isNotNull() & F.col("b").isNotNull())
     ends = materialize(ends.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
@@ -42,9 +87,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     parts = max(1, ceil(ends.count() / EDGES_A_PARTITION))
     ends = ends.coalesce(parts)
     nodes = ends.select("u").union(ends.select("v")).distinct()
-    state = ends.filter(F.col("u") != F.col("v"))
-    mark = None
-    for _ in range(max_rounds):
+    state = materialize(_contract(ends.filter(F.col("u") != F.col("v"))))
+    mark = state if parts == 1 else None
+    for _ in range(max_rounds if parts > 1 else 0):
         both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Large star: u's larger neighbours go to the least of u and its neighbours.
         large = _rewire(both, parts).filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from convoloom.operators import generation, provider
+from convoloom.operators import components, generation, provider
+from convoloom.operators.components import connected_components
 
 
 def test_answers_are_parsed_once(spark):
@@ -22,3 +23,28 @@ def test_calls_of_one_small_file_are_dealt(spark):
         assert made.select(F.spark_partition_id().alias("p")).distinct().count() > 1
         assert sorted(r.id for r in made.collect()) == list(range(400))
     assert {r.id for r in provider.complete(rows, "id", "prompt").collect() if r.error} == {i for i in range(400) if i % 50 == 0}
+
+
+def _jobs(spark, name, run):
+    spark.sparkContext.setJobGroup(name, name)
+    out = run()
+    n = len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    spark.sparkContext.setJobGroup("tests", "tests")
+    return out, n
+
+
+def test_components_of_one_partition_take_few_jobs(spark):
+    """A chain takes no rounds of its own, whatever its length; ids are compared as Spark compares them."""
+    for n in (50, 3000):
+        edges = spark.range(n).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+        got, jobs = _jobs(spark, f"chain{n}", lambda: connected_components(edges).collect())  # noqa: B023
+        assert {(r.id, r.component) for r in got} == {(i, 0) for i in range(n + 1)} and jobs < 16
+    words = spark.createDataFrame([("z", "é"), ("é", "Z"), ("a", "a"), (None, "b"), ("b", "😀")], "src string, dst string")
+    assert {(r.id, r.component) for r in connected_components(words).collect()} == {("z", "Z"), ("é", "Z"), ("Z", "Z"), ("a", "a"), ("b", "b"), ("😀", "b")}
+
+
+def test_components_over_partitions(spark, monkeypatch):
+    """Stars of several partitions are joined by the rounds."""
+    monkeypatch.setattr(components, "EDGES_A_PARTITION", 40)
+    edges = spark.range(0, 600, 1, 8).filter("id % 100 <> 99").select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    assert {(r.id, r.component) for r in connected_components(edges).collect()} == {(i, i // 100 * 100) for i in range(600)}
