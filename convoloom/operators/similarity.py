@@ -24,6 +24,16 @@ ROUNDS_A_LOOK, PAIRS_A_SCAN = 6, 500_000
 RANGES, LAST = 10_000, (1 << 63) - 1
 
 
+def _most_similar(x: np.ndarray, y: np.ndarray, s: np.ndarray, pos: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``top`` most similar pairs of each x, ties by the position of y."""
+    order = np.lexsort((pos[y], -s, x))
+    x = x[order]
+    first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, int)
+    rank = np.arange(len(x)) - np.repeat(first, np.diff(np.r_[first, len(x)]))
+    own = order[rank < top]
+    return x[rank < top], y[own], s[own]
+
+
 def similar_pairs(df: DataFrame, threshold: float, id_col: str, pos_col: str, vec_col: str, group_col: str | None = None, strict: bool = False, top: int | None = None) -> DataFrame:
     """(src, dst, src_pos, dst_pos, similarity) of the pairs, earlier position (then id) first, with cosine ``>= threshold`` (``>``
     if strict); with ``top`` at least the ``top`` most similar for each src (ties by position) and no more a pair of blocks.
@@ -88,11 +98,13 @@ def similar_pairs(df: DataFrame, threshold: float, id_col: str, pos_col: str, ve
             if same:
                 x, y, s = x[x < y], y[x < y], s[x < y]
             x, y = np.minimum(x, y), np.maximum(x, y)  # rows are in order
-            out.append(pd.DataFrame({"src": ids[x], "dst": ids[y], "src_pos": pos[x], "dst_pos": pos[y], "similarity": s}))
-        pairs = pd.concat(out) if out else pd.DataFrame({"src": ids[:0], "dst": ids[:0], "src_pos": pos[:0], "dst_pos": pos[:0], "similarity": np.zeros(0)})
+            if top is not None:  # a slice keeps no more than its rows need, however many pairs it has
+                x, y, s = _most_similar(x, y, s, pos, top)
+            out.append((x, y, s))
+        x, y, s = (np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
         if top is not None:
-            pairs = pairs.sort_values(["similarity", "dst_pos"], ascending=[False, True], kind="stable").groupby("src").head(top)
-        return pairs
+            x, y, s = _most_similar(x, y, s, pos, top)
+        return pd.DataFrame({"src": ids[x], "dst": ids[y], "src_pos": pos[x], "dst_pos": pos[y], "similarity": s})
 
     return spread.groupBy("g", "d", "bi", "bj").applyInPandas(compare, f"src {id_type}, dst {id_type}, src_pos long, dst_pos long, similarity double")
 
