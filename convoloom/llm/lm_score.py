@@ -462,8 +462,9 @@ def train(packed: DataFrame, vocabulary: Vocabulary, units: int, rounds: int = R
     return outer, inner
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, unit_tokens: int = UNIT_TOKENS) -> DataFrame:
-    """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, unit_tokens: int = UNIT_TOKENS, model: bool = True) -> DataFrame:
+    """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (which is left out without
+    ``model``, and then nothing is trained).
 
     Base and model learn from the rows that are not held out. ``score`` is the log10 probability of the text's words and its
     end. Null text counts as empty (one token, the end); a null id is held out; repeated rows stay, and are counted each; an
@@ -493,11 +494,12 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     vocabulary = Vocabulary([w.encode("utf-8", "surrogatepass") for w in head_rows["word"]], head_rows["n"].to_numpy(float), ends, rare)
     units = max(1, ceil(tokens / unit_tokens))
     packed = materialize(pack_documents(rows, vocabulary, units)).withColumn("row", F.monotonically_increasing_id())
-    outer, inner = train(packed, vocabulary, units, rounds)
-    one, two = outer.contexts()
-    logz, outputs, bias = outer.sums(), outer.outputs, outer.bias
-    inner_logz = inner.sums(vocabulary.start)
     v, k, class_of, is_rare = vocabulary.v, vocabulary.singles, vocabulary.class_of, vocabulary.is_rare
+    if model:
+        outer, inner = train(packed, vocabulary, units, rounds)
+        one, two = outer.contexts()
+        logz, outputs, bias = outer.sums(), outer.outputs, outer.bias
+        inner_logz = inner.sums(vocabulary.start)
     bucket = vocabulary.bucket
 
     total = log10(tokens + SMOOTH * (words + 1))
@@ -508,9 +510,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor()
 
-        def block(part: pa.RecordBatch, codes: list[np.ndarray]) -> pa.RecordBatch:
-            n = np.array([len(c) for c in codes], np.int64)
-            code = np.concatenate(codes)
+        def modelled(codes: list[np.ndarray], code: np.ndarray, n: np.ndarray) -> np.ndarray:
             a, b, w, places = windows([class_of[c] for c in codes], v)
             first = np.cumsum(places) - places
             logp = np.empty(len(w))
@@ -523,10 +523,15 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 at = np.flatnonzero(every[s] >= k)
                 entry, before = every[s][at] - k, b[s][at]
                 logp[i + at] += np.einsum("ij,ij->i", inner.context[before], inner.entries[entry]) + inner.bias[entry] - inner_logz[before, bucket[entry]]
+            return np.add.reduceat(logp, first) / log(10)
+
+        def block(part: pa.RecordBatch, codes: list[np.ndarray]) -> pa.RecordBatch:
+            n = np.array([len(c) for c in codes], np.int64)
+            code = np.concatenate(codes)
             edge = np.concatenate(([0], np.cumsum(n)))
             sums = lambda x: (c := np.concatenate(([0.0], np.cumsum(x))))[edge[1:]] - c[edge[:-1]]
             known = sums(~is_rare[code]).astype(np.int64) + (ends > 0)
-            columns = [part.column(0), part.column(1), part.column(2), pa.array(n + 1), pa.array(known), pa.array(sums(base_of[code]) + base_end), pa.array(np.add.reduceat(logp, first) / log(10))]
+            columns = [part.column(0), part.column(1), part.column(2), pa.array(n + 1), pa.array(known), pa.array(sums(base_of[code]) + base_end), pa.array(modelled(codes, code, n) if model else np.zeros(len(n)))]
             return pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "held_out", "n_tokens", "head_known", "head_base", "head_score"])
 
         for batch in batches:
@@ -553,7 +558,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.sum(times * F.coalesce(F.log10(F.greatest(share, F.lit(1e-12))), F.lit(0.0))).alias("rare"),
     )
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return half.join(tails, "row", "left").select(
+    scored = half.join(tails, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("head_known") + zero("known")).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("head_base") + zero("base")).alias("base_score"), (F.col("head_score") + zero("rare")).alias("score"),
     )
+    return scored if model else scored.drop("score")

@@ -1,8 +1,10 @@
 """What keeps time and memory in proportion to the input: each answer parsed once, calls dealt evenly, bounded blocks."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from convoloom.operators import components, generation, provider
+from convoloom.llm import lm_score
+from convoloom.operators import components, generation, provider, similarity
 from convoloom.operators.components import connected_components
 
 
@@ -48,3 +50,18 @@ def test_components_over_partitions(spark, monkeypatch):
     monkeypatch.setattr(components, "EDGES_A_PARTITION", 40)
     edges = spark.range(0, 600, 1, 8).filter("id % 100 <> 99").select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
     assert {(r.id, r.component) for r in connected_components(edges).collect()} == {(i, i // 100 * 100) for i in range(600)}
+
+
+def test_base_scores_train_nothing(spark, monkeypatch):
+    """Without the model the other columns are the same, and no model is trained for them."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).localCheckpoint()
+    whole = lm_score.score_documents(docs).drop("score").collect()
+    monkeypatch.setattr(lm_score, "train", None)
+    assert sorted(map(str, lm_score.score_documents(docs, model=False).collect())) == sorted(map(str, whole))
+
+
+def test_slices_keep_what_their_rows_need():
+    """Of 6 pairs of two rows the two most similar of each, ties by position."""
+    x, y, s = np.array([0, 1, 0, 0, 1, 0]), np.array([5, 4, 3, 2, 3, 4]), np.array([0.5, 0.1, 0.9, 0.5, 0.3, 0.5])
+    got = similarity._most_similar(x, y, s, np.array([0, 1, 9, 3, 4, 5]), 2)
+    assert [c.tolist() for c in got] == [[0, 0, 1, 1], [3, 4, 3, 4], [0.9, 0.5, 0.3, 0.1]]
