@@ -124,6 +124,8 @@ def one_json(content: str | None) -> str | None:
     if content is None:
         return None
     text = content.strip()
+    if "```" not in text and _parsed(text)[0]:  # no fence, and all of it is JSON
+        return text
     outside = re.sub(r"(?s)```.*?```", " ", re.sub(r"(?s)```json.*?```", " ", text))
     whole = chain(re.findall(JSON_FENCE, text), re.findall(ANY_FENCE, text), [outside])
     for part in map(str.strip, whole):

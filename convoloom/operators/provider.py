@@ -13,6 +13,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -146,7 +147,7 @@ def run_sessions(tasks: DataFrame, params: Params | None = None, provider: Provi
 
     def session(task: str, agent: str, tools: list[str]) -> list[tuple]:
         known: dict[str, list[tuple[str, str, bool]]] = {t: [("input", "string", True)] for t in tools}
-        turns: list[tuple] = []
+        names, turns = sorted(known), []
 
         def say(speaker: str, recipient: str, message: str) -> None:
             turns.append((task, agent, len(turns), speaker, recipient, message))
@@ -156,7 +157,7 @@ def run_sessions(tasks: DataFrame, params: Params | None = None, provider: Provi
             _, _, at, speaker, recipient, message = turns[-1]
             if recipient == "agent":
                 if speaker == "user" and known:
-                    name = sorted(known)[int(_draw(params.seed, task, at) * len(known))]
+                    name = names[int(_draw(params.seed, task, at) * len(names))]
                     say("agent", "execution", json.dumps({"name": name, "arguments": {"input": message[:20]}}))
                 else:
                     say("agent", "user", provider(f"agent {agent} after {message}"))
@@ -169,9 +170,12 @@ def run_sessions(tasks: DataFrame, params: Params | None = None, provider: Provi
                 say("user", "agent", provider(f"user {task} after {message}"))
         return turns
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names_out, kinds = ["task_id", "agent_id", "turn", "speaker", "recipient", "message"], [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [t for r in b.itertuples(index=False) for t in session(r.task_id, r.agent_id, list(r.tools if r.tools is not None else []))]
-            yield pd.DataFrame(out, columns=["task_id", "agent_id", "turn", "speaker", "recipient", "message"])
+            out = [t for task, agent, tools in zip(*(c.to_pylist() for c in b.columns), strict=True) for t in session(task, agent, tools or [])]
+            columns = zip(*out, strict=True) if out else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names_out)
 
-    return rows.mapInPandas(run, "task_id string, agent_id string, turn long, speaker string, recipient string, message string")
+    return _dealt(rows).mapInArrow(run, "task_id string, agent_id string, turn long, speaker string, recipient string, message string")

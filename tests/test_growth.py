@@ -65,3 +65,12 @@ def test_slices_keep_what_their_rows_need():
     x, y, s = np.array([0, 1, 0, 0, 1, 0]), np.array([5, 4, 3, 2, 3, 4]), np.array([0.5, 0.1, 0.9, 0.5, 0.3, 0.5])
     got = similarity._most_similar(x, y, s, np.array([0, 1, 9, 3, 4, 5]), 2)
     assert [c.tolist() for c in got] == [[0, 0, 1, 1], [3, 4, 3, 4], [0.9, 0.5, 0.3, 0.1]]
+
+
+def test_sessions_are_dealt(spark):
+    """Tasks of one partition are run in several; a null list of tools is an empty one."""
+    rows = spark.range(0, 60, 1, 1).select(F.col("id").alias("task_id"), F.lit(1).alias("agent_id"), F.when(F.col("id") > 9, F.array(F.lit("search"))).alias("tools"))
+    made = provider.run_sessions(rows).withColumn("p", F.spark_partition_id()).collect()
+    assert len({r.p for r in made}) > 1 and {r.task_id for r in made} == {str(i) for i in range(60)}
+    assert not any(r.recipient == "execution" for r in made if int(r.task_id) < 10)
+    assert provider.run_sessions(rows.limit(0)).count() == 0
