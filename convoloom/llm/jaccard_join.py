@@ -173,14 +173,14 @@ def _sketches(column: pa.Array) -> np.ndarray:
 
 
 def _compare_small(rows: DataFrame) -> DataFrame:
-    """Edges inside the buckets of ``rows`` (path, rid, n, sketch), each of which has at most about SMALL texts."""
+    """Edges between the clusters in the buckets of ``rows`` (path, cluster, n, sketch), each of which has at most about SMALL texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
 
         def edges(t: pa.Table) -> pa.RecordBatch:
             t = t.combine_chunks()
-            path, rid, n = (t.column(i).to_numpy() for i in range(3))
+            path, cluster, n = (t.column(i).to_numpy() for i in range(3))
             marks = _sketches(t.column(3))
             a, b = [], []
             d = 1
@@ -190,12 +190,12 @@ def _compare_small(rows: DataFrame) -> DataFrame:
                 at = at[path[at] == path[at + d]]
                 if not len(at):
                     break
-                own = at[rid[at] != rid[at + d]]
+                own = at[cluster[at] != cluster[at + d]]
                 for i in range(0, len(own), 200_000):
                     p = own[i : i + 200_000]
                     hit = p[_alike(n[p], marks[p], n[p + d], marks[p + d])]
-                    a.append(rid[hit])
-                    b.append(rid[hit + d])
+                    a.append(cluster[hit])
+                    b.append(cluster[hit + d])
                 d += 1
             return _edge_batch(*_forest(np.concatenate(a) if a else np.zeros(0, np.int64), np.concatenate(b) if b else np.zeros(0, np.int64)))
 
@@ -213,29 +213,38 @@ def _compare_small(rows: DataFrame) -> DataFrame:
             yield edges(rest)
         tidy()
 
-    return rows.repartition("path").sortWithinPartitions("path", "rid").mapInArrow(run, "src long, dst long")
+    return rows.repartition("path").sortWithinPartitions("path", "cluster").mapInArrow(run, "src long, dst long")
 
 
 def _compare_blocks(rows: DataFrame) -> DataFrame:
-    """Edges between probes and members of (path, mb, pb) groups; ``probe`` tells which a row is."""
+    """Edges between the clusters of probes and members of (path, mb, pb) groups; ``probe`` tells which a row is. What a group has
+    joined counts as one cluster for the rest of it, so it gives fewer edges than it has clusters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
 
         def edges(t: pa.Table) -> Iterator[pa.RecordBatch]:
             t = t.combine_chunks()
-            rid, n, probe = t.column(3).to_numpy(), t.column(4).to_numpy(), t.column(6).to_numpy(zero_copy_only=False)
+            n, probe = t.column(4).to_numpy(), t.column(6).to_numpy(zero_copy_only=False)
+            ids, own = np.unique(t.column(3).to_numpy(), return_inverse=True)
             marks = _sketches(t.column(5))
             members, probes = np.flatnonzero(~probe), np.flatnonzero(probe)
+            root = np.arange(len(ids))
             for at in range(0, len(probes), 64):
                 p = probes[at : at + 64]
                 same = np.zeros((len(p), len(members)), np.uint8)
                 for j in range(SKETCH):
                     same += marks[p, j][:, None] == marks[members, j][None, :]
-                hit = (same >= AGREE) & (np.minimum(n[p][:, None], n[members]) >= SIMILARITY * np.maximum(n[p][:, None], n[members])) & (rid[p][:, None] != rid[members])
+                joined = root[own]
+                hit = (same >= AGREE) & (np.minimum(n[p][:, None], n[members]) >= SIMILARITY * np.maximum(n[p][:, None], n[members])) & (joined[p][:, None] != joined[members])
                 x, y = np.nonzero(hit)
-                if len(x):
-                    yield _edge_batch(*_forest(rid[p[x]], rid[members[y]]))
+                moved, to = _forest(joined[p[x]], joined[members[y]])
+                step = np.arange(len(ids))
+                step[moved] = to
+                root = step[root]
+            moved = np.flatnonzero(root != np.arange(len(ids)))
+            if len(moved):
+                yield _edge_batch(ids[moved], ids[root[moved]])
 
         def groups(t: pa.Table, final: bool) -> tuple[list[pa.Table], pa.Table]:
             keys = [t.column(i).to_numpy() for i in range(3)]
@@ -314,9 +323,9 @@ def _candidate_clusters(rows: DataFrame, feat: DataFrame) -> DataFrame:
     """(rid, cluster) so that every pair that met in a bucket of some run and passes the filter is in one cluster.
 
     What the stars have joined needs no further look, so only buckets with several clusters are searched. One of up to SMALL
-    texts is compared outright. Of a larger one, texts that look like its first text hang on it; if at most half are left, those
-    are compared with all members here, block by block. Other large buckets are split by a further token, and what no token
-    splits is compared in blocks too.
+    texts is compared outright. In a larger one, texts outside its largest cluster are compared with all members here, block by
+    block, if they are at most half. Other large buckets are split by a further token, and what no token splits is compared in
+    blocks too.
     """
     found = _clusters(_first_stars(feat))
     found = _clusters(_cluster_stars(feat, found), found)
@@ -325,24 +334,24 @@ def _candidate_clusters(rows: DataFrame, feat: DataFrame) -> DataFrame:
     for level in range(1, DEPTH + 1):
         if level > 1:
             if level == 2:
-                waiting = materialize(near.join(_few(above), "path", "left_semi").select("rid").distinct())
+                waiting = materialize(there.join(_few(above), "path", "left_semi").select("rid").distinct())
                 deep = materialize(_deep(rows.join(_few(waiting), "rid", "left_semi")))
             texts = deep.filter(F.col("level") == level).join(_few(above.withColumnRenamed("path", "above")), "above", "left_semi").select("rid", "path")
             texts = texts.join(marks.select("rid", "n", "sketch", "cluster"), "rid")
         counts = texts.groupBy("path").agg(F.min("cluster").alias("a"), F.max("cluster").alias("b"), F.count("*").alias("c"))
         counts = materialize(counts.filter("a < b").select("path", "c"))
-        few, members = counts.count() <= MOST_BROADCAST, ("path", "rid", "n", "sketch")
         # A parent that sends a text here twice, or two parents that do, count it twice; that only moves the limit.
-        send = F.broadcast if few else lambda df: df
-        edges.append(_compare_small(texts.join(send(counts.filter(F.col("c") <= SMALL).select("path")), "path", "left_semi").select(*members)))
+        send = F.broadcast if counts.count() <= MOST_BROADCAST else lambda df: df
+        edges.append(_compare_small(texts.join(send(counts.filter(F.col("c") <= SMALL).select("path")), "path", "left_semi").select("path", "cluster", "n", "sketch")))
         big = counts.filter(F.col("c") > SMALL).select("path")
         if big.isEmpty():
             break
-        near, left = _beside_first(texts.join(send(big), "path", "left_semi"), few)
+        there = materialize(texts.join(send(big), "path", "left_semi").select("path", "rid", "cluster", "n", "sketch").distinct())
+        sizes = _outside(there)
         if level < DEPTH:
             split = F.col("left") > F.greatest(F.lit(SMALL), F.col("c") / 2)
-            above, left = materialize(left.filter(split).select("path")), left.filter(~split)
-        edges += _settle(near, left, few)
+            above, sizes = materialize(sizes.filter(split).select("path")), sizes.filter(~split)
+        edges.append(_settle(there, send(sizes)))
         if level == DEPTH or above.isEmpty():
             break
     out = edges[0]
@@ -351,31 +360,22 @@ def _candidate_clusters(rows: DataFrame, feat: DataFrame) -> DataFrame:
     return _clusters(out, found)
 
 
-def _beside_first(rows: DataFrame, few: bool) -> tuple[DataFrame, DataFrame]:
-    """The distinct members of large buckets with the bucket's first text ``root`` and whether a member looks like it (``near``);
-    and (path, c, left), how many members a bucket has and how many of them do not. ``few``: there are few enough buckets to
-    broadcast a row for each."""
-    sent = F.broadcast if few else lambda df: df
+def _outside(there: DataFrame) -> DataFrame:
+    """(path, c, top, left): how many members a bucket has, its largest cluster, and how many members are outside of that."""
+    own = there.groupBy("path", "cluster").agg(F.count("*").alias("c"))
+    sizes = own.groupBy("path").agg(F.sum("c").alias("c"), F.max(F.struct("c", "cluster")).alias("most"))
+    return materialize(sizes.select("path", "c", F.col("most.cluster").alias("top"), (F.col("c") - F.col("most.c")).alias("left")))
 
-    rows = materialize(rows.select("path", "rid", "n", "sketch").distinct())
-    first = rows.groupBy("path").agg(F.min(F.struct("rid", "n", "sketch")).alias("first"))
-    near = rows.join(sent(first), "path").select("path", "rid", "n", "sketch", F.col("first.rid").alias("root"), _like("n", "sketch", "first.n", "first.sketch").alias("near"))
-    near = materialize(near)
-    return near, materialize(near.groupBy("path").agg(F.count("*").alias("c"), F.count_if(~F.col("near")).alias("left")))
 
-
-def _settle(near: DataFrame, left: DataFrame, few: bool) -> list[DataFrame]:
-    """Edges inside the large buckets of ``left``: stars of the near, and the others against all members in blocks. Only members of
-    buckets with such others meet the bucket's counts."""
-    sent = F.broadcast if few else lambda df: df
-    stars = near.join(sent(left.select("path")), "path", "left_semi").filter(F.col("near") & (F.col("rid") != F.col("root"))).select(F.col("rid").alias("src"), F.col("root").alias("dst"))
-    open_ = near.join(sent(left.filter(F.col("left") > 0)), "path").withColumns({"blocks": F.ceil(F.col("c") / BUCKET_BLOCK).cast("int"), "pblocks": F.ceil(F.col("left") / BUCKET_BLOCK).cast("int")})
-    open_ = materialize(open_)
+def _settle(there: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Edges inside the large buckets of ``sizes``: the members outside of the largest cluster against all members, in blocks."""
+    placed = there.join(sizes, "path").withColumns({"blocks": F.ceil(F.col("c") / BUCKET_BLOCK).cast("int"), "pblocks": F.ceil(F.col("left") / BUCKET_BLOCK).cast("int")})
+    placed = materialize(placed)
     block = lambda n: F.pmod(F.xxhash64("rid"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    members = open_.select("path", block(F.col("blocks")).alias("mb"), every(F.col("pblocks")).alias("pb"), "rid", "n", "sketch", F.lit(False).alias("probe"))
-    probes = open_.filter(~F.col("near")).select("path", every(F.col("blocks")).alias("mb"), block(F.col("pblocks")).alias("pb"), "rid", "n", "sketch", F.lit(True).alias("probe"))
-    return [stars, _compare_blocks(members.unionByName(probes))]
+    members = placed.select("path", block(F.col("blocks")).alias("mb"), every(F.col("pblocks")).alias("pb"), "cluster", "n", "sketch", F.lit(False).alias("probe"))
+    probes = placed.filter(F.col("cluster") != F.col("top")).select("path", every(F.col("blocks")).alias("mb"), block(F.col("pblocks")).alias("pb"), "cluster", "n", "sketch", F.lit(True).alias("probe"))
+    return _compare_blocks(members.unionByName(probes))
 
 
 def _checked_join(left: DataFrame, keys: DataFrame, on: str, how: str = "left_semi") -> DataFrame:

@@ -83,6 +83,29 @@ def test_brute_force(spark, monkeypatch, small, bucket, cluster):
     check(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), rows)
 
 
+@pytest.mark.parametrize("stars", [True, False])
+def test_blocks_give_fewer_edges_than_members(spark, monkeypatch, stars):
+    """Texts of a common passage that half look alike in pairs: a block gives no edge for each pair, nor for each 64 probes."""
+    made, plain = [], J._compare_blocks
+
+    def counted(rows):
+        out = J.materialize(plain(rows))
+        made.append((rows.filter("NOT probe").count(), out.count()))
+        return out
+
+    monkeypatch.setattr(J, "_compare_blocks", counted)
+    if not stars:
+        nothing = lambda *_: spark.createDataFrame([], "src long, dst long")
+        monkeypatch.setattr(J, "_first_stars", nothing)
+        monkeypatch.setattr(J, "_cluster_stars", nothing)
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passage = " ".join(word() for _ in range(64))
+    rows = list(enumerate(passage + " " + " ".join(word() for _ in range(30)) for _ in range(400)))
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows)
+    assert made and all(edges <= members for members, edges in made)
+
+
 def test_shuffled_lists(spark, monkeypatch):
     """Lists over the broadcast bound take the shuffled way."""
     monkeypatch.setattr(J, "MOST_BROADCAST", 0)
