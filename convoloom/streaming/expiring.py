@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
@@ -12,30 +14,36 @@ from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulP
 #: The store that keeps lists, single values and timers.
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 COLUMNS = ("start", "end", "turns", "reason")
+#: Buckets that keys are dealt to; fixed, since a checkpoint holds state by bucket.
+BUCKETS = 1024
+WAITING = pa.schema([("who", pa.string()), ("us", pa.int64()), ("id", pa.int64()), ("finish", pa.bool_())])
+OPEN = pa.schema([("who", pa.string()), ("start", pa.int64()), ("last", pa.int64()), ("turns", pa.int64())])
 
 
 class SessionProcessor(StatefulProcessor):
-    """Events of a key wait in a list until the watermark has passed them; then, in order of time and id and each once, they go
-    to the open session. A timer stands at the first waiting event or at the end of the gap after the last turn, whichever
-    is earlier; a key without either holds no state."""
+    """Events of a bucket of keys wait in a list of blocks until the watermark has passed them; then, in order of time and id and each
+    once, they go to their key's open session. A bucket is one key of the state, so that a call on the state is not made for
+    every key or event. A timer stands at the first waiting event or at the end of the gap after the last turn of a session,
+    whichever is earlier; a bucket without either holds no state."""
 
     def __init__(self, key: str, gap_ms: int, max_turns: int):
         self.key, self.gap, self.most = key, gap_ms * 1000, max_turns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "ts long, id long, finish boolean")
-        self.open = handle.getValueState("open", "start long, last long, turns long")
+        self.waiting = handle.getListState("waiting", "block binary")
+        self.open = handle.getValueState("open", "block binary")
         self.due = handle.getValueState("due", "ms long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        first = None
+        first, blocks = None, []
         for part in rows:
-            new = list(zip(part["us"].tolist(), part["id"].tolist(), part["finish"].tolist(), strict=True))
-            if new:
-                self.waiting.appendList(new)
-                first = min(first or new[0][0], min(us for us, _, _ in new))
+            if len(part):
+                new = pa.table([pa.array(part["who"].tolist(), pa.string()), part["us"].to_numpy(), part["id"].to_numpy(), part["finish"].to_numpy(bool)], names=WAITING.names)
+                blocks.append((_pack(new),))
+                first = int(part["us"].min()) if first is None else min(first, int(part["us"].min()))
         if first is not None:
+            self.waiting.appendList(blocks)
             due = self.due.get()
             if due is None or first // 1000 < due[0]:
                 self._timer(first // 1000, due)
@@ -43,35 +51,40 @@ class SessionProcessor(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = sorted(set(self.waiting.get()))
-        ready, rest = [r for r in rows if r[0] < mark], [r for r in rows if r[0] >= mark]
-        session, out = self.open.get(), []
-        for us, _, finish in ready:
+        rows = pa.concat_tables([WAITING.empty_table(), *(_unpack(b) for (b,) in self.waiting.get())])
+        passed = pc.less(rows["us"], mark)
+        ready, rest = rows.filter(passed), rows.filter(pc.invert(passed))
+        ready = ready.group_by(WAITING.names).aggregate([]).sort_by([(c, "ascending") for c in WAITING.names])
+        kept = self.open.get()
+        sessions = {} if kept is None else {who: tuple(x) for who, *x in zip(*_unpack(kept[0]).to_pydict().values(), strict=True)}
+        out = []
+        for who, us, finish in zip(*(ready[c].to_pylist() for c in ("who", "us", "finish")), strict=True):
+            session = sessions.pop(who, None)
             if session is not None and us - session[1] > self.gap:
-                out.append((*session, "gap"))
+                out.append((who, *session, "gap"))
                 session = None
             session = (us, us, 1) if session is None else (session[0], us, session[2] + 1)
             if finish or session[2] >= self.most:
-                out.append((*session, "finish" if finish else "limit"))
-                session = None
-        if session is not None and session[1] + self.gap < mark:
-            out.append((*session, "gap"))
-            session = None
-        if rest:
-            self.waiting.put(rest)
+                out.append((who, *session, "finish" if finish else "limit"))
+            else:
+                sessions[who] = session
+        for who in [w for w, x in sessions.items() if x[1] + self.gap < mark]:
+            out.append((who, *sessions.pop(who), "gap"))
+        if rest.num_rows:
+            self.waiting.put([(_pack(rest),)])
         else:
             self.waiting.clear()
-        if session is None:
-            self.open.clear()
+        if sessions:
+            self.open.update((_pack(pa.table([list(c) for c in zip(*((w, *x) for w, x in sessions.items()), strict=True)], schema=OPEN)),))
         else:
-            self.open.update(session)
+            self.open.clear()
         self.due.clear()
-        dues = [r[0] // 1000 for r in rest[:1]] + ([] if session is None else [(session[1] + self.gap) // 1000])
+        dues = ([pc.min(rest["us"]).as_py() // 1000] if rest.num_rows else []) + ([(min(x[1] for x in sessions.values()) + self.gap) // 1000] if sessions else [])
         if dues:
             self._timer(min(dues), None)
         if out:
-            start, last, turns, reason = zip(*out, strict=True)
-            yield pd.DataFrame({self.key: [key[0]] * len(out), "start": pd.to_datetime(start, unit="us", utc=True), "end": pd.to_datetime(last, unit="us", utc=True), "turns": turns, "reason": reason})
+            who, start, last, turns, reason = zip(*out, strict=True)
+            yield pd.DataFrame({self.key: who, "start": pd.to_datetime(start, unit="us", utc=True), "end": pd.to_datetime(last, unit="us", utc=True), "turns": turns, "reason": reason})
 
     def _timer(self, ms: int, old: tuple | None) -> None:
         if old is not None:
@@ -83,6 +96,18 @@ class SessionProcessor(StatefulProcessor):
         pass
 
 
+def _pack(t: pa.Table) -> bytes:
+    """A table as bytes of the state."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, t.schema) as out:
+        out.write_table(t)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(block: bytes) -> pa.Table:
+    return pa.ipc.open_stream(bytes(block)).read_all()
+
+
 def _milliseconds(df: DataFrame, length: str) -> int:
     """An interval such as ``30 minutes`` in milliseconds."""
     return df.sparkSession.range(1).select((F.expr(f"unix_micros(timestamp_seconds(0) + interval {length})") / 1000).cast("long")).first()[0]
@@ -101,13 +126,18 @@ def closed_sessions(
     A session ends with an event that ``finish`` marks, with its ``max_turns``-th event, or when more than ``gap`` of event time passes
     without one. Events may come in any order up to ``late`` behind the newest; what comes later is dropped by the engine. An
     event that is repeated (same key, id and time) counts once. Null keys are a key, null ids an id; events without a time are
-    left out. Rows are only given out behind the watermark, so they never change; all state of a session goes with it. A key's
-    state is its open session and its events within ``late``. Needs the RocksDB state store (``use_store``).
+    left out. Rows are only given out behind the watermark, so they never change; all state of a session goes with it. The state is
+    the open sessions and the events within ``late`` of BUCKETS buckets of keys; a bucket is read and written as a whole when one
+    of its keys is due. The key is of a type that a cast to a string and back keeps. Needs the RocksDB state store (``use_store``).
     """
     rows = _events(events, finish, key, id_col, ts).withWatermark("at", late)
-    kind = rows.schema[key].dataType.simpleString()
-    made = SessionProcessor(key, _milliseconds(events, gap), max_turns)
-    return rows.groupBy(key).transformWithStateInPandas(made, f"`{key}` {kind}, start timestamp, end timestamp, turns long, reason string", "Append", "EventTime")
+    kind = rows.schema[key].dataType
+    binary = kind.typeName() == "binary"
+    who = F.hex(key) if binary else F.col(key).cast("string")
+    rows = rows.select(F.pmod(F.xxhash64(key), F.lit(BUCKETS)).alias("bucket"), who.alias("who"), "id", "at", "us", "finish")
+    made = SessionProcessor("who", _milliseconds(events, gap), max_turns)
+    closed = rows.groupBy("bucket").transformWithStateInPandas(made, "who string, start timestamp, end timestamp, turns long, reason string", "Append", "EventTime")
+    return closed.select((F.unhex("who") if binary else F.col("who").cast(kind)).alias(key), *COLUMNS)
 
 
 def batch_sessions(

@@ -44,6 +44,19 @@ def test_sessions_close_and_state_goes(spark, tmp_path):
     assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4
 
 
+def test_state_is_kept_by_buckets_of_keys(spark, tmp_path, monkeypatch):
+    """Many keys with open sessions hold state for each bucket, not for each key; names and null are keys."""
+    monkeypatch.setattr(expiring, "BUCKETS", 8, raising=False)
+    events = [(None if u == 0 else f"user {u} é", n, BEGAN + timedelta(minutes=20 * n + u % 7), "end" if (u + n) % 5 == 0 else "say") for u in range(300) for n in range(4)]
+    named = EVENT.replace("user_id long", "user_id string")
+    spark.createDataFrame(events, named).repartition(2).write.parquet(f"{tmp_path}/in")
+    q = sessions_of(spark, str(tmp_path))
+    got = spark.read.parquet(f"{tmp_path}/out")
+    want = expiring.batch_sessions(spark.createDataFrame(events, named), F.col("kind") == "end", "30 minutes", 4)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > 50
+    assert 0 < q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 8 * 5
+
+
 def test_events_behind_the_watermark_are_dropped(spark, tmp_path):
     day = lambda m, i: (1, i, BEGAN + timedelta(minutes=m), "say")
     for rows in ([day(0, 1), day(100, 2)], [day(5, 3), day(95, 4)], [day(1000, 5)]):
