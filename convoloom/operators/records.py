@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import checkpoint_tools, content_id, uniform
 from ..schemas import DIFFICULTIES, TASK_TYPES
+from ..session import materialize
 from ..sources.files import last_wins
 
+#: Schemas that a partition of agent records takes, so that a task's memory does not grow with the tables.
+SCHEMAS_A_PARTITION = 500_000
 # The personas that are drawn from.
 PERSONALITIES = ("friendly", "impatient", "cautious", "casual")
 STYLES = ("formal", "informal", "life_oriented")
@@ -73,12 +77,14 @@ def agent_records(combinations: DataFrame, tools: DataFrame, template: str, id_c
     """(id, system_prompt, tools) of every combination with a tool. The id follows from the combination's; the prompt is
     ``template`` with the schemas of its known tools (id, name, description, parameters), in order and an empty line apart, at
     ``{tools_list}``. Combinations without tools, null lists too, go; unknown tools stay in the list only; repeated tool ids
-    count once in ``tools``' table, by the greatest row."""
+    count once in ``tools``' table, by the greatest row. Combinations are written to the checkpoint folder and counted once, and
+    dealt to partitions of about SCHEMAS_A_PARTITION schemas: schemas shrink so well in a shuffle that its bytes tell little."""
     schemas = last_wins(tools, "id").select(F.col("id").alias("__tool"), function_schema(F.col("name"), F.col("description"), F.col("parameters"), False).alias("__schema"))
-    some = combinations.filter(F.size(tools_col) > 0).select(F.col(id_col).alias("__c"), F.col(tools_col).alias("tools"))
-    parts = some.select("__c", F.posexplode("tools").alias("__pos", "__tool")).join(schemas, "__tool")
+    some = materialize(combinations.filter(F.size(tools_col) > 0).select(F.col(id_col).alias("__c"), F.col(tools_col).alias("tools")))
+    n = max(1, ceil((some.agg(F.sum(F.size("tools"))).first()[0] or 0) / SCHEMAS_A_PARTITION))
+    parts = some.select("__c", F.posexplode("tools").alias("__pos", "__tool")).join(schemas, "__tool").repartition(n, "__c")
     lists = parts.groupBy("__c").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__pos", "__schema"))), lambda x: x["__schema"]), "\n\n").alias("__list"))
-    found = some.join(lists, "__c", "left")
+    found = some.repartition(n, "__c").join(lists, "__c", "left")
     return found.select(content_id("agent", {"combination": F.col("__c").cast("string")}).alias("id"), fill(template, tools_list=F.col("__list")).alias("system_prompt"), "tools")
 
 

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from convoloom.llm import lm_score
-from convoloom.operators import components, generation, provider, similarity
+from convoloom.operators import components, generation, provider, records, similarity
 from convoloom.operators.components import connected_components
 
 
@@ -74,3 +74,17 @@ def test_sessions_are_dealt(spark):
     assert len({r.p for r in made}) > 1 and {r.task_id for r in made} == {str(i) for i in range(60)}
     assert not any(r.recipient == "execution" for r in made if int(r.task_id) < 10)
     assert provider.run_sessions(rows.limit(0)).count() == 0
+
+
+def test_agent_records_deal_schemas_evenly(spark, monkeypatch):
+    """Partitions follow from the number of schemas, not from their compressed bytes, and the records stay the same."""
+    none = F.array().cast("array<struct<name:string,type:string,description:string,required:boolean,enum:array<string>>>")
+    tools = spark.range(20).select("id", F.concat(F.lit("tool "), "id").alias("name"), F.lit("same text").alias("description"), none.alias("parameters"))
+    combos = spark.createDataFrame([(c, [c % 20, (c + 7) % 20, 99]) for c in range(100)] + [(100, []), (101, None), (102, [99])], "id long, tool_ids array<long>")
+    plain = records.agent_records(combos, tools, "T: {tools_list}")
+    want = sorted(map(str, plain.collect()))
+    monkeypatch.setattr(records, "SCHEMAS_A_PARTITION", 30, raising=False)
+    dealt = records.agent_records(combos, tools, "T: {tools_list}")
+    assert dealt.rdd.getNumPartitions() == 11  # 301 tools in lists of three and one
+    assert sorted(map(str, dealt.collect())) == want and len(want) == 101
+    assert sum(r["system_prompt"] == "T: " for r in dealt.collect()) == 1
